@@ -1,0 +1,47 @@
+"""Small numeric building blocks shared by every score."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def flag(condition: Column) -> Column:
+    """1.0 when the condition holds, else 0.0 (also for NULL)."""
+    return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
+
+
+def capped(value: Column, full: float = 1.0) -> Column:
+    """Share of ``full`` that ``value`` reaches, at most 1."""
+    return F.least(value / F.lit(full), F.lit(1.0))
+
+
+def clip01(value: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+
+
+def at_least_one(value: Column) -> Column:
+    return F.greatest(value, F.lit(1.0))
+
+
+def weighted_sum(weights, terms: dict[str, Column] | None = None) -> Column:
+    """Sum of weight * term, in the order given; a term not in ``terms`` is a column name."""
+    terms = terms or {}
+    return reduce(add, [F.lit(w) * terms.get(name, F.col(name)) for name, w in weights])
+
+
+def hash_uniform(*parts) -> Column:
+    """Uniform number in [0, 1) that depends only on the values of ``parts``.
+
+    The first 32 bits of an md5, so it is the same for any partitioning and in any SQL engine.
+    """
+    digest = F.md5(F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def zero_filled(df, columns):
+    present = set(df.columns)
+    return df.fillna({c: 0.0 for c in columns if c in present})
