@@ -1,4 +1,4 @@
-"""Per-review text features as built-in expressions.
+"""Per-review text features as built-in SQL functions.
 
 Derived strings are added one layer at a time and used by name afterwards, so
 each regular expression runs once per row and the whole chain stays one
@@ -7,14 +7,10 @@ map-only stage.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import at_least_one, capped, clip01, flag, weighted_sum
+from vigil.functions.sql import at_least_one, capped, clip01, derive, flag, num, text, weighted_sum
 
 WORD_FLAGS = {
     "generic_praise_flag": fv.GENERIC_PRAISE,
@@ -24,28 +20,24 @@ WORD_FLAGS = {
     "specific_experience_flag": fv.EXPERIENCE,
     "repeated_promotional_language_flag": fv.PROMOTIONAL,
 }
-HELPER_COLUMNS = ("_flat", "_lower", "_words", "_sentence_words")
 
 
-def without_breaks(text: Column, instead: str) -> Column:
+def without_breaks(value: str, instead: str) -> str:
     """Line-break tags replaced; text without any tag skips the regular expression."""
-    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, fv.HTML_BREAK, instead)).otherwise(text)
-
-
-def clean_text(text: Column) -> Column:
-    return without_breaks(F.coalesce(text, F.lit("")), "\n")
+    return (f"CASE WHEN contains({value}, '<') THEN regexp_replace({value}, {text(fv.HTML_BREAK)}, {instead}) "
+            f"ELSE {value} END")
 
 
-def flat_text(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, fv.WHITESPACE, " "))
+def flat_text(value: str) -> str:
+    return f"trim(regexp_replace({value}, {text(fv.WHITESPACE)}, ' '))"
 
 
-def comparison_text(text: Column) -> Column:
+def comparison_text(value: str) -> str:
     """Case- and space-folded raw text: equal values are copies of one another."""
-    return F.lower(flat_text(text))
+    return f"lower({flat_text(value)})"
 
 
-def has_any(lower: Column, words: Column, vocabulary) -> Column:
+def has_any(lower: str, words: str, vocabulary) -> str:
     """Whether the text holds any entry of ``vocabulary`` as whole words.
 
     Single words are looked up in the word array, which is split once per text.
@@ -58,83 +50,64 @@ def has_any(lower: Column, words: Column, vocabulary) -> Column:
     phrases = [w for w in vocabulary if " " in w]
     checks = []
     if single:
-        checks.append(F.arrays_overlap(words, F.array(*[F.lit(w) for w in single])))
+        checks.append(f"arrays_overlap({words}, array({', '.join(text(w) for w in single)}))")
     if phrases:
         bounded = rf"(?<![A-Za-z0-9_])(?:{'|'.join(phrases)})(?![A-Za-z0-9_])"
-        occurs = reduce(or_, [F.contains(lower, F.lit(p)) for p in phrases])
-        checks.append(occurs & lower.rlike(bounded))
-    return reduce(or_, checks)
-
-
-def count_of(text: Column, character_class: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{character_class}]+", "")).cast("double")
-
-
-def html_break_count(text: Column) -> Column:
-    """Characters taken by line-break tags, in units of ``<br>``."""
-    raw = F.coalesce(text, F.lit(""))
-    removed = F.length(raw) - F.length(without_breaks(raw, ""))
-    return F.greatest((removed / F.lit(4.0)).cast("double"), F.lit(0.0))
-
-
-def with_text_features(reviews: DataFrame, text: str = "text", stars: str = "stars") -> DataFrame:
-    c = F.col
-    words_in = lambda s: F.size(F.split(F.trim(s), " ")).cast("double")
-    spread = F.aggregate(
-        "_sentence_words",
-        F.lit(0.0),
-        lambda total, n: total + F.pow(n - c("avg_sentence_length"), F.lit(2.0)),
-    )
-    return (
-        reviews.withColumn("clean_review_text", clean_text(c(text)))
-        .withColumn("_flat", flat_text(c("clean_review_text")))
-        .withColumn("_lower", F.lower("_flat"))
-        .withColumns({
-            "_words": F.split("_lower", fv.NOT_A_WORD),
-            "review_length": F.length("clean_review_text").cast("double"),
-            "word_count": F.when(c("_flat") == "", F.lit(0.0)).otherwise(
-                F.size(F.split("_flat", " ")).cast("double")),
-            "_sentence_words": F.transform(
-                F.filter(
-                    F.split("_flat", fv.SENTENCE_BREAK),
-                    lambda piece: F.trim(piece) != "",
-                ),
-                words_in,
-            ),
-            "html_break_count": html_break_count(c(text)),
-        })
-        .withColumns({
-            "avg_word_length": c("review_length") / at_least_one(c("word_count")),
-            "sentence_count": F.when(c("word_count") == 0, F.lit(0.0)).otherwise(
-                at_least_one(F.size("_sentence_words").cast("double"))),
-            "uppercase_share": count_of(c("clean_review_text"), "A-Z")
-            / at_least_one(count_of(c("clean_review_text"), "A-Za-z")),
-            "repeated_character_flag": flag(c("clean_review_text").rlike(fv.REPEATED_CHARACTER)),
-            **{name: flag(has_any(c("_lower"), c("_words"), vocabulary)) for name, vocabulary in WORD_FLAGS.items()},
-        })
-        .withColumns({
-            "avg_sentence_length": c("word_count") / at_least_one(c("sentence_count")),
-            "no_space_ratio": capped(c("avg_word_length"), 25.0),
-            "text_formatting_anomaly_flag": flag(
-                (c("html_break_count") >= 4)
-                | ((c("avg_word_length") >= 18) & (c("review_length") >= 60))
-                | c("clean_review_text").rlike(fv.BLANK_LINES)),
-        })
-        .withColumn(
-            "sentence_length_variability",
-            F.when(c("sentence_count") < 2, F.lit(0.0)).otherwise(F.least(
-                F.sqrt(spread / at_least_one(c("sentence_count"))) / at_least_one(c("avg_sentence_length")),
-                F.lit(1.0))),
-        )
-        .withColumn("synthetic_templated_language_score", templated_score(c(stars)))
-        .drop(*HELPER_COLUMNS)
-    )
-
-
-def templated_score(stars: Column) -> Column:
-    c = F.col
+        occurs = " OR ".join(f"contains({lower}, {text(p)})" for p in phrases)
+        checks.append(f"(({occurs}) AND {lower} RLIKE {text(bounded)})")
+    return " OR ".join(checks)
+
+
+def letters(value: str, character_class: str) -> str:
+    """How many characters of the class the text has."""
+    return f"CAST(length(regexp_replace({value}, '[^{character_class}]+', '')) AS DOUBLE)"
+
+
+def templated_score() -> str:
     return clip01(weighted_sum(fv.TEMPLATED_WEIGHTS, {
-        "short_five_star": flag((stars == 5) & (c("word_count") <= 12)),
-        "lacks_detail": F.lit(1.0) - c("concrete_detail_flag"),
-        "even_sentences": flag((c("sentence_count") >= 2) & (c("sentence_length_variability") <= 0.10)),
+        "short_five_star": flag("stars = 5 AND word_count <= 12"),
+        "lacks_detail": "1.0D - concrete_detail_flag",
+        "even_sentences": flag(f"sentence_count >= 2 AND sentence_length_variability <= {num(0.10)}"),
     }))
+
+
+def with_text_features(reviews: DataFrame) -> DataFrame:
+    """Text features of the columns ``text`` and ``stars``."""
+    whole = derive(reviews, {"_raw": "coalesce(text, '')"})
+    clean = derive(whole, {
+        "clean_review_text": without_breaks("_raw", r"'\n'"),
+        # tags are measured in units of the four characters of <br>
+        "html_break_count": f"(length(_raw) - length({without_breaks('_raw', repr(''))})) / 4.0D",
+    })
+    flat = derive(clean, {"_flat": flat_text("clean_review_text")})
+    lower = derive(flat, {"_lower": "lower(_flat)"})
+    counted = derive(lower, {
+        "_words": f"split(_lower, {text(fv.NOT_A_WORD)})",
+        "review_length": "CAST(length(clean_review_text) AS DOUBLE)",
+        "word_count": "CASE WHEN _flat = '' THEN 0.0D ELSE CAST(size(split(_flat, ' ')) AS DOUBLE) END",
+        "_sentences": f"transform(filter(split(_flat, {text(fv.SENTENCE_BREAK)}), p -> trim(p) != ''), "
+                      "p -> CAST(size(split(trim(p), ' ')) AS DOUBLE))",
+    })
+    flagged = derive(counted, {
+        "avg_word_length": f"review_length / {at_least_one('word_count')}",
+        "sentence_count": f"CASE WHEN word_count = 0 THEN 0.0D ELSE {at_least_one('size(_sentences)')} END",
+        "uppercase_share": f"{letters('clean_review_text', 'A-Z')} / "
+                           f"{at_least_one(letters('clean_review_text', 'A-Za-z'))}",
+        "repeated_character_flag": flag(f"clean_review_text RLIKE {text(fv.REPEATED_CHARACTER)}"),
+        **{name: flag(has_any("_lower", "_words", vocabulary)) for name, vocabulary in WORD_FLAGS.items()},
+    })
+    shaped = derive(flagged, {
+        "avg_sentence_length": f"word_count / {at_least_one('sentence_count')}",
+        "no_space_ratio": capped("avg_word_length", 25.0),
+        "text_formatting_anomaly_flag": flag(
+            "html_break_count >= 4 OR (avg_word_length >= 18 AND review_length >= 60) "
+            f"OR clean_review_text RLIKE {text(fv.BLANK_LINES)}"),
+    })
+    spread = "aggregate(_sentences, 0.0D, (total, n) -> total + pow(n - avg_sentence_length, 2.0D))"
+    varied = derive(shaped, {
+        "sentence_length_variability":
+            f"CASE WHEN sentence_count < 2 THEN 0.0D ELSE least(sqrt({spread} / {at_least_one('sentence_count')}) "
+            f"/ {at_least_one('avg_sentence_length')}, 1.0D) END",
+    })
+    scored = derive(varied, {"synthetic_templated_language_score": templated_score()})
+    return scored.drop("_raw", "_flat", "_lower", "_words", "_sentences")

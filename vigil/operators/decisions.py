@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import weighted_sum, zero_filled
+from vigil.functions.sql import at_most_one, derive, num, weighted_sum, zero_if_missing
 
 
 def decide(behavioral: DataFrame, model_drift: DataFrame, threshold: float = fv.DECISION_THRESHOLD) -> DataFrame:
@@ -14,17 +14,13 @@ def decide(behavioral: DataFrame, model_drift: DataFrame, threshold: float = fv.
     # one row per month: some hundreds at most, so broadcasting is safe at any data size
     monthly = model_drift.select("review_month", "feature_drift_score", "prediction_drift_score",
                                  "model_drift_score", "retraining_alert")
-    joined = zero_filled(behavioral.join(F.broadcast(monthly), "review_month", "left"),
-                         fv.ZERO_FILLED_DECISION_INPUTS)
-    c = F.col
-    return joined.withColumn(
-        "decision_score", F.least(F.lit(1.0), weighted_sum(fv.DECISION_WEIGHTS)),
-    ).withColumn(
-        "route_to_moderation",
-        (c("decision_score") >= threshold)
-        | ((c("suspicious_review_density") >= 0.25) & (c("review_count") >= 3))
-        | ((c("max_anomaly_score") >= 0.90) & (c("behavioral_drift_score") >= 0.35)),
-    )
+    joined = behavioral.join(F.broadcast(monthly), "review_month", "left")
+    filled = derive(joined, {c: zero_if_missing(c) for c in fv.ZERO_FILLED_DECISION_INPUTS})
+    scored = derive(filled, {"decision_score": at_most_one(weighted_sum(fv.DECISION_WEIGHTS))})
+    return derive(scored, {"route_to_moderation":
+        f"decision_score >= {num(threshold)} "
+        f"OR (suspicious_review_density >= {num(0.25)} AND review_count >= 3) "
+        f"OR (max_anomaly_score >= {num(0.90)} AND behavioral_drift_score >= {num(0.35)})"})
 
 
 def most_urgent_first(cases: DataFrame) -> DataFrame:

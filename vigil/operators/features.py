@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import flag, zero_filled
+from vigil.functions.sql import derive, flag, zero_if_missing
 from vigil.functions.text import with_text_features
 from vigil.operators.joins import attach_by_key
 from vigil.operators.profiles import business_average, reviewer_profile
@@ -24,31 +23,29 @@ def build_review_features(
     """
     description = None if products is None else products.drop("product_id", "category")
     if description is not None and same_history:
-        per_business = description.withColumns({
-            "business_average_stars": F.col("listed_business_stars"),
-            "business_rows": F.col("listed_review_count"),
-        })
+        per_business = derive(description, {
+            "business_average_stars": "listed_business_stars", "business_rows": "listed_review_count"})
     else:
         per_business = business_average(reviews)
         if description is not None:
             per_business = per_business.join(description, "business_id", "left")
 
-    rows = with_text_features(reviews).withColumns({
-        "review_date": F.to_date("review_timestamp"),
-        "review_month": F.trunc("review_timestamp", "month"),
-        "is_extreme_rating": flag(F.col("stars").isin(1.0, 5.0)),
+    rows = derive(with_text_features(reviews), {
+        "review_date": "to_date(review_timestamp)",
+        "review_month": "trunc(review_timestamp, 'month')",
+        "is_extreme_rating": flag("stars IN (1.0D, 5.0D)"),
     })
     rows = attach_by_key(rows, per_business, ["business_id"], "business_rows",
-                         spread_by=["user_id", "review_timestamp", "stars", "review_length"]).drop("business_rows")
+                         spread_by=["user_id", "review_timestamp", "stars", "review_length"])
     rows = attach_by_key(rows, reviewer_profile(reviews), ["user_id"], "reviewer_review_count",
                          spread_by=["business_id", "review_timestamp", "stars", "review_length"])
-    signed = (F.col("stars") - F.col("business_average_stars")).cast("double")
-    rows = rows.withColumns({
+    signed = "CAST(stars - business_average_stars AS DOUBLE)"
+    rows = derive(rows.drop("business_rows"), {
         "rating_deviation_from_product_average": signed,
-        "rating_deviation_from_business_average": F.abs(signed),
+        "rating_deviation_from_business_average": f"abs({signed})",
     })
-    return zero_filled(rows, fv.ZERO_FILLED_FEATURES)
+    return derive(rows, {c: zero_if_missing(c) for c in fv.ZERO_FILLED_FEATURES if c in rows.columns})
 
 
 def model_vector(features: DataFrame, *others: str) -> DataFrame:
-    return features.select(*others, *[F.col(c).cast("double").alias(c) for c in fv.MODEL_FEATURES])
+    return features.selectExpr(*others, *[f"CAST({c} AS DOUBLE) AS {c}" for c in fv.MODEL_FEATURES])

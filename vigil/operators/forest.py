@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import clip01, hash_uniform
+from vigil.functions.sql import clip01, derive, hash_uniform, num
 from vigil.operators.sampling import hash_sample
 
 NODES = "tree int, node int, depth int, size int, feature int, threshold double, path_length double"
@@ -54,18 +54,16 @@ def deal_samples(training: DataFrame, key: str, total_rows: int, trees: int, sub
     needed = math.ceil(SPARE * slots * size)
     per_row = min(slots, math.ceil(needed / max(min(total_rows, needed), 1)))
     columns = training.columns
-    draws = [F.col(key), F.col("copy")]
-    first = F.floor(hash_uniform(seed, "slot", *draws) * slots)
-    step = F.floor(hash_uniform(seed, "step", *draws) * (slots - 1)) + 1
-    dealt = (
-        hash_sample(training, key, needed, total_rows, seed)
-        .withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1))))
-        .withColumn("tree", F.pmod(first + F.col("turn") * step, F.lit(slots)).cast("int"))
-        .where(F.col("tree") < trees)
-        .withColumn("draw", hash_uniform(seed, "rank", F.col("tree"), *draws))
-    )
-    order = W.partitionBy("tree").orderBy("draw", "copy", *columns)
-    return dealt.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size).select("tree", *columns)
+    drawn = hash_sample(training, key, needed, total_rows, seed)
+    dealt = derive(drawn, {
+        "_first": f"floor(({hash_uniform(seed, 'slot', key, 'copy')}) * {slots})",
+        "_step": f"floor(({hash_uniform(seed, 'step', key, 'copy')}) * {slots - 1}) + 1",
+        "_turn": f"explode(sequence(0, {per_row - 1}))",
+    })
+    placed = derive(dealt, {"tree": f"CAST((_first + _turn * _step) % {slots} AS INT)"}).where(f"tree < {trees}")
+    ranked = derive(placed, {"_draw": hash_uniform(seed, "rank", "tree", key, "copy")})
+    order = W.partitionBy("tree").orderBy("_draw", "copy", *columns)
+    return ranked.withColumn("_place", F.row_number().over(order)).where(f"_place <= {size}").select("tree", *columns)
 
 
 def grow_trees(samples: DataFrame, features: list[str], subsample: int, seed: int) -> DataFrame:
@@ -150,8 +148,8 @@ def raw_score(nodes: DataFrame, features: list[str], subsample: int) -> Column:
             total += path[at]
         return pd.Series(np.power(2.0, -(total / len(paths)) / norm))
 
-    return score(F.struct(*[F.col(c).cast("double").alias(c) for c in features]))
+    return score(F.expr("struct(" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in features) + ")"))
 
 
-def normalise_score(raw: Column, low: float, high: float) -> Column:
-    return clip01((raw - F.lit(low)) / F.lit(max(high - low, fv.TINY)))
+def normalise_score(raw: str, low: float, high: float) -> str:
+    return clip01(f"({raw} - {num(low)}) / {num(max(high - low, fv.TINY))}")

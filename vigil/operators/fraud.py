@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_, or_
-
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import capped, clip01, flag, weighted_sum
+from vigil.functions.sql import capped, clip01, derive, flag, num, weighted_sum
 from vigil.functions.text import comparison_text
 from vigil.operators.joins import attach_by_key
 
@@ -23,15 +19,14 @@ def with_copy_counts(reviews: DataFrame, counted_in: DataFrame | None = None) ->
     Texts are compared by digest. Counts are combined before the shuffle and only groups of two and
     more are joined back, so a text that fills a third of the table is one row of the join.
     """
-    keyed = lambda df: df.withColumn("_copy_key", F.md5(comparison_text(F.col("text"))))
+    keyed = lambda df: derive(df, {"_copy_key": f"md5({comparison_text('text')})"})
     groups = (
         keyed(reviews if counted_in is None else counted_in)
         .groupBy(*CASE, "_copy_key").agg(F.count("*").alias("_copies")).where("_copies > 1")
     )
     joined = attach_by_key(keyed(reviews), groups, [*CASE, "_copy_key"], "_copies",
                            spread_by=["review_id", "user_id", "stars"])
-    return joined.withColumn("near_duplicate_review_count", F.coalesce("_copies", F.lit(1).cast("long"))).drop(
-        "_copies", "_copy_key")
+    return derive(joined, {"near_duplicate_review_count": "coalesce(_copies, 1L)"}).drop("_copies", "_copy_key")
 
 
 def fraud_signals(scored: DataFrame, queue: DataFrame) -> DataFrame:
@@ -41,49 +36,44 @@ def fraud_signals(scored: DataFrame, queue: DataFrame) -> DataFrame:
     in_cases = attach_by_key(scored, cases, CASE, "review_count",
                              spread_by=["review_id", "user_id", "stars"], inner=True)
     rows = with_copy_counts(in_cases, counted_in=scored)
-    c = F.col
-    five, high, low = c("stars") == 5, c("stars") >= 4, c("stars") <= 2
-    rows = rows.withColumns({
-        "very_short_five_star_signal": flag(five & (c("word_count") <= 12)),
-        "high_rating_short_text_signal": flag(high & (c("word_count") <= 20)),
-        "extreme_deviation_signal": capped(c("rating_deviation_from_business_average"), 3.0),
-        "duplicate_text_signal": flag((c("near_duplicate_review_count") > 1) & (c("word_count") >= 4)),
-        "burst_signal": capped(F.abs("review_volume_change"), 2.0),
-        "extreme_cluster_signal": capped(c("extreme_rating_share"), 0.75),
-        "density_signal": capped(c("suspicious_review_density"), 0.50),
-        "unverified_high_rating_signal": flag(high & ~c("verified_purchase")),
-        "reviewer_extreme_signal": capped(c("reviewer_extreme_rating_share"), 0.90),
-        "bot_text_signal": capped(reduce(add, [c(n) for n in (
-            "repeated_character_flag", "text_formatting_anomaly_flag", "generic_praise_flag", "no_space_ratio")])),
-        "synthetic_language_signal": flag(c("synthetic_templated_language_score") >= 0.35),
-        "long_detailed_review_discount": F.when(
-            (c("review_length") >= 900) & (c("word_count") >= 140), F.lit(0.15)).otherwise(F.lit(0.0)),
+    rows = derive(rows, {
+        "very_short_five_star_signal": flag("stars = 5 AND word_count <= 12"),
+        "high_rating_short_text_signal": flag("stars >= 4 AND word_count <= 20"),
+        "extreme_deviation_signal": capped("rating_deviation_from_business_average", 3.0),
+        "duplicate_text_signal": flag("near_duplicate_review_count > 1 AND word_count >= 4"),
+        "burst_signal": capped("abs(review_volume_change)", 2.0),
+        "extreme_cluster_signal": capped("extreme_rating_share", 0.75),
+        "density_signal": capped("suspicious_review_density", 0.50),
+        "unverified_high_rating_signal": flag("stars >= 4 AND NOT verified_purchase"),
+        "reviewer_extreme_signal": capped("reviewer_extreme_rating_share", 0.90),
+        "bot_text_signal": capped(
+            "repeated_character_flag + text_formatting_anomaly_flag + generic_praise_flag + no_space_ratio"),
+        "synthetic_language_signal": flag(f"synthetic_templated_language_score >= {num(0.35)}"),
+        "long_detailed_review_discount":
+            f"CASE WHEN review_length >= 900 AND word_count >= 140 THEN {num(0.15)} ELSE 0.0D END",
+    })
+    present = " OR ".join(f"{name} >= {num(level)}" for name, level in fv.MANIPULATION_SIGNALS)
+    absent = " AND ".join(f"{name} < {num(level)}" for name, level in fv.MANIPULATION_SIGNALS)
+    rows = derive(rows, {
+        "low_star_manipulation_signal": flag(present),
+        "complaint_only_discount": f"CASE WHEN stars <= 2 AND {absent} THEN {num(0.25)} ELSE 0.0D END",
+        "fraud_signal_count": " + ".join(flag(f"{name} >= {num(level)}") for name, level in fv.COUNTED_SIGNALS),
     })
-    present = [c(name) >= level for name, level in fv.MANIPULATION_SIGNALS]
-    absent = [c(name) < level for name, level in fv.MANIPULATION_SIGNALS]
-    return rows.withColumns({
-        "low_star_manipulation_signal": flag(reduce(or_, present)),
-        "complaint_only_discount": F.when(reduce(and_, absent, low), F.lit(0.25)).otherwise(F.lit(0.0)),
-        "fraud_signal_count": reduce(add, [flag(c(name) >= level) for name, level in fv.COUNTED_SIGNALS]),
-    }).withColumn("fraud_like_score", clip01(weighted_sum(fv.FRAUD_WEIGHTS)))
+    return derive(rows, {"fraud_like_score": clip01(weighted_sum(fv.FRAUD_WEIGHTS))})
 
 
 def surfaced(signals: DataFrame) -> DataFrame:
     """Reviews with several signals and a high score; low ratings only with a manipulation sign."""
-    c = F.col
-    return signals.where(
-        (c("fraud_signal_count") >= 2) & (c("fraud_like_score") >= 0.60)
-        & ((c("stars") > 2) | (c("low_star_manipulation_signal") == 1)))
+    return signals.where(f"fraud_signal_count >= 2 AND fraud_like_score >= {num(0.60)} "
+                         "AND (stars > 2 OR low_star_manipulation_signal = 1)")
 
 
 def top_suspicious_reviews(signals: DataFrame, per_case: int = fv.TOP_REVIEWS_PER_CASE) -> DataFrame:
     """The strongest reviews of each case. Spark keeps ``per_case`` rows per case and task before the shuffle."""
-    ranking = W.partitionBy(*CASE).orderBy(
-        F.desc("fraud_like_score"), F.desc("fraud_signal_count"), F.desc("anomaly_score"),
-        "review_id", "stars", "useful", "review_title", "verified_purchase")
-    shown = {"review_text": F.col("clean_review_text"), "review_text_preview": F.col("clean_review_text")}
+    ranking = ("row_number() OVER (PARTITION BY business_id, review_month ORDER BY fraud_like_score DESC, "
+               "fraud_signal_count DESC, anomaly_score DESC, review_id, stars, useful, review_title, verified_purchase)")
+    shown = {"review_text": "clean_review_text", "review_text_preview": "clean_review_text"}
     return (
-        surfaced(signals).withColumn("review_rank", F.row_number().over(ranking))
-        .where(F.col("review_rank") <= per_case)
-        .select(*[shown[c].alias(c) if c in shown else F.col(c) for c in fv.TOP_REVIEW_COLUMNS])
+        derive(surfaced(signals), {"review_rank": ranking}).where(f"review_rank <= {per_case}")
+        .selectExpr(*[f"{shown.get(c, c)} AS {c}" for c in fv.TOP_REVIEW_COLUMNS])
     )

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.sql import derive
+
 # Number of heaviest keys joined by broadcast. The broadcast holds at most this
 # many rows whatever the data size, and a key left to the shuffle holds at most
 # 1/HEAVY_KEYS of the rows.
@@ -32,25 +31,17 @@ def attach_by_key(
     their single match as usual. The spreading hash depends on row content only,
     so a recomputed task sends its rows to the same places.
     """
-    payload = F.struct(*[F.col(c) for c in per_key.columns if c not in keys])
-    known = per_key.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).select(*keys, payload.alias("_cold"))
-    heaviest = (
-        known.orderBy(F.desc(f"_cold.{weight}"), *keys).limit(heavy_keys)
-        .withColumnRenamed("_cold", "_hot")
-    )
-    needs_no_match = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
-    join_keys = [f"_join_{k}" for k in keys]
-    routed = (
-        rows.join(F.broadcast(heaviest), keys, "left")
-        .withColumn("_settled", needs_no_match)
-        .withColumns({j: F.when(~F.col("_settled"), F.col(k)) for j, k in zip(join_keys, keys)})
-        .withColumn("_spread", F.when(
-            F.col("_settled"), F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))).otherwise(F.lit(0)))
-    )
-    cold = known.select(*[F.col(k).alias(j) for j, k in zip(join_keys, keys)], "_cold",
-                        F.lit(0).cast("long").alias("_spread"))
-    joined = routed.join(cold, [*join_keys, "_spread"], "left").withColumn("_match", F.coalesce("_hot", "_cold"))
+    payload = [c for c in per_key.columns if c not in keys]
+    known = per_key.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).selectExpr(
+        *keys, f"struct({', '.join(payload)}) AS _cold")
+    heaviest = known.orderBy(F.desc(f"_cold.{weight}"), *keys).limit(heavy_keys).withColumnRenamed("_cold", "_hot")
+    settled = " OR ".join(["_hot IS NOT NULL", *[f"{k} IS NULL" for k in keys]])
+    routed = derive(rows.join(F.broadcast(heaviest), keys, "left"), {
+        **{f"_join_{k}": f"CASE WHEN NOT ({settled}) THEN {k} END" for k in keys},
+        "_spread": f"CASE WHEN {settled} THEN pmod(xxhash64({', '.join(spread_by)}), {SPREAD}L) ELSE 0L END",
+    })
+    cold = known.selectExpr(*[f"{k} AS _join_{k}" for k in keys], "_cold", "0L AS _spread")
+    joined = routed.join(cold, [*[f"_join_{k}" for k in keys], "_spread"], "left")
     if inner:
-        joined = joined.where(F.col("_match").isNotNull())
-    kept = [c for c in rows.columns]
-    return joined.select(*kept, *[F.col(f"_match.{c}").alias(c) for c in per_key.columns if c not in keys])
+        joined = joined.where("_hot IS NOT NULL OR _cold IS NOT NULL")
+    return joined.selectExpr(*rows.columns, *[f"coalesce(_hot, _cold).{c} AS {c}" for c in payload])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import weighted_sum
+from vigil.functions.sql import at_most_one, derive, num, weighted_sum
 from vigil.operators.quantiles import exact_quantiles
 
 SCORE = "anomaly_score"
@@ -20,10 +20,10 @@ def monthly_population(scored: DataFrame, exact: bool = True) -> DataFrame:
     """
     p95 = [] if exact else [F.percentile_approx(SCORE, 0.95).alias("anomaly_score_p95")]
     monthly = scored.groupBy("review_month").agg(
-        F.count("*").alias("scored_review_count"),
-        F.avg(SCORE).alias("anomaly_score_mean"),
+        F.expr("count(*) AS scored_review_count"),
+        F.expr(f"avg({SCORE}) AS anomaly_score_mean"),
         *p95,
-        *[F.avg(c).alias(f"{c}_mean") for c in fv.MODEL_FEATURES],
+        *[F.expr(f"avg({c}) AS {c}_mean") for c in fv.MODEL_FEATURES],
     )
     if not exact:
         return monthly
@@ -37,25 +37,21 @@ def monthly_population(scored: DataFrame, exact: bool = True) -> DataFrame:
 def model_drift(scored: DataFrame, baseline: DataFrame, exact: bool = True) -> DataFrame:
     """Feature, prediction and combined drift scores per month, with the retraining alert."""
     monthly = monthly_population(scored, exact)
-    measures = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}_mean").alias("now"), F.lit(None).cast("double").alias("now_p95"))
-                for c in fv.MODEL_FEATURES]
-    measures.append(F.struct(F.lit(SCORE).alias("feature"), F.col("anomaly_score_mean").alias("now"),
-                             F.col("anomaly_score_p95").alias("now_p95")))
-    unit = F.greatest(F.col("std"), F.lit(fv.TINY))
-    is_feature = F.col("feature") != SCORE
-    distance = F.abs(F.col("now") - F.col("mean")) / unit
-    distance_p95 = F.abs(F.col("now_p95") - F.col("p95")) / unit
+    measures = [f"struct('{c}' AS feature, {c}_mean AS now, CAST(NULL AS DOUBLE) AS now_p95)" for c in fv.MODEL_FEATURES]
+    measures.append(f"struct('{SCORE}' AS feature, anomaly_score_mean AS now, anomaly_score_p95 AS now_p95)")
+    unit = f"greatest(std, {num(fv.TINY)})"
+    away, away_p95 = f"abs(now - mean) / {unit}", f"abs(now_p95 - p95) / {unit}"
     compared = (
-        monthly.select("review_month", F.inline(F.array(*measures)))
+        monthly.selectExpr("review_month", f"inline(array({', '.join(measures)}))")
         .join(F.broadcast(baseline.select("feature", "mean", "std", "p95")), "feature")
         .groupBy("review_month")
         .agg(
-            (F.sum(F.when(is_feature, F.least(distance, F.lit(5.0)) / 5.0)) / len(fv.MODEL_FEATURES))
-            .alias("feature_drift_score"),
-            F.least(F.max(F.when(~is_feature, distance + distance_p95)) / 6.0, F.lit(1.0))
-            .alias("prediction_drift_score"),
+            F.expr(f"sum(CASE WHEN feature != '{SCORE}' THEN least({away}, 5.0D) / 5.0D END) / {len(fv.MODEL_FEATURES)} "
+                   "AS feature_drift_score"),
+            F.expr(f"least(max(CASE WHEN feature = '{SCORE}' THEN {away} + {away_p95} END) / 6.0D, 1.0D) "
+                   "AS prediction_drift_score"),
         )
     )
-    return monthly.join(F.broadcast(compared), "review_month").withColumn(
-        "model_drift_score", F.least(F.lit(1.0), weighted_sum(fv.MODEL_DRIFT_WEIGHTS)),
-    ).withColumn("retraining_alert", F.col("model_drift_score") >= fv.RETRAINING_ALERT)
+    combined = derive(monthly.join(F.broadcast(compared), "review_month"),
+                      {"model_drift_score": at_most_one(weighted_sum(fv.MODEL_DRIFT_WEIGHTS))})
+    return derive(combined, {"retraining_alert": f"model_drift_score >= {num(fv.RETRAINING_ALERT)}"})

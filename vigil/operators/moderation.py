@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
 from vigil.functions.display import with_case_keys
-from vigil.functions.numeric import flag, hash_uniform
+from vigil.functions.sql import hash_uniform
 
 CASE_KEYS = ["product_key", "month_key"]
 
@@ -79,7 +79,7 @@ def arm_stats(spark: SparkSession, outcomes: DataFrame, thresholds=fv.ARM_THRESH
     """Trials and rewards per threshold from (threshold, label) outcomes; every arm has a row."""
     arms = spark.createDataFrame([(i, float(t)) for i, t in enumerate(thresholds)], "arm int, threshold double")
     seen = outcomes.groupBy("threshold").agg(
-        F.count("*").alias("trials"), F.sum(flag(F.col("label") == "suspicious")).alias("reward"))
+        F.count("*").alias("trials"), F.expr("CAST(count_if(label = 'suspicious') AS DOUBLE) AS reward"))
     stats = seen.join(arms, "threshold", "full")
     return stats.select(
         F.coalesce("arm", F.lit(len(thresholds))).alias("arm"), "threshold",
@@ -92,11 +92,10 @@ def choose_threshold(
     stats: DataFrame, explore: float = fv.EXPLORE_SHARE, seed: int = 0, batch: str = "0", arms: int = len(fv.ARM_THRESHOLDS),
 ) -> DataFrame:
     """One row: the best arm (the first of equals), or by chance ``explore`` an arm drawn by hash."""
-    own = stats.where(F.col("arm") < arms)
-    best = own.agg(
-        F.max_by("threshold", F.struct("mean_reward", -F.col("arm"))).alias("best"),
-        F.sort_array(F.collect_list(F.struct("arm", "threshold"))).alias("all"),
+    best = stats.where(F.col("arm") < arms).agg(
+        F.expr("max_by(threshold, struct(mean_reward, -arm)) AS best"),
+        F.expr("sort_array(collect_list(struct(arm, threshold))).threshold AS arms"),
     )
-    drawn = F.element_at(F.col("all.threshold"), (F.floor(hash_uniform(seed, batch, "arm") * arms) + 1).cast("int"))
-    exploring = hash_uniform(seed, batch, "explore") < explore
-    return best.select(F.when(exploring, drawn).otherwise(F.col("best")).alias("threshold"), exploring.alias("explored"))
+    drawn = f"arms[CAST(floor({hash_uniform(seed, 'arm', repr(batch))} * {arms}) AS INT)]"
+    exploring = f"{hash_uniform(seed, 'explore', repr(batch))} < {float(explore)!r}D"
+    return best.selectExpr(f"CASE WHEN {exploring} THEN {drawn} ELSE best END AS threshold", f"{exploring} AS explored")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import flag
+from vigil.functions.sql import flag
 
 
 def business_average(reviews: DataFrame) -> DataFrame:
@@ -15,12 +15,10 @@ def business_average(reviews: DataFrame) -> DataFrame:
 
 def reviewer_profile(reviews: DataFrame) -> DataFrame:
     """Rows without a reviewer form a group of their own here; joins by reviewer never match it."""
-    stars = F.col("stars")
-    share = lambda condition: F.avg(flag(condition))
+    share = {"reviewer_extreme_rating_share": "stars IN (1.0D, 5.0D)", "reviewer_five_star_share": "stars = 5",
+             "reviewer_one_star_share": "stars = 1"}
     return reviews.groupBy("user_id").agg(
-        F.avg(stars).alias("reviewer_average_rating"),
-        F.count("*").cast("double").alias("reviewer_review_count"),
-        share((stars == 1) | (stars == 5)).alias("reviewer_extreme_rating_share"),
-        share(stars == 5).alias("reviewer_five_star_share"),
-        share(stars == 1).alias("reviewer_one_star_share"),
+        F.expr("avg(stars) AS reviewer_average_rating"),
+        F.expr("CAST(count(*) AS DOUBLE) AS reviewer_review_count"),
+        *[F.expr(f"avg({flag(condition)}) AS {name}") for name, condition in share.items()],
     )

@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import at_least_one, capped, weighted_sum
-
-
-def business_month_signals(scored: DataFrame) -> DataFrame:
-    """One row per product and month. Descriptive columns are equal within a product, so max picks them."""
-    return scored.groupBy("business_id", "review_month").agg(
-        *[F.max(c).alias(c) for c in ("business_name", "product_title", "city", "state")],
-        F.count("*").alias("review_count"),
-        F.avg("stars").alias("avg_rating"),
-        F.avg("is_extreme_rating").alias("extreme_rating_share"),
-        F.avg("review_length").alias("avg_review_length"),
-        F.avg("anomaly_score").alias("avg_anomaly_score"),
-        F.max("anomaly_score").alias("max_anomaly_score"),
-        F.avg("is_suspicious_review").alias("suspicious_review_density"),
-    )
-
-
+from vigil.functions.sql import at_least_one, at_most_one, capped, derive, weighted_sum
+
+SIGNALS = {
+    # equal within a product, so max picks the value whatever the order of rows
+    "business_name": "max(business_name)",
+    "product_title": "max(product_title)",
+    "city": "max(city)",
+    "state": "max(state)",
+    "review_count": "count(*)",
+    "avg_rating": "avg(stars)",
+    "extreme_rating_share": "avg(is_extreme_rating)",
+    "avg_review_length": "avg(review_length)",
+    "avg_anomaly_score": "avg(anomaly_score)",
+    "max_anomaly_score": "max(anomaly_score)",
+    "suspicious_review_density": "avg(is_suspicious_review)",
+}
 # drift column -> (signal it follows, whether the change is relative to the previous value)
 FOLLOWED = {
     "review_volume_change": ("review_count", True),
@@ -33,12 +31,16 @@ FOLLOWED = {
 }
 
 
-def change(signal: str, relative: bool) -> Column:
-    now, before = F.col(signal), F.col(f"prev_{signal}")
-    step = now - before
-    if relative:
-        step = step / at_least_one(before)
-    return F.when(before.isNull(), F.lit(0.0)).otherwise(step)
+def business_month_signals(scored: DataFrame) -> DataFrame:
+    """One row per product and month."""
+    return scored.groupBy("business_id", "review_month").agg(*[
+        F.expr(f"{e} AS {name}") for name, e in SIGNALS.items()])
+
+
+def change(signal: str, relative: bool) -> str:
+    before = f"prev_{signal}"
+    step = f"({signal} - {before})" + (f" / {at_least_one(before)}" if relative else "")
+    return f"CASE WHEN {before} IS NULL THEN 0.0D ELSE {step} END"
 
 
 def behavioral_drift(business_month: DataFrame) -> DataFrame:
@@ -46,10 +48,10 @@ def behavioral_drift(business_month: DataFrame) -> DataFrame:
 
     The window holds one product's months, a few hundred rows at most, however many reviews it has.
     """
-    history = W.partitionBy("business_id").orderBy("review_month")
-    with_previous = business_month.withColumns(
-        {f"prev_{signal}": F.lag(signal).over(history) for signal, _ in FOLLOWED.values()})
-    shifted = with_previous.withColumns({name: change(*how) for name, how in FOLLOWED.items()})
-    return shifted.withColumn("behavioral_drift_score", F.least(F.lit(1.0), weighted_sum(
+    with_previous = derive(business_month, {
+        f"prev_{signal}": f"lag({signal}) OVER (PARTITION BY business_id ORDER BY review_month)"
+        for signal, _ in FOLLOWED.values()})
+    shifted = derive(with_previous, {name: change(*how) for name, how in FOLLOWED.items()})
+    return derive(shifted, {"behavioral_drift_score": at_most_one(weighted_sum(
         [(name, weight) for name, _, weight in fv.BEHAVIOUR_WEIGHTS],
-        {name: capped(F.abs(name), full) for name, full, _ in fv.BEHAVIOUR_WEIGHTS})))
+        {name: capped(f"abs({name})", full) for name, full, _ in fv.BEHAVIOUR_WEIGHTS}))})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import hash_uniform
+from vigil.functions.sql import derive, hash_uniform, num
 
 
 def hash_sample(
@@ -24,13 +24,10 @@ def hash_sample(
     the expected size is exactly ``max_rows``. ``draw`` numbers the copies kept.
     """
     share = min(1.0, max_rows / max(total_rows, 1))
-    kept = F.floor(F.col("_copies") * F.lit(share) + hash_uniform(seed, "sample", F.col(key))).cast("long")
-    if share == 1.0:
-        kept = F.col("_copies")
+    kept = "_copies" if share == 1.0 else (
+        f"CAST(floor(_copies * {num(share)} + {hash_uniform(seed, 'sample', key)}) AS BIGINT)")
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     return (
-        df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-        .withColumn("_kept", kept)
-        .where("_kept > 0")
-        .withColumn(draw, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_kept"))))
-        .drop("_copies", "_kept")
+        derive(counted, {"_kept": kept}).where("_kept > 0")
+        .selectExpr(*df.columns, f"explode(sequence(1L, _kept)) AS {draw}")
     )

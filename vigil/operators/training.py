@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
-from vigil.functions.numeric import flag
+from vigil.functions.sql import derive, flag, num
 from vigil.operators.features import model_vector
 from vigil.operators.forest import fit_forest, normalise_score, raw_score
 from vigil.operators.quantiles import exact_quantiles
@@ -66,12 +66,12 @@ def find_cutoff(features: DataFrame, training_months: int, min_rows: int) -> tup
     return found["cutoff_date"], found["training_rows"]
 
 
-def before(cutoff: date) -> Column:
-    return F.col("review_month") < F.lit(cutoff)
+def before(cutoff: date) -> str:
+    return f"review_month < DATE'{cutoff}'"
 
 
-def from_cutoff_on(cutoff: date) -> Column:
-    return F.col("review_month") >= F.lit(cutoff)
+def from_cutoff_on(cutoff: date) -> str:
+    return f"review_month >= DATE'{cutoff}'"
 
 
 def training_frame(
@@ -89,13 +89,10 @@ def baseline_stats(frame: DataFrame, columns: list[str]) -> DataFrame:
 
     Not-a-number and NULL count as 0.
     """
-    clean = frame.select(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)).alias(c)
-                           for c in columns])
-    moments = clean.agg(*[F.struct(
-        F.lit(c).alias("feature"),
-        F.avg(c).alias("mean"),
-        F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias("std"),
-    ).alias(c) for c in columns]).select(F.inline(F.array(*columns)))
+    clean = frame.selectExpr(*[f"coalesce(nanvl(CAST({c} AS DOUBLE), NULL), 0.0D) AS {c}" for c in columns])
+    moments = clean.agg(*[F.expr(
+        f"struct('{c}' AS feature, avg({c}) AS mean, coalesce(nullif(stddev_pop({c}), 0.0D), 1.0D) AS std) AS {c}")
+        for c in columns]).selectExpr(f"inline(array({', '.join(columns)}))")
     quantiles = (
         exact_quantiles(clean, columns, list(BASELINE_QUANTILES.values()))
         .groupBy("feature")
@@ -112,8 +109,8 @@ def impute_and_scale(features: DataFrame, baseline: DataFrame) -> DataFrame:
     The forest itself does not need the scaling: its cuts are uniform in the range of each feature.
     """
     stats = {r["feature"]: r for r in baseline.select("feature", "mean", "std", "p50").collect()}
-    return features.withColumns({
-        name: (F.coalesce(F.nanvl(F.col(name), F.lit(None)), F.lit(s["p50"])) - F.lit(s["mean"])) / F.lit(s["std"])
+    return derive(features, {
+        name: f"(coalesce(nanvl({name}, NULL), {num(s['p50'])}) - {num(s['mean'])}) / {num(s['std'])}"
         for name, s in stats.items() if name in features.columns})
 
 
@@ -162,7 +159,7 @@ def train(
     scored = written_table(
         spark, frame.select(*columns, raw_score(nodes, columns, min(subsample, used)).alias("raw")), "training-scores")
     low, high = [r["value"] for r in exact_quantiles(scored, ["raw"], [0.01, 0.99]).orderBy("probability").collect()]
-    scored = scored.withColumn("anomaly_score", normalise_score(F.col("raw"), low, high))
+    scored = derive(scored, {"anomaly_score": normalise_score("raw", low, high)})
     meta = spark.createDataFrame(
         [(cutoff, training_months, contamination, low, high, max_train_rows, used, min(subsample, used), trees, seed)],
         "training_cutoff_date date, training_months int, contamination double, raw_score_p01 double, "
@@ -174,7 +171,7 @@ def train(
 
 
 def mark_suspicious(scored: DataFrame, threshold: float = fv.SUSPICIOUS_SCORE) -> DataFrame:
-    return scored.withColumn("is_suspicious_review", flag(F.col("anomaly_score") >= threshold))
+    return derive(scored, {"is_suspicious_review": flag(f"anomaly_score >= {num(threshold)}")})
 
 
 def score_reviews(features: DataFrame, model: Model) -> DataFrame:
@@ -182,5 +179,5 @@ def score_reviews(features: DataFrame, model: Model) -> DataFrame:
     facts = model.meta.first()
     raw = raw_score(model.nodes, list(fv.MODEL_FEATURES), facts["subsample"])
     scored = features.where(from_cutoff_on(facts["training_cutoff_date"])).withColumn("anomaly_score", raw)
-    return mark_suspicious(scored.withColumn("anomaly_score", normalise_score(
-        F.col("anomaly_score"), facts["raw_score_p01"], facts["raw_score_p99"])))
+    return mark_suspicious(derive(scored, {
+        "anomaly_score": normalise_score("anomaly_score", facts["raw_score_p01"], facts["raw_score_p99"])}))

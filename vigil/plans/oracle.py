@@ -119,7 +119,7 @@ CTES["raw"] = ((), f"""
 SELECT CASE WHEN l_linenumber <> 1 THEN 'B' || l_suppkey END AS parent_asin,
   CASE WHEN l_linenumber = 1 THEN 'B' || l_suppkey ELSE 'V' || l_partkey END AS asin,
   CASE WHEN o_custkey % 50 <> 0 THEN 'U' || o_custkey END AS user_id,
-  epoch(l_shipdate)::BIGINT * (CASE WHEN l_linenumber % 2 = 0 THEN 1000 ELSE 1 END) AS ts, l_shipdate AS at,
+  epoch(l_shipdate)::BIGINT * (CASE WHEN l_linenumber % 2 = 0 THEN 1000 ELSE 1 END) AS ts, l_shipdate AS shipped,
   CASE WHEN l_quantity > 25 THEN 5e0 WHEN l_quantity < 6 THEN 1e0 ELSE ceil(l_quantity / 10)::DOUBLE END AS stars,
   CASE WHEN l_tax > 0 THEN round(l_tax * 100) ELSE 0e0 END AS useful, o_orderpriority AS review_title,
   CASE style {styles} END AS text, l_returnflag <> 'R' AS verified_purchase
@@ -130,8 +130,8 @@ CTES["reviews"] = (("raw",), f"""
 SELECT sha256(concat_ws('||', coalesce(parent_asin, asin), user_id, ts::VARCHAR, coalesce(text, ''))) AS review_id, user_id,
   coalesce(parent_asin, asin) AS business_id, coalesce(parent_asin, asin) AS product_id, '{CATEGORY}' AS category, asin,
   parent_asin, stars, useful, 0e0 AS funny, 0e0 AS cool, coalesce(text, '') AS text, review_title, verified_purchase,
-  date_trunc('second', at) AS review_timestamp, date_trunc('second', at) AS review_datetime,
-  date_trunc('day', at)::DATE AS review_date, date_trunc('month', at)::DATE AS review_month FROM raw""")
+  date_trunc('second', shipped) AS review_timestamp, date_trunc('second', shipped) AS review_datetime,
+  date_trunc('day', shipped)::DATE AS review_date, date_trunc('month', shipped)::DATE AS review_month FROM raw""")
 CTES["metadata"] = ((), """
 SELECT 'B' || s_suppkey AS asin, min(title) AS product_title FROM (
   SELECT s_suppkey, s_name AS title FROM supplier WHERE s_suppkey % 10 <> 0

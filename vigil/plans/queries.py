@@ -7,13 +7,13 @@ that any SQL engine can compute; the forest queries use the real model.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vigil import fixed_values as fv
 from vigil.functions import display
-from vigil.functions.numeric import flag
+from vigil.functions.sql import derive, flag, num
 from vigil.functions.text import with_text_features
 from vigil.operators.decisions import decide, moderation_queue, most_urgent_first
 from vigil.operators.features import build_review_features, model_vector
@@ -38,7 +38,7 @@ from vigil.sources.reviews import build_products, with_output_defaults
 from vigil.sources.tables import append_labels, read_labels, read_table, write_table
 from vigil.streaming.replay import replay_business_months
 
-Query = Callable[[SparkSession, str], DataFrame]
+Query = Callable[["Inputs"], DataFrame]
 DIGITS = 9
 SAMPLE_ROWS = 2000
 SAMPLE_SEED = 7
@@ -62,329 +62,339 @@ SIGNALS = (
 
 def published(df: DataFrame) -> DataFrame:
     """Doubles rounded, dates and timestamps as text: the form in which results are compared."""
-    def shown(name: str, dtype: str) -> Column:
+    def shown(name: str, dtype: str) -> str:
         if dtype == "double":
-            return F.round(F.col(name), DIGITS) + F.lit(0.0)
+            return f"round(`{name}`, {DIGITS}) + 0.0D AS `{name}`"
         if dtype == "date":
-            return F.date_format(name, "yyyy-MM-dd")
+            return f"date_format(`{name}`, 'yyyy-MM-dd') AS `{name}`"
         if dtype.startswith("timestamp"):
-            return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
-        return F.col(name)
-    return df.select(*[shown(n, t).alias(n) for n, t in df.dtypes])
+            return f"date_format(`{name}`, 'yyyy-MM-dd HH:mm:ss') AS `{name}`"
+        return f"`{name}`"
+    return df.selectExpr(*[shown(n, t) for n, t in df.dtypes])
 
 
-# ---- shared inputs ---------------------------------------------------------
-
-def products(spark, d) -> DataFrame:
-    return build_products(fx.reviews(spark, d), fx.CATEGORY, fx.metadata(spark, d))
-
-
-def features(spark, d) -> DataFrame:
-    return build_review_features(fx.reviews(spark, d), products(spark, d), same_history=True)
-
-
-def months_of(spark, d) -> DataFrame:
-    return fx.reviews(spark, d).select(F.trunc("review_timestamp", "month").alias("review_month"))
-
-
-def cutoff(spark, d):
-    return find_cutoff(months_of(spark, d), fv.TRAINING_MONTHS, fv.MIN_TRAINING_ROWS)
-
-
-def stand_in_score() -> Column:
-    c = F.col
-    return F.least(F.lit(1.0), 0.525 * c("rating_deviation_from_business_average") / 3.0
-                   + 0.375 * c("uppercase_share") + 0.3 * c("repeated_character_flag")
-                   + 0.6 * flag(c("html_break_count") >= 4) + 0.3 * c("generic_praise_flag")
-                   + 0.3 * flag(c("word_count") <= 3))
+STAND_IN_SCORE = (
+    f"least(1.0D, {num(0.525)} * rating_deviation_from_business_average / 3.0D + {num(0.375)} * uppercase_share "
+    f"+ {num(0.3)} * repeated_character_flag + {num(0.6)} * {flag('html_break_count >= 4')} "
+    f"+ {num(0.3)} * generic_praise_flag + {num(0.3)} * {flag('word_count <= 3')})")
 
 
 def stand_in(df: DataFrame) -> DataFrame:
-    return mark_suspicious(df.withColumn("anomaly_score", stand_in_score()))
+    return mark_suspicious(derive(df, {"anomaly_score": STAND_IN_SCORE}))
 
 
-def scored(spark, d) -> DataFrame:
-    return stand_in(features(spark, d)).where(from_cutoff_on(cutoff(spark, d)[0]))
+class Inputs:
+    """The frames one query builds on, each made once.
 
+    A frame that several branches of a query read (``stored`` and what follows from it) is written
+    to the shared folder first, as a stage of a batch run would be.
+    """
 
-def training_rows(spark, d) -> DataFrame:
-    return stand_in(features(spark, d)).where(before(cutoff(spark, d)[0]))
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
 
+    def table(self, name: str) -> DataFrame:
+        return fx.table(self.spark, self.sf_dir, name)
 
-def baseline(spark, d) -> DataFrame:
-    return baseline_stats(training_rows(spark, d), [*fv.MODEL_FEATURES, "anomaly_score"])
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return written_table(self.spark, df, name)
 
+    @cached_property
+    def reviews(self) -> DataFrame:
+        return fx.reviews(self.spark, self.sf_dir)
 
-def drift(spark, d) -> DataFrame:
-    return behavioral_drift(business_month_signals(scored(spark, d)))
+    @cached_property
+    def months(self) -> DataFrame:
+        return self.reviews.selectExpr("trunc(review_timestamp, 'month') AS review_month")
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return build_products(self.reviews, fx.CATEGORY, fx.metadata(self.spark, self.sf_dir))
 
-def monthly_drift(spark, d) -> DataFrame:
-    return model_drift(scored(spark, d), baseline(spark, d))
+    @cached_property
+    def features(self) -> DataFrame:
+        return build_review_features(self.reviews, self.products, same_history=True)
 
+    @cached_property
+    def cutoff(self) -> tuple:
+        return find_cutoff(self.months, fv.TRAINING_MONTHS, fv.MIN_TRAINING_ROWS)
 
-def decisions(spark, d) -> DataFrame:
-    return decide(drift(spark, d), monthly_drift(spark, d))
+    @cached_property
+    def with_score(self) -> DataFrame:
+        return stand_in(self.features)
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        return self.with_score.where(from_cutoff_on(self.cutoff[0]))
 
-def queue(spark, d) -> DataFrame:
-    return moderation_queue(decisions(spark, d))
+    @cached_property
+    def business_months(self) -> DataFrame:
+        return business_month_signals(self.scored)
 
+    @cached_property
+    def drift(self) -> DataFrame:
+        return behavioral_drift(self.business_months)
 
-def staged_queue(spark, d) -> DataFrame:
-    return written_table(spark, queue(spark, d), "queue")
+    def document_features(self, name: str, key: list[str], text: str = "text") -> DataFrame:
+        return with_text_features(fx.spread(self.table(name)).selectExpr(*key, f"{text} AS text", "5.0D AS stars"))
 
+    @cached_property
+    def label_log(self) -> DataFrame:
+        """A moderator labels the labelled documents twice; the second time decides."""
+        log = self.table("labels")
+        review = "concat('D', doc_id) AS review_id"
+        first = log.selectExpr("TIMESTAMP'2024-01-01 00:00:00' AS saved_at", review, "'unsure' AS label",
+                               "'first look' AS notes")
+        second = log.where("toxic = 0").selectExpr(
+            "TIMESTAMP'2024-01-02 00:00:00' AS saved_at", review,
+            "CASE WHEN quality = 0 THEN 'suspicious' ELSE 'not suspicious' END AS label", "'' AS notes")
+        return first.unionByName(second)
 
-def signals(spark, d) -> DataFrame:
-    return fraud_signals(scored(spark, d), staged_queue(spark, d))
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """Labels dealt to threshold arms by document."""
+        arms = ", ".join(num(t) for t in fv.ARM_THRESHOLDS)
+        return latest_labels(self.label_log).selectExpr(
+            f"array({arms})[CAST(CAST(substring(review_id, 2) AS BIGINT) % {len(fv.ARM_THRESHOLDS)} AS INT)] AS threshold",
+            "label")
 
 
-def top_reviews(spark, d) -> DataFrame:
-    return top_suspicious_reviews(signals(spark, d))
+class Staged(Inputs):
+    """The same frames with the scored features written once, for queries that read them several times."""
 
+    @cached_property
+    def with_score(self) -> DataFrame:
+        return self.keep(stand_in(self.features), "with-score")
 
-def document_features(spark, d, name: str, key: list[str], text: str = "text") -> DataFrame:
-    return with_text_features(
-        fx.spread(fx.table(spark, d, name).select(*key, F.col(text).alias("text"))).withColumn("stars", F.lit(5.0)))
+    @cached_property
+    def months(self) -> DataFrame:
+        return self.with_score.select("review_month")
 
+    @cached_property
+    def training(self) -> DataFrame:
+        return self.with_score.where(before(self.cutoff[0]))
 
-def label_log(spark, d) -> DataFrame:
-    """A moderator labels the labelled documents twice; the second time decides."""
-    c = F.col
-    judged = F.when(c("quality") == 0, "suspicious").otherwise("not suspicious")
-    log = fx.table(spark, d, "labels").withColumn("review_id", F.concat(F.lit("D"), c("doc_id").cast("string")))
-    first = log.select(F.lit("2024-01-01 00:00:00").cast("timestamp").alias("saved_at"), "review_id",
-                       F.lit("unsure").alias("label"), F.lit("first look").alias("notes"))
-    second = log.where(c("toxic") == 0).select(
-        F.lit("2024-01-02 00:00:00").cast("timestamp").alias("saved_at"), "review_id", judged.alias("label"),
-        F.lit("").alias("notes"))
-    return first.unionByName(second)
+    @cached_property
+    def baseline(self) -> DataFrame:
+        return baseline_stats(self.training, [*fv.MODEL_FEATURES, "anomaly_score"])
 
+    @cached_property
+    def monthly_drift(self) -> DataFrame:
+        return model_drift(self.scored, self.keep(self.baseline, "baseline"))
 
-def labelled_documents(spark, d) -> DataFrame:
-    docs = document_features(spark, d, "documents", ["doc_id"])
-    return docs.select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("review_id"),
-                       F.col("synthetic_templated_language_score").alias("anomaly_score"))
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return decide(self.drift, self.monthly_drift)
 
+    @cached_property
+    def queue(self) -> DataFrame:
+        return moderation_queue(self.decisions)
 
-def outcomes(spark, d) -> DataFrame:
-    """Labels dealt to threshold arms by document."""
-    arms = F.array(*[F.lit(t) for t in fv.ARM_THRESHOLDS])
-    arm = (F.substring("review_id", 2, 20).cast("long") % len(fv.ARM_THRESHOLDS) + 1).cast("int")
-    return latest_labels(label_log(spark, d)).select(F.element_at(arms, arm).alias("threshold"), "label")
+    @cached_property
+    def kept_queue(self) -> DataFrame:
+        return self.keep(self.queue, "queue")
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        return fraud_signals(self.scored, self.kept_queue)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return top_suspicious_reviews(self.signals)
+
+    @cached_property
+    def forest_training(self) -> tuple[DataFrame, int]:
+        """Model features of the training window."""
+        limit, rows = self.cutoff
+        return model_vector(self.with_score.where(before(limit)), "review_id"), rows
+
+    @cached_property
+    def forest(self) -> DataFrame:
+        training, rows = self.forest_training
+        return fit_forest(training, "review_id", rows)
 
 
 # ---- queries ---------------------------------------------------------------
 
 def review_texts(columns) -> Query:
-    def query(spark, d):
-        return with_text_features(fx.reviews(spark, d)).select("review_id", *columns)
-    return query
+    return lambda x: with_text_features(x.reviews).select("review_id", *columns)
 
 
 def whole_texts(name, key, columns, text="text") -> Query:
-    def query(spark, d):
-        return document_features(spark, d, name, key, text).select(*key, *columns)
-    return query
+    return lambda x: x.document_features(name, key, text).select(*key, *columns)
 
 
-def json_path_fields(spark, d):
-    events = fx.table(spark, d, "events")
-    return events.select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"),
-                         F.get_json_object("props", "$.absent").alias("absent"))
+def json_path_fields(x: Inputs):
+    return x.table("events").selectExpr(
+        "event_id", "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k", "get_json_object(props, '$.absent') AS absent")
 
 
-def hash_sampled(spark, d):
-    rows = features(spark, d).where(before(cutoff(spark, d)[0])).select("review_id", "stars", "word_count")
-    return hash_sample(rows, "review_id", SAMPLE_ROWS, cutoff(spark, d)[1], SAMPLE_SEED).drop("copy")
+def hash_sampled(x: Staged):
+    limit, rows = x.cutoff
+    vector = x.with_score.where(before(limit)).select("review_id", "stars", "word_count")
+    return hash_sample(vector, "review_id", SAMPLE_ROWS, rows, SAMPLE_SEED).drop("copy")
 
 
-def score_normalised(spark, d):
-    rows = training_rows(spark, d)
-    bounds = exact_quantiles(rows.select("anomaly_score"), ["anomaly_score"], [0.01, 0.99])
+def score_normalised(x: Staged):
+    bounds = exact_quantiles(x.training, ["anomaly_score"], [0.01, 0.99])
     low, high = [r["value"] for r in bounds.orderBy("probability").collect()]
-    return rows.select("review_id", normalise_score(F.col("anomaly_score"), low, high).alias("normalised_score"))
+    return x.training.selectExpr("review_id", f"{normalise_score('anomaly_score', low, high)} AS normalised_score")
 
 
-def imputed_scaled(spark, d):
+def imputed_scaled(x: Inputs):
     """Documents stand in for reviews whose stars are partly unknown: labelled ones have a rating."""
-    docs = document_features(spark, d, "documents", ["doc_id"]).drop("stars")
-    labels = fx.table(spark, d, "labels").select("doc_id", (F.col("quality") * 4.0 + 1.0).alias("stars"))
-    rows = docs.join(labels, "doc_id", "left").select("doc_id", "stars", "review_length", "uppercase_share")
     names = ["stars", "review_length", "uppercase_share"]
-    known = exact_quantiles(rows, names, [0.5])
-    filled = rows.fillna({r["feature"]: r["value"] for r in known.collect()})
+    labels = x.table("labels").selectExpr("doc_id", "quality * 4.0D + 1.0D AS stars")
+    docs = x.document_features("documents", ["doc_id"]).drop("stars")
+    rows = x.keep(docs.join(labels, "doc_id", "left").select("doc_id", *names), "documents")
+    medians = exact_quantiles(rows, names, [0.5])
+    filled = rows.fillna({r["feature"]: r["value"] for r in medians.collect()})
     return impute_and_scale(rows, baseline_stats(filled, names))
 
 
-def duplicates(spark, d):
-    return with_copy_counts(scored(spark, d)).select("review_id", "near_duplicate_review_count")
-
+def review_explanations(x: Staged):
+    reviews = derive(surfaced(x.signals), {"review_text": "clean_review_text"})
+    return derive(reviews, {"explanation": display.review_explanation(reviews)}).select("review_id", "explanation")
 
-def review_explanations(spark, d):
-    reviews = surfaced(signals(spark, d)).withColumn("review_text", F.col("clean_review_text"))
-    return reviews.select("review_id", display.review_explanation(reviews).alias("explanation"))
 
-
-def document_display(spark, d):
-    docs = fx.spread(fx.table(spark, d, "documents"))
-    shown = docs.withColumn("shown", display.display_text(F.col("text")))
-    return shown.select("doc_id", F.md5("shown").alias("shown_md5"), F.length("shown").alias("shown_length"),
-                        display.has_ingredient_list(F.col("shown")).alias("ingredient_list"))
+def whole_display(name: str, key: str, text: str) -> Query:
+    def query(x: Inputs):
+        shown = derive(fx.spread(x.table(name)), {"shown": display.display_text(text)})
+        return shown.selectExpr(key, "md5(shown) AS shown_md5", "length(shown) AS shown_length",
+                                f"{display.has_ingredient_list('shown')} AS ingredient_list")
+    return query
 
 
-def page_display(spark, d):
-    pages = fx.spread(fx.table(spark, d, "pages"))
-    shown = pages.withColumn("shown", display.display_text(F.col("html")))
-    return shown.select("page_id", F.md5("shown").alias("shown_md5"), F.length("shown").alias("shown_length"),
-                        display.has_ingredient_list(F.col("shown")).alias("ingredient_list"))
+def display_names(x: Staged):
+    return x.queue.selectExpr(
+        "business_id", f"{display.month_key('review_month')} AS month_key",
+        f"{display.month_label('review_month')} AS month_label",
+        f"{display.product_display_name(x.queue)} AS display_name",
+        f"{display.anomaly_band('max_anomaly_score')} AS anomaly_band")
 
 
-def display_names(spark, d):
-    cases = queue(spark, d)
-    return cases.select(
-        "business_id", display.month_key(F.col("review_month")).alias("month_key"),
-        display.month_label(F.col("review_month")).alias("month_label"),
-        display.product_display_name(cases).alias("display_name"),
-        display.anomaly_band(F.col("max_anomaly_score")).alias("anomaly_band"))
+def queue_explained(x: Staged):
+    return derive(x.queue, {"explanation": display.case_explanation(x.queue)}).select(
+        "business_id", "review_month", "explanation")
 
 
-def queue_explained(spark, d):
-    cases = queue(spark, d).withColumn("review_month", F.date_format("review_month", "yyyy-MM-dd"))
-    return cases.select("business_id", "review_month", display.case_explanation(cases).alias("explanation"))
+def top_labelled(x: Staged):
+    """Surfaced reviews beside moderator labels; here all verified purchases were judged."""
+    log = x.with_score.where("verified_purchase").selectExpr(
+        "TIMESTAMP'2024-01-01 00:00:00' AS saved_at", "review_id",
+        "CASE WHEN stars = 5 THEN 'suspicious' ELSE 'unsure' END AS label")
+    return with_labels(x.top, log).select("review_id", "business_id", "stars", "moderator_label")
 
 
-def top_labelled(spark, d):
-    """Surfaced reviews beside moderator labels; here reviews of a one in ten supplier were judged."""
-    top = top_reviews(spark, d)
-    log = fx.reviews(spark, d).where(F.col("verified_purchase")).select(
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("saved_at"), "review_id",
-        F.when(F.col("stars") == 5, "suspicious").otherwise("unsure").alias("label"))
-    return with_labels(top, log).select("review_id", "business_id", "stars", "moderator_label")
+def labels_round_trip(x: Inputs):
+    """Labels appended in two goes and read back; the last one per review counts."""
+    path = scratch_path(x.spark, "labels")
+    append_labels(x.label_log.where("label = 'unsure'"), path)
+    append_labels(x.label_log.where("label != 'unsure'"), path)
+    return latest_labels(read_labels(x.spark, path)).select("review_id", "label")
 
 
-def labels_round_trip(spark, d):
-    path = scratch_path(spark, "labels")
-    for half in (0, 1):
-        append_labels(label_log(spark, d).where(F.col("label") == "unsure" if half == 0 else F.col("label") != "unsure"), path)
-    return latest_labels(read_labels(spark, path)).select("review_id", "label")
+def precision(x: Inputs):
+    documents = x.document_features("documents", ["doc_id"]).selectExpr(
+        "concat('D', doc_id) AS review_id", "synthetic_templated_language_score AS anomaly_score")
+    return precision_by_threshold(documents, x.label_log, thresholds=(0.05, 0.10, 0.15, 0.20))
 
 
-def stored_by_month(spark, d):
+def stored_by_month(x: Inputs):
     """Features written by month and read back for the scoring window only: other months' folders stay closed."""
-    path = scratch_path(spark, "features")
-    write_table(with_output_defaults(features(spark, d), "reviews").select(
-        "review_id", "business_id", "review_month", "dataset", *fv.MODEL_FEATURES), path, by_month=True)
-    return read_table(spark, path).where(from_cutoff_on(cutoff(spark, d)[0])).select(
-        "review_id", "business_id", "review_month", "dataset", *fv.MODEL_FEATURES)
-
-
-def forest_training(spark, d) -> tuple[DataFrame, int]:
-    limit, rows = cutoff(spark, d)
-    vector = model_vector(features(spark, d).where(before(limit)), "review_id")
-    return written_table(spark, vector, "training"), rows
-
-
-def forest_nodes(spark, d):
-    training, rows = forest_training(spark, d)
-    return fit_forest(training, "review_id", rows)
+    path, columns = scratch_path(x.spark, "features"), ("review_id", "business_id", "review_month", "dataset", *fv.MODEL_FEATURES)
+    write_table(with_output_defaults(x.features, "reviews").select(*columns), path, by_month=True)
+    return read_table(x.spark, path).where(from_cutoff_on(x.cutoff[0])).select(*columns)
 
 
-def forest_scores(spark, d):
-    training, rows = forest_training(spark, d)
-    nodes = written_table(spark, fit_forest(training, "review_id", rows), "nodes")
+def forest_scores(x: Staged):
+    training, rows = x.forest_training
+    nodes = x.keep(x.forest, "nodes")
     return training.select("review_id", raw_score(
         nodes, list(fv.MODEL_FEATURES), min(fv.FOREST_SUBSAMPLE, rows)).alias("raw_score"))
 
 
-def forest_cases(spark, d):
+def forest_cases(x: Inputs):
     """Flagship: product-months routed to moderators by the real model."""
-    stored = written_table(spark, features(spark, d), "features")
+    stored = x.keep(x.features, "features")
     model = train(stored)
-    scores = written_table(spark, score_reviews(stored, model), "scored")
-    cases = moderation_queue(decide(behavioral_drift(business_month_signals(scores)), model_drift(scores, model.baseline)))
-    return most_urgent_first(cases)
-
-
-def replayed_months(spark, d):
-    """The scored reviews arrive as a stream of lineitems; statistics over all history are static tables."""
-    schema = fx.table(spark, d, "lineitem").schema
-    arriving = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d))
-    history = fx.reviews(spark, d)
-    averages = business_average(history)
-    live = with_text_features(fx.normalise_reviews(fx.raw_reviews(spark, d, lineitem=arriving), fx.CATEGORY))
-    described = products(spark, d).drop("product_id", "category")
-    rows = live.join(averages, "business_id", "left").join(described, "business_id", "left").withColumns({
-        "is_extreme_rating": flag(F.col("stars").isin(1.0, 5.0)),
-        "rating_deviation_from_business_average": F.abs(F.col("stars") - F.col("business_average_stars")),
+    scores = x.keep(score_reviews(stored, model), "scored")
+    drift = behavioral_drift(business_month_signals(scores))
+    return most_urgent_first(moderation_queue(decide(drift, model_drift(scores, model.baseline))))
+
+
+def replayed_months(x: Inputs):
+    """The scored reviews arrive as a stream of lineitems; statistics over all history are a static table."""
+    arriving = (x.spark.readStream.schema(x.table("lineitem").schema)
+                .option("pathGlobFilter", "lineitem.parquet").parquet(x.sf_dir))
+    live = with_text_features(fx.normalise_reviews(fx.raw_reviews(x.spark, x.sf_dir, lineitem=arriving), fx.CATEGORY))
+    described = x.keep(x.products.drop("product_id", "category"), "products")
+    rows = derive(live.join(described, "business_id", "left"), {
+        "is_extreme_rating": flag("stars IN (1.0D, 5.0D)"),
+        "rating_deviation_from_business_average": "abs(stars - listed_business_stars)",
     })
-    first_month = cutoff(spark, d)[0]
-    return replay_business_months(stand_in(rows).where(F.col("review_timestamp") >= F.lit(first_month).cast("timestamp")))
-
-
-def published_columns(build, *columns) -> Query:
-    return lambda spark, d: build(spark, d).select(*columns)
-
-
-QUERIES: dict[str, Query] = {
-    "ingest_normalised": lambda s, d: fx.reviews_from_json(s, d).select(*REVIEW_COLUMNS),
-    "review_id_hash": lambda s, d: fx.reviews(s, d).select("review_id", "business_id", "review_timestamp"),
-    "json_path_fields": json_path_fields,
-    "metadata_latest": fx.metadata,
-    "product_dim": products,
-    "text_basic": review_texts(BASIC_TEXT),
-    "text_sentences": review_texts(SENTENCES),
-    "text_flags": review_texts(TEXT_FLAGS),
-    "html_breaks": review_texts(FORMATTING),
-    "synthetic_score": review_texts(("synthetic_templated_language_score",)),
-    "document_text_features": whole_texts("documents", ["doc_id"], ALL_TEXT),
-    "page_text_features": whole_texts("pages", ["page_id"], ALL_TEXT, "html"),
-    "conversation_text_features": whole_texts("conversations", ["conv_id", "turn"], ALL_TEXT),
-    "business_average": lambda s, d: business_average(fx.reviews(s, d)),
-    "reviewer_profile": lambda s, d: reviewer_profile(fx.reviews(s, d)),
-    "review_features": lambda s, d: features(s, d).select(
+    return replay_business_months(stand_in(rows).where(f"review_timestamp >= TIMESTAMP'{x.cutoff[0]} 00:00:00'"))
+
+
+# name -> (kind of inputs, query)
+QUERIES: dict[str, tuple[type[Inputs], Query]] = {
+    "ingest_normalised": (Inputs, lambda x: fx.reviews_from_json(x.spark, x.sf_dir).select(*REVIEW_COLUMNS)),
+    "review_id_hash": (Inputs, lambda x: x.reviews.select("review_id", "business_id", "review_timestamp")),
+    "json_path_fields": (Inputs, json_path_fields),
+    "metadata_latest": (Inputs, lambda x: fx.metadata(x.spark, x.sf_dir)),
+    "product_dim": (Inputs, lambda x: x.products),
+    "text_basic": (Inputs, review_texts(BASIC_TEXT)),
+    "text_sentences": (Inputs, review_texts(SENTENCES)),
+    "text_flags": (Inputs, review_texts(TEXT_FLAGS)),
+    "html_breaks": (Inputs, review_texts(FORMATTING)),
+    "synthetic_score": (Inputs, review_texts(("synthetic_templated_language_score",))),
+    "document_text_features": (Inputs, whole_texts("documents", ["doc_id"], ALL_TEXT)),
+    "page_text_features": (Inputs, whole_texts("pages", ["page_id"], ALL_TEXT, "html")),
+    "conversation_text_features": (Inputs, whole_texts("conversations", ["conv_id", "turn"], ALL_TEXT)),
+    "business_average": (Inputs, lambda x: business_average(x.reviews)),
+    "reviewer_profile": (Inputs, lambda x: reviewer_profile(x.reviews)),
+    "review_features": (Inputs, lambda x: x.features.select(
         "review_id", "business_id", "user_id", "review_date", "review_month", "product_title",
-        "rating_deviation_from_product_average", "synthetic_templated_language_score", *fv.MODEL_FEATURES),
-    "monthly_counts": lambda s, d: monthly_counts(months_of(s, d)),
-    "training_cutoff": lambda s, d: training_cutoff(months_of(s, d)),
-    "hash_sample": hash_sampled,
-    "baseline_stats": baseline,
-    "score_normalise": score_normalised,
-    "imputed_scaled": imputed_scaled,
-    "stored_by_month": stored_by_month,
-    "business_month": lambda s, d: business_month_signals(scored(s, d)),
-    "behavioral_drift": drift,
-    "model_drift": monthly_drift,
-    "decisions": decisions,
-    "moderation_queue": lambda s, d: most_urgent_first(queue(s, d)),
-    "queue_explained": queue_explained,
-    "duplicate_reviews": duplicates,
-    "fraud_signals": published_columns(signals, "review_id", "business_id", "review_month", *SIGNALS),
-    "top_suspicious_reviews": top_reviews,
-    "review_explanations": review_explanations,
-    "document_display": document_display,
-    "page_display": page_display,
-    "display_names": display_names,
-    "review_backed_cases": lambda s, d: review_backed_cases(staged_queue(s, d), top_reviews(s, d)).select(
-        "business_id", "review_month", "product_key", "month_key", "decision_score"),
-    "case_reviews": lambda s, d: case_reviews(top_reviews(s, d), staged_queue(s, d)).select(
-        "product_key", "month_key", "review_id", "decision_score", "fraud_like_score", "fraud_signal_count"),
-    "synthetic_top200": lambda s, d: most_templated(top_reviews(s, d)).select(
-        "review_id", "business_id", "synthetic_templated_language_score"),
-    "latest_labels": labels_round_trip,
-    "labelled_top_reviews": top_labelled,
-    "precision_by_threshold": lambda s, d: precision_by_threshold(
-        labelled_documents(s, d), label_log(s, d), thresholds=(0.05, 0.10, 0.15, 0.20)),
-    "arm_stats": lambda s, d: arm_stats(s, outcomes(s, d)),
-    "threshold_choice": lambda s, d: choose_threshold(arm_stats(s, outcomes(s, d)), explore=0.0),
-    "forest_nodes": forest_nodes,
-    "forest_scores": forest_scores,
-    "forest_cases": forest_cases,
-    "replay_month_signals": replayed_months,
+        "rating_deviation_from_product_average", "synthetic_templated_language_score", *fv.MODEL_FEATURES)),
+    "monthly_counts": (Inputs, lambda x: monthly_counts(x.months)),
+    "training_cutoff": (Inputs, lambda x: training_cutoff(x.months)),
+    "hash_sample": (Staged, hash_sampled),
+    "baseline_stats": (Staged, lambda x: x.baseline),
+    "score_normalise": (Staged, score_normalised),
+    "imputed_scaled": (Inputs, imputed_scaled),
+    "stored_by_month": (Inputs, stored_by_month),
+    "business_month": (Inputs, lambda x: x.business_months),
+    "behavioral_drift": (Inputs, lambda x: x.drift),
+    "model_drift": (Staged, lambda x: x.monthly_drift),
+    "decisions": (Staged, lambda x: x.decisions),
+    "moderation_queue": (Staged, lambda x: most_urgent_first(x.queue)),
+    "queue_explained": (Staged, queue_explained),
+    "duplicate_reviews": (Staged, lambda x: with_copy_counts(x.scored).select("review_id", "near_duplicate_review_count")),
+    "fraud_signals": (Staged, lambda x: x.signals.select("review_id", "business_id", "review_month", *SIGNALS)),
+    "top_suspicious_reviews": (Staged, lambda x: x.top),
+    "review_explanations": (Staged, review_explanations),
+    "document_display": (Inputs, whole_display("documents", "doc_id", "text")),
+    "page_display": (Inputs, whole_display("pages", "page_id", "html")),
+    "display_names": (Staged, display_names),
+    "review_backed_cases": (Staged, lambda x: review_backed_cases(x.kept_queue, x.top).select(
+        "business_id", "review_month", "product_key", "month_key", "decision_score")),
+    "case_reviews": (Staged, lambda x: case_reviews(x.top, x.kept_queue).select(
+        "product_key", "month_key", "review_id", "decision_score", "fraud_like_score", "fraud_signal_count")),
+    "synthetic_top200": (Staged, lambda x: most_templated(x.top).select(
+        "review_id", "business_id", "synthetic_templated_language_score")),
+    "latest_labels": (Inputs, labels_round_trip),
+    "labelled_top_reviews": (Staged, top_labelled),
+    "precision_by_threshold": (Inputs, precision),
+    "arm_stats": (Inputs, lambda x: arm_stats(x.spark, x.outcomes)),
+    "threshold_choice": (Inputs, lambda x: choose_threshold(arm_stats(x.spark, x.outcomes), explore=0.0)),
+    "forest_nodes": (Staged, lambda x: x.forest),
+    "forest_scores": (Staged, forest_scores),
+    "forest_cases": (Inputs, forest_cases),
+    "replay_month_signals": (Inputs, replayed_months),
 }
 
 
-def registered() -> dict[str, Query]:
-    def bind(query: Query) -> Query:
-        return lambda spark, sf_dir: published(query(prepare(spark), sf_dir))
-    return {name: bind(query) for name, query in QUERIES.items()}
+def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def bind(kind: type[Inputs], query: Query):
+        return lambda spark, sf_dir: published(query(kind(prepare(spark), sf_dir)))
+    return {name: bind(*how) for name, how in QUERIES.items()}

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vigil.functions.sql import derive
+from vigil.functions.sql import text as sql_text
 from vigil.sources.reviews import normalise_reviews, parse_metadata, parse_raw_reviews
 
 CATEGORY = "catalogue"
@@ -31,8 +34,15 @@ TEXT_STYLES = (
 )
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -45,47 +55,38 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
-    """Raw records as they would stand in a review file, plus a unique ``row_key``."""
-    c = F.col
-    documents = table(spark, sf_dir, "documents").select(c("doc_id").alias("_doc"), c("text").alias("_document"))
+    """Raw records as they would stand in a review file."""
+    documents = table(spark, sf_dir, "documents")
+    numbered = documents.selectExpr("doc_id AS _doc", "text AS _document")
     lines = spread(table(spark, sf_dir, "lineitem")) if lineitem is None else lineitem
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    document_count = table(spark, sf_dir, "documents").agg(F.count("*")).scalar()
-    style = (c("l_orderkey") * 7 + c("l_partkey") * 13 + c("l_linenumber")) % len(TEXT_STYLES)
-    text = F.coalesce(*[F.when(c("_style") == i, F.lit(t) if t is not None else c("_document"))
-                        for i, t in enumerate(TEXT_STYLES)])
-    seconds = F.unix_timestamp(c("l_shipdate").cast("timestamp"))
-    rating = (F.when(c("l_quantity") > 25, F.lit(5.0)).when(c("l_quantity") < 6, F.lit(1.0))
-              .otherwise(F.ceil(c("l_quantity") / 10).cast("double")))
-    key = F.concat(F.lit("B"), c("l_suppkey").cast("string"))
-    return (
-        lines.join(orders, c("l_orderkey") == c("o_orderkey"))
-        .withColumn("_style", style)
-        # a negative key matches no document and, unlike NULL, spreads those rows over all partitions
-        .withColumn("_doc", F.when(c("_style") == TEXT_STYLES.index(None), c("l_orderkey") % document_count)
-                    .otherwise(-1 - c("l_orderkey")))
-        .join(documents, "_doc", "left")
-        .select(
-            F.when(c("l_linenumber") != 1, key).alias("parent_asin"),
-            F.when(c("l_linenumber") == 1, key).otherwise(
-                F.concat(F.lit("V"), c("l_partkey").cast("string"))).alias("asin"),
-            F.when(c("o_custkey") % 50 != 0, F.concat(F.lit("U"), c("o_custkey").cast("string"))).alias("user_id"),
-            F.when(c("l_linenumber") % 2 == 0, seconds * 1000).otherwise(seconds).alias("timestamp"),
-            rating.alias("rating"),
-            F.when(c("l_tax") > 0, F.round(c("l_tax") * 100)).alias("helpful_vote"),
-            c("o_orderpriority").alias("title"),
-            text.alias("text"),
-            (c("l_returnflag") != "R").alias("verified_purchase"),
-            F.concat_ws("||", *[c(k).cast("string") for k in (
-                "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")]).alias("row_key"),
-        )
+    whole = TEXT_STYLES.index(None)
+    styled = derive(lines.join(orders, F.expr("l_orderkey = o_orderkey")), {
+        "_style": f"(l_orderkey * 7 + l_partkey * 13 + l_linenumber) % {len(TEXT_STYLES)}"})
+    keyed = styled.withColumn("_documents", documents.agg(F.count("*")).scalar())
+    # a negative key matches no document and, unlike NULL, spreads those rows over all partitions
+    keyed = derive(keyed, {
+        "_doc": f"CASE WHEN _style = {whole} THEN l_orderkey % _documents ELSE -1 - l_orderkey END"})
+    told = " ".join(f"WHEN {i} THEN {sql_text(t) if t is not None else '_document'}" for i, t in enumerate(TEXT_STYLES))
+    key, seconds = "concat('B', l_suppkey)", "unix_timestamp(CAST(l_shipdate AS TIMESTAMP))"
+    return keyed.join(numbered, "_doc", "left").selectExpr(
+        f"CASE WHEN l_linenumber != 1 THEN {key} END AS parent_asin",
+        f"CASE WHEN l_linenumber = 1 THEN {key} ELSE concat('V', l_partkey) END AS asin",
+        "CASE WHEN o_custkey % 50 != 0 THEN concat('U', o_custkey) END AS user_id",
+        f"CASE WHEN l_linenumber % 2 = 0 THEN {seconds} * 1000 ELSE {seconds} END AS timestamp",
+        "CASE WHEN l_quantity > 25 THEN 5.0D WHEN l_quantity < 6 THEN 1.0D "
+        "ELSE CAST(ceil(l_quantity / 10) AS DOUBLE) END AS rating",
+        "CASE WHEN l_tax > 0 THEN round(l_tax * 100) END AS helpful_vote",
+        "o_orderpriority AS title",
+        f"CASE _style {told} END AS text",
+        "l_returnflag != 'R' AS verified_purchase",
     )
 
 
 def raw_review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records as JSON texts."""
     raw = raw_reviews(spark, sf_dir)
-    return raw.select(F.to_json(F.struct(*[c for c in raw.columns if c != "row_key"])).alias("value"))
+    return raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,21 +99,15 @@ def reviews_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata texts for nine suppliers of ten; key and title stand in varying fields, some keys twice."""
-    c = F.col
-    key = F.concat(F.lit("B"), c("s_suppkey").cast("string"))
-    n = c("s_suppkey")
-    supplier = table(spark, sf_dir, "supplier").where(n % 10 != 0)
-    first = supplier.select(F.to_json(F.struct(
-        F.when(n % 3 != 0, key).alias("parent_asin"),
-        F.when(n % 3 == 0, key).otherwise(F.lit("variant")).alias("asin"),
-        F.when(n % 4 == 0, c("s_name")).alias("title"),
-        F.when(n % 4 == 1, c("s_name")).alias("name"),
-        F.when(n % 4 == 2, c("s_name")).alias("product_title"),
-        F.when(n % 4 == 3, c("s_name")).alias("item_name"),
-    )).alias("value"))
-    second = supplier.where(n % 7 == 0).select(F.to_json(F.struct(
-        key.alias("asin"), F.concat(F.lit("Alternate "), c("s_name")).alias("title"))).alias("value"))
-    keyless = supplier.where(n % 9 == 0).select(F.to_json(F.struct(c("s_name").alias("title"))).alias("value"))
+    supplier = table(spark, sf_dir, "supplier").where("s_suppkey % 10 != 0")
+    key, holder = "concat('B', s_suppkey)", ("title", "name", "product_title", "item_name")
+    titles = ", ".join(f"CASE WHEN s_suppkey % 4 = {i} THEN s_name END AS {h}" for i, h in enumerate(holder))
+    first = supplier.selectExpr(
+        f"to_json(struct(CASE WHEN s_suppkey % 3 != 0 THEN {key} END AS parent_asin, "
+        f"CASE WHEN s_suppkey % 3 = 0 THEN {key} ELSE 'variant' END AS asin, {titles})) AS value")
+    second = supplier.where("s_suppkey % 7 = 0").selectExpr(
+        f"to_json(struct({key} AS asin, concat('Alternate ', s_name) AS title)) AS value")
+    keyless = supplier.where("s_suppkey % 9 = 0").selectExpr("to_json(struct(s_name AS title)) AS value")
     return first.unionByName(second).unionByName(keyless)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil import fixed_values as fv
+from vigil.functions.sql import derive, text
 
 LOGGER = logging.getLogger(__name__)
 
@@ -28,10 +29,6 @@ def check_category(category: str | None) -> str:
     return category
 
 
-def column_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
-
-
 def read_raw_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """JSON lines. Gzip files cannot be split, so ``partitions`` spreads their rows after the scan."""
     raw = spark.read.schema(RAW_REVIEW).json(path)
@@ -44,37 +41,39 @@ def parse_raw_reviews(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.withColumn("_raw", F.from_json(value, RAW_REVIEW)).select(*others, "_raw.*")
 
 
-def epoch_to_timestamp(epoch: Column) -> Column:
+def epoch_to_timestamp(epoch: str) -> str:
     """Seconds, or milliseconds when the number is too large for seconds; fractions are cut off."""
-    number = epoch.try_cast("double")
-    seconds = F.when(number > fv.MILLISECOND_EPOCH_ABOVE, number / F.lit(1000.0)).otherwise(number)
-    return F.timestamp_seconds(seconds.try_cast("long"))
+    number = f"try_cast({epoch} AS DOUBLE)"
+    seconds = f"CASE WHEN {number} > {fv.MILLISECOND_EPOCH_ABOVE} THEN {number} / 1000.0D ELSE {number} END"
+    return f"timestamp_seconds(try_cast({seconds} AS BIGINT))"
 
 
 def normalise_reviews(raw: DataFrame, category: str) -> DataFrame:
     check_category(category)
-    field = lambda name: column_or_null(raw, name)
-    product = F.coalesce(field("parent_asin"), field("asin"))
-    body = F.coalesce(field("text"), F.lit(""))
+    have = set(raw.columns)
+    field = lambda name: name if name in have else "CAST(NULL AS STRING)"
+    number = lambda name: f"try_cast({field(name)} AS DOUBLE)"
+    product = f"coalesce({field('parent_asin')}, {field('asin')})"
+    body = f"coalesce({field('text')}, '')"
     when = epoch_to_timestamp(field("timestamp"))
-    identity = F.concat_ws("||", product, field("user_id"), field("timestamp").cast("string"), body)
-    return raw.select(
-        F.sha2(identity, 256).alias("review_id"),
-        field("user_id").alias("user_id"),
-        product.alias("business_id"),
-        product.alias("product_id"),
-        F.lit(category).alias("category"),
-        field("asin").alias("asin"),
-        field("parent_asin").alias("parent_asin"),
-        field("rating").try_cast("double").alias("stars"),
-        F.coalesce(field("helpful_vote").try_cast("double"), F.lit(0.0)).alias("useful"),
-        F.lit(0.0).alias("funny"),
-        F.lit(0.0).alias("cool"),
-        body.alias("text"),
-        F.coalesce(field("title"), F.lit("")).alias("review_title"),
-        F.coalesce(field("verified_purchase").try_cast("boolean"), F.lit(False)).alias("verified_purchase"),
-        when.alias("review_timestamp"),
-        when.alias("review_datetime"),
+    identity = f"concat_ws('||', {product}, {field('user_id')}, CAST({field('timestamp')} AS STRING), {body})"
+    return raw.selectExpr(
+        f"sha2({identity}, 256) AS review_id",
+        f"{field('user_id')} AS user_id",
+        f"{product} AS business_id",
+        f"{product} AS product_id",
+        f"{text(category)} AS category",
+        f"{field('asin')} AS asin",
+        f"{field('parent_asin')} AS parent_asin",
+        f"{number('rating')} AS stars",
+        f"coalesce({number('helpful_vote')}, 0.0D) AS useful",
+        "0.0D AS funny",
+        "0.0D AS cool",
+        f"{body} AS text",
+        f"coalesce({field('title')}, '') AS review_title",
+        f"coalesce(try_cast({field('verified_purchase')} AS BOOLEAN), false) AS verified_purchase",
+        f"{when} AS review_timestamp",
+        f"{when} AS review_datetime",
     ).where("business_id IS NOT NULL AND stars IS NOT NULL AND review_timestamp IS NOT NULL")
 
 
@@ -88,11 +87,11 @@ def parse_metadata(lines: DataFrame, value: str = "value") -> DataFrame:
 
     Of several titles the smallest is taken, so the choice does not depend on file order.
     """
-    at = lambda *paths: F.coalesce(*[F.get_json_object(value, f"$.{p}") for p in paths])
+    at = lambda *names: f"coalesce({', '.join(f'get_json_object({value}, ' + text('$.' + n) + ')' for n in names)})"
     return (
-        lines.select(
-            at("parent_asin", "asin").alias("asin"),
-            at("title", "name", "product_title", "item_name").alias("product_title"),
+        lines.selectExpr(
+            f"{at('parent_asin', 'asin')} AS asin",
+            f"{at('title', 'name', 'product_title', 'item_name')} AS product_title",
         )
         .where("asin IS NOT NULL")
         .groupBy("asin")
@@ -121,22 +120,18 @@ def build_products(reviews: DataFrame, category: str, metadata: DataFrame | None
         titled = listed.withColumn("product_title", F.lit(None).cast("string"))
     else:
         titled = listed.join(metadata.withColumnRenamed("asin", "business_id"), "business_id", "left")
-    return titled.withColumns({
-        "category": F.lit(category),
-        "average_rating": F.lit(None).cast("double"),
-        "business_name": F.col("product_title"),
-        "city": F.lit(""),
-        "state": F.lit(""),
-        "categories": F.lit(category),
+    return derive(titled, {
+        "category": text(category),
+        "average_rating": "CAST(NULL AS DOUBLE)",
+        "business_name": "product_title",
+        "city": "''",
+        "state": "''",
+        "categories": text(category),
     })
 
 
 def with_output_defaults(features: DataFrame, dataset: str) -> DataFrame:
     """Columns later stages rely on, added where the source lacks them."""
-    defaults = {
-        "product_id": F.col("business_id"),
-        "review_title": F.lit(""),
-        "verified_purchase": F.lit(None).cast("boolean"),
-    }
+    defaults = {"product_id": "business_id", "review_title": "''", "verified_purchase": "CAST(NULL AS BOOLEAN)"}
     missing = {name: value for name, value in defaults.items() if name not in features.columns}
-    return features.withColumns({"dataset": F.lit(dataset), **missing})
+    return derive(features, {"dataset": text(dataset), **missing})
