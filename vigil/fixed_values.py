@@ -24,9 +24,10 @@ TINY = 1e-9
 
 # ---- text patterns -------------------------------------------------------
 HTML_BREAK = r"(?i)<br\s*/?>"
-WHITESPACE = r"\s+"
+WHITESPACE_RUN = r" \s+|[\t\n\x0B\f\r]\s*"
 SENTENCE_BREAK = r"[.!?|]+"
-NOT_A_WORD = r"[^a-z0-9_]+"
+NOT_UPPER = r"\P{Upper}+"
+NOT_LETTER = r"\P{Alpha}+"
 REPEATED_CHARACTER = r"(.)\1{4,}"
 BLANK_LINES = r"\n\s*\n\s*\n"
 

@@ -29,7 +29,8 @@ def without_breaks(value: str, instead: str) -> str:
 
 
 def flat_text(value: str) -> str:
-    return f"trim(regexp_replace({value}, {text(fv.WHITESPACE)}, ' '))"
+    """Runs of white space made one space, and none at the ends. Single spaces are not touched."""
+    return f"trim(regexp_replace({value}, {text(fv.WHITESPACE_RUN)}, ' '))"
 
 
 def comparison_text(value: str) -> str:
@@ -37,30 +38,22 @@ def comparison_text(value: str) -> str:
     return f"lower({flat_text(value)})"
 
 
-def has_any(lower: str, words: str, vocabulary) -> str:
+def has_any(lower: str, vocabulary) -> str:
     """Whether the text holds any entry of ``vocabulary`` as whole words.
 
-    Single words are looked up in the word array, which is split once per text.
-    A phrase is first looked for as plain text; only where it occurs does a
-    regular expression check that it starts and ends at a word. Word characters
-    are ASCII letters, digits and underscore in both, spelled out because what
-    ``\\b`` takes for a word depends on the Java version.
+    Plain text search first; only where an entry occurs does a regular
+    expression check that it starts and ends at a word. Word characters are
+    ASCII letters, digits and underscore (what ``\\b`` takes for a word depends
+    on the Java version, ``\\w`` does not).
     """
-    single = [w for w in vocabulary if " " not in w]
-    phrases = [w for w in vocabulary if " " in w]
-    checks = []
-    if single:
-        checks.append(f"arrays_overlap({words}, array({', '.join(text(w) for w in single)}))")
-    if phrases:
-        bounded = rf"(?<![A-Za-z0-9_])(?:{'|'.join(phrases)})(?![A-Za-z0-9_])"
-        occurs = " OR ".join(f"contains({lower}, {text(p)})" for p in phrases)
-        checks.append(f"(({occurs}) AND {lower} RLIKE {text(bounded)})")
-    return " OR ".join(checks)
+    occurs = " OR ".join(f"contains({lower}, {text(w)})" for w in vocabulary)
+    bounded = rf"(?<!\w)(?:{'|'.join(vocabulary)})(?!\w)"
+    return f"({occurs}) AND {lower} RLIKE {text(bounded)}"
 
 
-def letters(value: str, character_class: str) -> str:
-    """How many characters of the class the text has."""
-    return f"CAST(length(regexp_replace({value}, '[^{character_class}]+', '')) AS DOUBLE)"
+def letters(value: str, all_others: str) -> str:
+    """How many characters are left once runs of all others are taken out."""
+    return f"CAST(length(regexp_replace({value}, {text(all_others)}, '')) AS DOUBLE)"
 
 
 def templated_score() -> str:
@@ -82,7 +75,6 @@ def with_text_features(reviews: DataFrame) -> DataFrame:
     flat = derive(clean, {"_flat": flat_text("clean_review_text")})
     lower = derive(flat, {"_lower": "lower(_flat)"})
     counted = derive(lower, {
-        "_words": f"split(_lower, {text(fv.NOT_A_WORD)})",
         "review_length": "CAST(length(clean_review_text) AS DOUBLE)",
         "word_count": "CASE WHEN _flat = '' THEN 0.0D ELSE CAST(size(split(_flat, ' ')) AS DOUBLE) END",
         "_sentences": f"transform(filter(split(_flat, {text(fv.SENTENCE_BREAK)}), p -> trim(p) != ''), "
@@ -91,10 +83,10 @@ def with_text_features(reviews: DataFrame) -> DataFrame:
     flagged = derive(counted, {
         "avg_word_length": f"review_length / {at_least_one('word_count')}",
         "sentence_count": f"CASE WHEN word_count = 0 THEN 0.0D ELSE {at_least_one('size(_sentences)')} END",
-        "uppercase_share": f"{letters('clean_review_text', 'A-Z')} / "
-                           f"{at_least_one(letters('clean_review_text', 'A-Za-z'))}",
+        "uppercase_share": f"{letters('clean_review_text', fv.NOT_UPPER)} / "
+                           f"{at_least_one(letters('clean_review_text', fv.NOT_LETTER))}",
         "repeated_character_flag": flag(f"clean_review_text RLIKE {text(fv.REPEATED_CHARACTER)}"),
-        **{name: flag(has_any("_lower", "_words", vocabulary)) for name, vocabulary in WORD_FLAGS.items()},
+        **{name: flag(has_any("_lower", vocabulary)) for name, vocabulary in WORD_FLAGS.items()},
     })
     shaped = derive(flagged, {
         "avg_sentence_length": f"word_count / {at_least_one('sentence_count')}",
@@ -110,4 +102,4 @@ def with_text_features(reviews: DataFrame) -> DataFrame:
             f"/ {at_least_one('avg_sentence_length')}, 1.0D) END",
     })
     scored = derive(varied, {"synthetic_templated_language_score": templated_score()})
-    return scored.drop("_raw", "_flat", "_lower", "_words", "_sentences")
+    return scored.drop("_raw", "_flat", "_lower", "_sentences")

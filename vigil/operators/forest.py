@@ -74,7 +74,7 @@ def grow_trees(samples: DataFrame, features: list[str], subsample: int, seed: in
         digest = hashlib.md5(f"{seed}:{tree}:{node}:{tag}".encode()).hexdigest()
         return int(digest[:8], 16) / 4294967296.0
 
-    def grow(key, sample: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         values = sample[features].to_numpy(dtype=float)
         pending, nodes = [(1, 0, values)], []
