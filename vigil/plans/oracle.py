@@ -274,6 +274,79 @@ for name, source, key, text in (("documents_t", "documents", "doc_id", "text"),
     CTES[f"{name}0"] = ((), f"SELECT {key}, {text} AS text, 5e0 AS stars FROM {source}")
     CTES |= text_ctes(name, f"{name}0", key, (f"{name}0",))
 
+# ---- sampling and forest ---------------------------------------------------
+SLOTS, TREES, DEEPEST = 211, fv.FOREST_TREES, 8  # 211: the smallest prime >= 200; 2 ** 8 rows per tree
+SAMPLE_ROWS, SAMPLE_SEED = 2000, 7
+
+
+def uniform(seed: int, *parts: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(parts)})), 1, 8))::BIGINT / 4294967296e0)"
+
+
+vector = ", ".join(fv.MODEL_FEATURES)
+CTES["sampled"] = (("training", "cutoff"), f"""
+SELECT review_id, stars, word_count, unnest(range(kept)) AS copy FROM (
+  SELECT *, floor(copies * least(1e0, {SAMPLE_ROWS}e0 / training_rows) + {uniform(SAMPLE_SEED, "'sample'", 'review_id')})::BIGINT AS kept
+  FROM (SELECT review_id, stars, word_count, count(*) AS copies FROM training GROUP BY ALL), cutoff)""")
+CTES["plan"] = (("cutoff",), f"""
+SELECT n, size, needed, least(1e0, needed::DOUBLE / n) AS share, least({SLOTS}, ceil(needed::DOUBLE / greatest(least(n, needed), 1)))::BIGINT AS per_row
+FROM (SELECT n, size, ceil(1.5 * {SLOTS} * size)::BIGINT AS needed
+      FROM (SELECT training_rows AS n, least({fv.FOREST_SUBSAMPLE}, training_rows) AS size FROM cutoff))""")
+SEED = fv.FOREST_SEED
+CTES["drawn"] = (("training", "plan"), f"""
+SELECT review_id, {vector}, per_row, size, unnest(range(1, kept + 1)) AS copy FROM (
+  SELECT *, floor(copies * share + {uniform(SEED, "'sample'", 'review_id')})::BIGINT AS kept
+  FROM (SELECT review_id, {vector}, count(*) AS copies FROM training GROUP BY ALL), plan)""")
+CTES["dealt"] = (("drawn",), f"""
+SELECT *, floor({uniform(SEED, "'slot'", 'review_id', 'copy')} * {SLOTS})::BIGINT AS first_slot,
+  floor({uniform(SEED, "'step'", 'review_id', 'copy')} * {SLOTS - 1})::BIGINT + 1 AS step, unnest(range(per_row)) AS turn FROM drawn""")
+CTES["grown0"] = (("dealt",), f"""
+SELECT tree, 1 AS node, [{vector}] AS v FROM (SELECT *, (first_slot + turn * step) % {SLOTS} AS tree FROM dealt)
+WHERE tree < {TREES}
+QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {uniform(SEED, "'rank'", 'tree', 'review_id', 'copy')}, copy, review_id, {vector}) <= size""")
+WIDTH = len(fv.MODEL_FEATURES)
+for depth in range(DEEPEST + 1):
+    low = ", ".join(f"min(v[{i + 1}])" for i in range(WIDTH))
+    high = ", ".join(f"max(v[{i + 1}])" for i in range(WIDTH))
+    CTES[f"split{depth}"] = ((f"grown{depth}",), f"""
+SELECT tree, node, size, feature, CASE WHEN cut >= high[feature + 1] THEN low[feature + 1] ELSE cut END AS threshold FROM (
+  SELECT *, low[feature + 1] + {uniform(SEED, 'tree', 'node', "'cut'")} * (high[feature + 1] - low[feature + 1]) AS cut FROM (
+    SELECT *, CASE WHEN {depth} = {DEEPEST} OR len(varying) = 0 THEN -1
+      ELSE varying[floor({uniform(SEED, 'tree', 'node', "'feature'")} * len(varying))::BIGINT + 1] END AS feature FROM (
+      SELECT *, list_filter(range({WIDTH}), lambda i: high[i + 1] > low[i + 1]) AS varying FROM (
+        SELECT tree, node, count(*) AS size, [{low}] AS low, [{high}] AS high FROM grown{depth} GROUP BY tree, node))))""")
+    CTES[f"grown{depth + 1}"] = ((f"split{depth}",), f"""
+SELECT g.tree, 2 * g.node + (CASE WHEN v[feature + 1] <= threshold THEN 0 ELSE 1 END) AS node, v
+FROM grown{depth} g JOIN split{depth} s ON s.tree = g.tree AND s.node = g.node WHERE feature >= 0""")
+EXPECTED = f"(CASE WHEN size <= 1 THEN 0e0 WHEN size = 2 THEN 1e0 ELSE 2 * (ln(size - 1e0) + {fv.EULER_GAMMA!r}e0) - 2 * (size - 1e0) / size END)"
+CTES["nodes"] = (tuple(f"split{d}" for d in range(DEEPEST + 1)), f"""
+SELECT tree, node, depth, size, feature, CASE WHEN feature >= 0 THEN threshold END AS threshold,
+  CASE WHEN feature < 0 THEN depth + {EXPECTED} END AS path_length
+FROM ({' UNION ALL '.join(f'SELECT *, {d} AS depth FROM split{d}' for d in range(DEEPEST + 1))})""")
+
+
+def forest_score(source: str) -> str:
+    """Each row walks down each tree."""
+    walk = f"SELECT row, t.tree, 1::BIGINT AS node, v FROM rows_of CROSS JOIN (SELECT DISTINCT tree FROM nodes) t"
+    for _ in range(DEEPEST):
+        walk = (f"SELECT w.row, w.tree, CASE WHEN feature < 0 THEN w.node ELSE 2 * w.node + (CASE WHEN v[feature + 1] <= threshold "
+                f"THEN 0 ELSE 1 END) END AS node, v FROM ({walk}) w JOIN nodes n ON n.tree = w.tree AND n.node = w.node")
+    return f"""WITH rows_of AS MATERIALIZED (SELECT row_number() OVER () AS row, * , [{vector}] AS v FROM {source})
+SELECT r.* EXCLUDE (row, v), raw FROM rows_of r JOIN (
+  SELECT w.row, pow(2e0, -avg(path_length) / (SELECT {EXPECTED} FROM plan)) AS raw
+  FROM ({walk}) w JOIN nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY w.row) s ON s.row = r.row"""
+
+
+CTES["training_raw"] = (("training", "nodes", "plan"), forest_score(f"(SELECT * EXCLUDE (anomaly_score, is_suspicious_review) FROM training)"))
+CTES["bounds"] = (("training_raw",), "SELECT quantile_cont(raw, 0.01) AS lo, quantile_cont(raw, 0.99) AS hi FROM training_raw")
+CTES["training_f"] = (("training_raw", "bounds"), f"SELECT t.*, {clip('(raw - lo) / greatest(hi - lo, 1e-9)')} AS anomaly_score FROM training_raw t, bounds")
+CTES["scored_raw"] = (("scored", "nodes", "plan"), forest_score("(SELECT * EXCLUDE (anomaly_score, is_suspicious_review) FROM scored)"))
+CTES["scored_f"] = (("scored_raw", "bounds"), f"""
+SELECT *, {flag(f'anomaly_score >= {n(fv.SUSPICIOUS_SCORE)}')} AS is_suspicious_review FROM (
+  SELECT s.*, {clip('(raw - lo) / greatest(hi - lo, 1e-9)')} AS anomaly_score FROM scored_raw s, bounds)""")
+CTES["baseline_f"] = (("training_f",), baseline_cte("training_f"))
+CTES |= month_ctes("_f", "scored_f", "baseline_f")
+
 # ---- moderators -----------------------------------------------------------
 CTES["label_log"] = ((), """
 SELECT 'D' || doc_id AS review_id, CASE WHEN toxic = 0 THEN (CASE WHEN quality = 0 THEN 'suspicious' ELSE 'not suspicious' END)
@@ -456,5 +529,9 @@ FROM (SELECT synthetic_templated_language_score AS s, label = 'suspicious' AS hi
       FROM documents_t JOIN label_log ON review_id = 'D' || doc_id),
   (VALUES (0.05e0), (0.1e0), (0.15e0), (0.2e0)) t(threshold) GROUP BY threshold"""),
     "arm_stats": build("arms", final=f"SELECT arm, threshold, trials, reward, round(mean_reward, {DIGITS}) + 0e0 AS mean_reward FROM arms"),
+    "hash_sample": build("sampled", final=f"SELECT review_id, {shown(('stars', 'word_count'), ('stars', 'word_count'))} FROM sampled"),
+    "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, {shown(('threshold', 'path_length'), ('threshold', 'path_length'))} FROM nodes"),
+    "forest_scores": build("training_raw", final=f"SELECT review_id, round(raw, {DIGITS}) + 0e0 AS raw_score FROM training_raw"),
+    "forest_cases": select("queue_f", fv.QUEUE_COLUMNS, DECISION_DOUBLES, ("review_month",)),
     "threshold_choice": build("arms", final="SELECT threshold, false AS explored FROM arms ORDER BY mean_reward DESC, arm LIMIT 1"),
 }
