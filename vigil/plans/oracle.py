@@ -530,7 +530,7 @@ FROM (SELECT synthetic_templated_language_score AS s, label = 'suspicious' AS hi
   (VALUES (0.05e0), (0.1e0), (0.15e0), (0.2e0)) t(threshold) GROUP BY threshold"""),
     "arm_stats": build("arms", final=f"SELECT arm, threshold, trials, reward, round(mean_reward, {DIGITS}) + 0e0 AS mean_reward FROM arms"),
     "hash_sample": build("sampled", final=f"SELECT review_id, {shown(('stars', 'word_count'), ('stars', 'word_count'))} FROM sampled"),
-    "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, {shown(('threshold', 'path_length'), ('threshold', 'path_length'))} FROM nodes"),
+    "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, round(threshold, 6) + 0e0 AS threshold, {shown(('path_length',), ('path_length',))} FROM nodes"),
     "forest_scores": build("training_raw", final=f"SELECT review_id, round(raw, {DIGITS}) + 0e0 AS raw_score FROM training_raw"),
     "forest_cases": select("queue_f", fv.QUEUE_COLUMNS, DECISION_DOUBLES, ("review_month",)),
     "threshold_choice": build("arms", final="SELECT threshold, false AS explored FROM arms ORDER BY mean_reward DESC, arm LIMIT 1"),

@@ -60,6 +60,10 @@ SIGNALS = (
     "long_detailed_review_discount", "fraud_signal_count", "fraud_like_score")
 
 
+SCORED_COLUMNS = ("review_id", "business_id", "review_month", "business_name", "product_title", "city", "state",
+                  *fv.MODEL_FEATURES)
+
+
 def published(df: DataFrame) -> DataFrame:
     """Doubles rounded, dates and timestamps as text: the form in which results are compared."""
     def shown(name: str, dtype: str) -> str:
@@ -160,11 +164,18 @@ class Inputs:
 
 
 class Staged(Inputs):
-    """The same frames with the scored features written once, for queries that read them several times."""
+    """The same frames with the scored features written once, for queries that read them several times.
+
+    Only the numbers and names are written: without the texts the stage is small, and text features
+    nobody asks for are not computed.
+    """
+
+    kept_columns: tuple[str, ...] | None = (*SCORED_COLUMNS, "anomaly_score", "is_suspicious_review")
 
     @cached_property
     def with_score(self) -> DataFrame:
-        return self.keep(stand_in(self.features), "with-score")
+        full = stand_in(self.features)
+        return self.keep(full.select(*self.kept_columns) if self.kept_columns else full, "with-score")
 
     @cached_property
     def months(self) -> DataFrame:
@@ -214,6 +225,12 @@ class Staged(Inputs):
         return fit_forest(training, "review_id", rows)
 
 
+class StagedTexts(Staged):
+    """For queries about single reviews, which show and compare their texts."""
+
+    kept_columns = None
+
+
 # ---- queries ---------------------------------------------------------------
 
 def review_texts(columns) -> Query:
@@ -316,7 +333,7 @@ def forest_scores(x: Staged):
 
 def forest_cases(x: Inputs):
     """Flagship: product-months routed to moderators by the real model."""
-    stored = x.keep(x.features, "features")
+    stored = x.keep(x.features.select(*SCORED_COLUMNS), "features")
     model = train(stored)
     scores = x.keep(score_reviews(stored, model), "scored")
     drift = behavioral_drift(business_month_signals(scores))
@@ -326,7 +343,8 @@ def forest_cases(x: Inputs):
 def replayed_months(x: Inputs):
     """The scored reviews arrive as a stream of lineitems; statistics over all history are a static table."""
     arriving = (x.spark.readStream.schema(x.table("lineitem").schema)
-                .option("pathGlobFilter", "lineitem.parquet").parquet(x.sf_dir))
+                .option("pathGlobFilter", "lineitem.parquet").parquet(x.sf_dir)
+                .repartition(x.spark.sparkContext.defaultParallelism))
     live = with_text_features(fx.normalise_reviews(fx.raw_reviews(x.spark, x.sf_dir, lineitem=arriving), fx.CATEGORY))
     described = x.keep(x.products.drop("product_id", "category"), "products")
     rows = derive(live.join(described, "business_id", "left"), {
@@ -369,25 +387,25 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "decisions": (Staged, lambda x: x.decisions),
     "moderation_queue": (Staged, lambda x: most_urgent_first(x.queue)),
     "queue_explained": (Staged, queue_explained),
-    "duplicate_reviews": (Staged, lambda x: with_copy_counts(x.scored).select("review_id", "near_duplicate_review_count")),
-    "fraud_signals": (Staged, lambda x: x.signals.select("review_id", "business_id", "review_month", *SIGNALS)),
-    "top_suspicious_reviews": (Staged, lambda x: x.top),
-    "review_explanations": (Staged, review_explanations),
+    "duplicate_reviews": (StagedTexts, lambda x: with_copy_counts(x.scored).select("review_id", "near_duplicate_review_count")),
+    "fraud_signals": (StagedTexts, lambda x: x.signals.select("review_id", "business_id", "review_month", *SIGNALS)),
+    "top_suspicious_reviews": (StagedTexts, lambda x: x.top),
+    "review_explanations": (StagedTexts, review_explanations),
     "document_display": (Inputs, whole_display("documents", "doc_id", "text")),
     "page_display": (Inputs, whole_display("pages", "page_id", "html")),
     "display_names": (Staged, display_names),
-    "review_backed_cases": (Staged, lambda x: review_backed_cases(x.kept_queue, x.top).select(
+    "review_backed_cases": (StagedTexts, lambda x: review_backed_cases(x.kept_queue, x.top).select(
         "business_id", "review_month", "product_key", "month_key", "decision_score")),
-    "case_reviews": (Staged, lambda x: case_reviews(x.top, x.kept_queue).select(
+    "case_reviews": (StagedTexts, lambda x: case_reviews(x.top, x.kept_queue).select(
         "product_key", "month_key", "review_id", "decision_score", "fraud_like_score", "fraud_signal_count")),
-    "synthetic_top200": (Staged, lambda x: most_templated(x.top).select(
+    "synthetic_top200": (StagedTexts, lambda x: most_templated(x.top).select(
         "review_id", "business_id", "synthetic_templated_language_score")),
     "latest_labels": (Inputs, labels_round_trip),
-    "labelled_top_reviews": (Staged, top_labelled),
+    "labelled_top_reviews": (StagedTexts, top_labelled),
     "precision_by_threshold": (Inputs, precision),
     "arm_stats": (Inputs, lambda x: arm_stats(x.spark, x.outcomes)),
     "threshold_choice": (Inputs, lambda x: choose_threshold(arm_stats(x.spark, x.outcomes), explore=0.0)),
-    "forest_nodes": (Staged, lambda x: x.forest),
+    "forest_nodes": (Staged, lambda x: derive(x.forest, {"threshold": "round(threshold, 6)"})),
     "forest_scores": (Staged, forest_scores),
     "forest_cases": (Inputs, forest_cases),
     "replay_month_signals": (Inputs, replayed_months),
