@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontamination, line_quality, near_duplicates
+from vigil.llm import decontamination, line_quality, near_duplicates, pieces, surrogates
 from vigil.session import written_table
 
 
@@ -49,7 +49,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _documents(rows.join(hit, "row", "left_anti"), docs.columns)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by surrogates."""
+    found = surrogates.pseudonymised(docs).withColumn("doc", F.expr("doc").withField("text", F.col("text")).withField(
+        "n_chars", F.expr("CASE WHEN n_entities = 0 THEN doc.n_chars ELSE CAST(length(text) AS BIGINT) END")))
+    return _documents(found, docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text as piece ids."""
+    return pieces.encoded(docs, keep=("doc_id", "lang", "source", "n_chars")).selectExpr(
+        "doc_id", "lang", "source", "n_chars", "CAST(size(ids) AS BIGINT) AS n_pieces", "ids")
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("private", private), ("tokens", tokens)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import chat, decontamination, line_quality, near_duplicates, secrets, url_filter
+from vigil.llm import (
+    chat,
+    decontamination,
+    licenses,
+    line_quality,
+    near_duplicates,
+    pieces,
+    revisits,
+    secrets,
+    surrogates,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +28,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
+    return licenses.licensed(licenses.files_of(table(spark, sf_dir, "documents")), templates, keep=("doc_id",))
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents")).drop("row", "removed")
 
@@ -26,12 +42,26 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.encoded(table(spark, sf_dir, "documents")))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame(chat.ADDED, "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.conversation_digests(chat.formatted_turns(chat.events_of(turns)))
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.pseudonymised(table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc.doc_id AS doc_id", "text", "n_entities", *[
+        f"coalesce(CAST(found['{t}'] AS BIGINT), 0L) AS n_{t}" for t in surrogates.PATTERNS])
+
+
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.shown(revisits.resolved(revisits.records_of(table(spark, sf_dir, "pages"))))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -46,7 +76,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 ORACLE_SQL = {
+    "op2_licenses": licenses.ORACLE,
     "op3_line_quality": line_quality.ORACLE,
     "op4_url_filter": url_filter.ORACLE,
     "op6_chat": chat.ORACLE,
+    "op8_revisits": revisits.ORACLE,
 }
