@@ -111,11 +111,12 @@ ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x09-\x0D ]+'), lambda x: x <> '') AS words,
              string_split(text, chr(10)) AS lines FROM d),
-p AS (SELECT row, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) >= 5),
-g AS (SELECT row, i, array_to_string(words[i:i+4], ' ') AS k FROM p),
-r AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, k) AS n FROM g) WHERE n > 1),
+p AS (SELECT row, unnest(words) AS w0, generate_subscripts(words, 1) AS i FROM w),
+g AS (SELECT row, i, concat_ws(' ', w0, lead(w0, 1) OVER o, lead(w0, 2) OVER o, lead(w0, 3) OVER o, lead(w0, 4) OVER o) AS k,
+             lead(w0, 4) OVER o AS w4 FROM p WINDOW o AS (PARTITION BY row ORDER BY i)),
+r AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, k) AS n FROM g WHERE w4 IS NOT NULL) WHERE n > 1),
 c AS (SELECT row, count(DISTINCT i + o) AS n_repeat_words FROM r, (SELECT unnest(range(0, 5)) AS o) GROUP BY row),
-e AS (SELECT row, lines[j] AS l FROM (SELECT row, lines, unnest(range(1, len(lines) + 1)) AS j FROM w)),
+e AS (SELECT row, unnest(lines) AS l FROM w),
 u AS (SELECT row, count(*) - count(DISTINCT l) AS n_dup_lines FROM e WHERE regexp_matches(l, '[^\x09-\x0D ]') GROUP BY row),
 m AS (SELECT w.row, doc_id, host, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,

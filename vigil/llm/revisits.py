@@ -145,7 +145,7 @@ ORACLE = r"""
 WITH p AS (SELECT page_id, url, 1700000000 + 97 * page_id AS seen, sha1(coalesce(html, '')) AS payload,
                   length(coalesce(html, ''))::BIGINT AS size FROM pages),
 cut AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM p),
-bits AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^.*@|:(80|443)?$', ''), '^www[.]', '') AS host,
+bits AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^.*@|:(80|443)?$', '', 'g'), '^www[.]', '') AS host,
                 regexp_extract(rest, '^[^/?]*([^?]*)', 1) AS path,
                 list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'),
                     lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_|sessionid|phpsessid|jsessionid)'))) AS q FROM cut),
