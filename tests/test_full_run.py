@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from check import compare, in_duckdb
 
@@ -11,7 +13,7 @@ def done(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("run")
     fx.raw_review_lines(spark, SMALL).write.text(str(folder / "reviews"))
     fx.metadata_lines(spark, SMALL).write.text(str(folder / "meta"))
-    options = Options("catalogue", trees=20, max_train_rows=1500, top_reviews_per_case=3)
+    options = Options("catalogue", trees=20, max_train_rows=1500, top_reviews_per_case=3, csv_rows=7)
     return run(spark, str(folder / "reviews"), str(folder / "meta"), str(folder / "out"), options), folder
 
 
@@ -43,18 +45,27 @@ def test_model_is_stored_and_scores_the_same(spark, done):
     assert again.agg({"anomaly_score": "sum"}).first()[0] == pytest.approx(
         result.tables["scored_reviews"].agg({"anomaly_score": "sum"}).first()[0])
     facts = model.meta.first()
-    assert 1350 < facts["training_rows"] < 1650 and facts["trees"] == 20
+    assert 1350 < facts["training_rows"] <= 1500 and facts["trees"] == 20
 
 
-def test_csv_extract(spark, done):
+def test_csv_extract_names_its_limit(spark, done):
     _, folder = done
-    rows = spark.read.option("header", True).csv(str(folder / "out" / "csv" / "business_month_queue"))
-    assert rows.count() > 0 and "decision_score" in rows.columns
+    rows = spark.read.option("header", True).csv(str(folder / "out" / "csv" / "business_month_queue-first-7"))
+    assert rows.count() == 7 and "decision_score" in rows.columns
+
+
+def test_nothing_is_cut_or_left_behind(spark, done):
+    from vigil.plans.full_run import Options
+    from vigil.session import shared_folder
+    assert Options("x").csv_rows is None and Options("x").max_train_rows is None
+    _, folder = done
+    assert not list(pathlib.Path(shared_folder(spark).removeprefix("file:")).glob("run-*"))
+    assert not [p.name for p in (folder / "out").iterdir() if p.name.startswith("run-")]
 
 
 @pytest.mark.parametrize("name", [
     "ingest_normalised", "text_flags", "review_features", "baseline_stats", "model_drift", "top_suspicious_reviews",
-    "forest_nodes", "replay_month_signals", "precision_by_threshold"])
+    "forest_nodes", "replay_behavioral_drift", "precision_by_threshold"])
 def test_query_equals_its_sql(spark, name):
     import __spark_entry__ as entry
     ok, note = compare(entry.queries()[name](spark, SMALL), in_duckdb(SMALL), entry.oracle_sql()[name])
@@ -62,8 +73,9 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_query_has_sql():
-    import __spark_entry__ as entry
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from vigil.plans.oracle import ORACLE_SQL
+    from vigil.plans.queries import registered
+    assert set(registered()) == set(ORACLE_SQL)
 
 
 def test_stream_in_many_batches_equals_one_batch(spark, tmp_path):

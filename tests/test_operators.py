@@ -1,13 +1,18 @@
+import os
+import pathlib
 import random
 import statistics
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.functions import display
-from vigil.functions.sql import weighted_sum
 from vigil import fixed_values as fv
+from vigil.functions import display
+from vigil.functions.display import month_key
+from vigil.functions.sql import hash_uniform, weighted_sum
 from vigil.operators.decisions import decide
 from vigil.operators.features import build_review_features
 from vigil.operators.forest import expected_path, fit_forest, raw_score
@@ -18,6 +23,7 @@ from vigil.operators.quantiles import exact_quantiles
 from vigil.operators.rollup import behavioral_drift
 from vigil.operators.sampling import hash_sample
 from vigil.operators.training import baseline_stats, find_cutoff, training_cutoff
+from vigil.sources.reviews import parse_metadata
 
 
 def test_attach_matches_a_plain_left_join_with_a_hot_and_a_null_key(spark):
@@ -25,10 +31,11 @@ def test_attach_matches_a_plain_left_join_with_a_hot_and_a_null_key(spark):
         "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL ELSE concat('k', id % 50) END AS k")
     per_key = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     expected = rows.join(per_key, "k", "left").select("id", "k", "n", "first").collect()
-    for heavy in (1, 5, 1000):
-        got = attach_by_key(rows, per_key, ["k"], "n", ["id"], heavy_keys=heavy).select("id", "k", "n", "first").collect()
+    for least, broadcast in ((2000, 9), (500, 9), (20, 9), (1, 99), (20, 3), (1, 0)):
+        got = attach_by_key(rows, per_key, ["k"], "n", ["id"], rows_per_task=least, broadcast_keys=broadcast).select(
+            "id", "k", "n", "first").collect()
         assert sorted(map(str, got)) == sorted(map(str, expected))
-    inner = attach_by_key(rows, per_key.where("k = 'hot'"), ["k"], "n", ["id"], inner=True, heavy_keys=1)
+    inner = attach_by_key(rows, per_key.where("k = 'hot'"), ["k"], "n", ["id"], inner=True, rows_per_task=500)
     assert inner.count() == 1000
 
 
@@ -38,7 +45,7 @@ def test_hot_and_null_keys_are_spread_over_partitions(spark):
     try:
         rows = spark.range(8000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' END AS k")
         per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
-        joined = attach_by_key(rows, per_key, ["k"], "n", ["id"], heavy_keys=1)
+        joined = attach_by_key(rows, per_key, ["k"], "n", ["id"], rows_per_task=1000)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == 8 and max(sizes) < 1500
     finally:
@@ -212,3 +219,40 @@ def test_later_label_wins_and_arms(spark):
     assert choose_threshold(nothing, explore=0.0).first()["threshold"] == 0.6
     drawn = {choose_threshold(nothing, explore=1.0, batch=str(i)).first()["threshold"] for i in range(12)}
     assert drawn <= {0.6, 0.7, 0.8} and len(drawn) > 1
+
+
+def test_sample_with_a_hot_row_and_a_bound(spark):
+    """One row fills a third of the table; the sample equals counting every group, and a bound is never exceeded."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1700) END AS k", "1.5D AS x")
+    for seed in range(4):
+        got = hash_sample(rows, "k", 60, 3000, seed).groupBy("k").count().collect()
+        every = rows.groupBy("k", "x").count().selectExpr(
+            "k", f"CAST(floor(count * {60 / 3000!r}D + {hash_uniform(seed, 'sample', 'k')}) AS BIGINT) AS count").where("count > 0")
+        assert sorted(map(tuple, got)) == sorted(map(tuple, every.collect()))
+        assert hash_sample(rows, "k", 60, 3000, seed, bound=True).count() <= 60
+    plan = hash_sample(rows, "k", 60, 3000, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 0.84" in plan[plan.index("Aggregate"):]  # the cut stands below the count
+
+
+def test_blank_titles_lose(spark):
+    lines = ['{"asin": "a", "title": ""}', '{"asin": "a", "title": "Real Soap"}', '{"asin": "b", "title": " "}']
+    found = parse_metadata(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert sorted(map(tuple, found)) == [("a", "Real Soap"), ("b", " ")]
+
+
+def test_month_texts(spark):
+    texts = ["May 2020", "05/01/2020", "2020-05-03", "2020/05", "someday", None]
+    df = spark.createDataFrame([(t,) for t in texts], "m string").selectExpr(f"{month_key('m')} AS k")
+    assert [r["k"] for r in df.collect()] == ["2020-05-01", "2020-05-01", "2020-05-03", "2020-05-01", "someday", None]
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """The entry imported by path from another folder, as on executors without this repository."""
+    root = pathlib.Path(__file__).resolve().parent.parent
+    code = ("import sys; sys.path.insert(0, sys.argv[1]); import __spark_entry__ as e; from pyspark.sql import SparkSession; "
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+            ".config('spark.sql.shuffle.partitions', 2).getOrCreate(); "
+            "print('rows', e.queries()['forest_nodes'](s, '/root/testdata/sf0.001').count())")
+    done = subprocess.run([sys.executable, "-c", code, str(root)], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "rows" in done.stdout, done.stderr[-1500:]

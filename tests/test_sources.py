@@ -70,8 +70,9 @@ def test_tables_by_month_and_export(spark, tmp_path):
     back = read_table(spark, str(tmp_path / "t")).where("review_month >= DATE'2020-02-01'")
     assert [r["k"] for r in back.collect()] == ["b"]
     assert "PartitionFilters: [isnotnull(review_month" in back._jdf.queryExecution().executedPlan().toString()
-    export_csv(df, str(tmp_path / "csv"), [df.x.desc()], limit=1)
-    assert [r["k"] for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()] == ["b"]
+    folder = export_csv(df, str(tmp_path / "csv"), 1, [df.x.desc()])
+    assert folder.endswith("csv-first-1")
+    assert [r["k"] for r in spark.read.option("header", True).csv(folder).collect()] == ["b"]
     with pytest.raises(RuntimeError):
         require_columns(df, "product_title")
 

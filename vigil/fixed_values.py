@@ -26,8 +26,8 @@ TINY = 1e-9
 HTML_BREAK = r"(?i)<br\s*/?>"
 WHITESPACE_RUN = r" \s+|[\t\n\x0B\f\r]\s*"
 SENTENCE_BREAK = r"[.!?|]+"
-NOT_UPPER = r"\P{Upper}+"
-NOT_LETTER = r"\P{Alpha}+"
+NOT_UPPER = r"[^A-Z]+"
+NOT_LETTER = r"[^A-Za-z]+"
 REPEATED_CHARACTER = r"(.)\1{4,}"
 BLANK_LINES = r"\n\s*\n\s*\n"
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.sql import derive
+from vigil.session import written_table
 
-# Number of heaviest keys joined by broadcast. The broadcast holds at most this
-# many rows whatever the data size, and a key left to the shuffle holds at most
-# 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 2000
+ROWS_PER_TASK = 2_000_000   # a key with as many rows is not left to one task of the shuffle
+BROADCAST_KEYS = 200_000     # heavy keys that are matched by a broadcast; with more, they are salted
 SPREAD = 1 << 20
+SHARES = 64                  # shares a heavy key is dealt into when salted
 
 
 def attach_by_key(
@@ -21,27 +21,49 @@ def attach_by_key(
     weight: str,
     spread_by: list[str],
     inner: bool = False,
-    heavy_keys: int = HEAVY_KEYS,
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Join ``rows`` with ``per_key``, which has one row per key and its row count in ``weight``.
 
-    The heaviest keys are matched by a broadcast of bounded size. Their rows, and
-    rows with a NULL key, then pass the shuffled join under a NULL key and are
-    dealt over all partitions by a hash of ``spread_by``; all other keys meet
-    their single match as usual. The spreading hash depends on row content only,
-    so a recomputed task sends its rows to the same places.
+    Keys with ``rows_per_task`` rows or more are heavy; by their weight there are
+    at most total / rows_per_task of them, found by a filter. Counted to be at most
+    ``broadcast_keys``, they are matched by a broadcast; their rows, and rows with a
+    NULL key, then pass the shuffled join under a NULL key and are dealt over all
+    partitions by a hash of ``spread_by``. More of them are salted instead: their
+    one row is repeated for each of SHARES shares, and their rows are dealt among
+    these. All other keys meet their single match as usual. The dealing depends on row
+    content only, so a recomputed task sends its rows to the same places.
     """
     payload = [c for c in per_key.columns if c not in keys]
     known = per_key.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).selectExpr(
         *keys, f"struct({', '.join(payload)}) AS _cold")
-    heaviest = known.orderBy(F.desc(f"_cold.{weight}"), *keys).limit(heavy_keys).withColumnRenamed("_cold", "_hot")
+    known = written_table(rows.sparkSession, known, "per-key")  # read twice, and counted
+    heaviest = known.where(f"_cold.{weight} >= {rows_per_task}").withColumnRenamed("_cold", "_hot")
+    heavy = heaviest.limit(broadcast_keys + 1).count()
+    if heavy > broadcast_keys:
+        return _salted(rows, known, keys, payload, weight, spread_by, inner, rows_per_task)
     settled = " OR ".join(["_hot IS NOT NULL", *[f"{k} IS NULL" for k in keys]])
-    routed = derive(rows.join(F.broadcast(heaviest), keys, "left"), {
+    found = rows.join(F.broadcast(heaviest), keys, "left") if heavy else derive(rows, {
+        "_hot": f"CAST(NULL AS {known.schema['_cold'].dataType.simpleString()})"})
+    routed = derive(found, {
         **{f"_join_{k}": f"CASE WHEN NOT ({settled}) THEN {k} END" for k in keys},
         "_spread": f"CASE WHEN {settled} THEN pmod(xxhash64({', '.join(spread_by)}), {SPREAD}L) ELSE 0L END",
     })
-    cold = known.selectExpr(*[f"{k} AS _join_{k}" for k in keys], "_cold", "0L AS _spread")
+    cold = known.selectExpr(*[f"{k} AS _join_{k}" for k in keys], "_cold",
+                            f"pmod(xxhash64({', '.join(keys)}), 1L) AS _spread")  # a plain 0 would be optimised out of the join key
     joined = routed.join(cold, [*[f"_join_{k}" for k in keys], "_spread"], "left")
     if inner:
         joined = joined.where("_hot IS NOT NULL OR _cold IS NOT NULL")
     return joined.selectExpr(*rows.columns, *[f"coalesce(_hot, _cold).{c} AS {c}" for c in payload])
+
+
+def _salted(rows, known, keys, payload, weight, spread_by, inner, rows_per_task):
+    """Every row picks a share by its content; a heavy key's row stands in all shares, another one's in share 0."""
+    flags = known.selectExpr(*keys, f"_cold.{weight} >= {rows_per_task} AS _heavy", "_cold")
+    shared = flags.selectExpr(*keys, "_cold", f"explode(sequence(0L, CASE WHEN _heavy THEN {SHARES - 1}L ELSE 0L END)) AS _share")
+    marks = flags.where("_heavy").select(*keys, F.lit(True).alias("_heavy"))
+    dealt = derive(rows.join(marks, keys, "left"), {
+        "_share": f"CASE WHEN _heavy THEN pmod(xxhash64({', '.join(spread_by)}), {SHARES}L) ELSE 0L END"})
+    joined = dealt.join(shared, [*keys, "_share"], "inner" if inner else "left")
+    return joined.selectExpr(*rows.columns, *[f"_cold.{c} AS {c}" for c in payload])

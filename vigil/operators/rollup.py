@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from vigil import fixed_values as fv
 from vigil.functions.sql import at_least_one, at_most_one, capped, derive, weighted_sum
 
+# Equal within a product; grouping by them keeps the aggregation hashed, which a largest text would not be.
+DESCRIPTION = ("business_name", "product_title", "city", "state")
 SIGNALS = {
-    # equal within a product, so max picks the value whatever the order of rows
-    "business_name": "max(business_name)",
-    "product_title": "max(product_title)",
-    "city": "max(city)",
-    "state": "max(state)",
     "review_count": "count(*)",
     "avg_rating": "avg(stars)",
     "extreme_rating_share": "avg(is_extreme_rating)",
@@ -32,8 +29,8 @@ FOLLOWED = {
 
 
 def business_month_signals(scored: DataFrame) -> DataFrame:
-    """One row per product and month."""
-    return scored.groupBy("business_id", "review_month").agg(*[
+    """One row per product and month. The description columns belong to the product, as the feature stage attaches them."""
+    return scored.groupBy("business_id", "review_month", *DESCRIPTION).agg(*[
         F.expr(f"{e} AS {name}") for name, e in SIGNALS.items()])
 
 

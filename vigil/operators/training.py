@@ -81,7 +81,7 @@ def training_frame(
     vector = model_vector(features.where(before(cutoff)), key)
     if max_rows is None or rows <= max_rows:
         return vector
-    return hash_sample(vector, key, max_rows, rows, seed).drop("copy")
+    return hash_sample(vector, key, max_rows, rows, seed, bound=True).drop("copy")
 
 
 def baseline_stats(frame: DataFrame, columns: list[str]) -> DataFrame:

@@ -492,6 +492,7 @@ FROM (SELECT *, {', '.join(f"quantile_cont({c}, 0.5) OVER () AS m_{c}" for c in
     "business_month": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "replay_month_signals": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "behavioral_drift": select("drift", DRIFT_COLUMNS, (*MONTH_DOUBLES, *SHIFTS), ("review_month",)),
+    "replay_behavioral_drift": select("drift", DRIFT_COLUMNS, (*MONTH_DOUBLES, *SHIFTS), ("review_month",)),
     "model_drift": select("model_drift", ("review_month", "scored_review_count", *POPULATION, *DRIFTS, "retraining_alert"),
                           (*POPULATION, *DRIFTS), ("review_month",)),
     "decisions": select("decisions", (*DRIFT_COLUMNS, *DRIFTS, "retraining_alert", "decision_score", "route_to_moderation"),

@@ -15,6 +15,7 @@ from vigil import fixed_values as fv
 from vigil.functions import display
 from vigil.functions.sql import derive, flag, num
 from vigil.functions.text import with_text_features
+from vigil.operators.joins import attach_by_key
 from vigil.operators.decisions import decide, moderation_queue, most_urgent_first
 from vigil.operators.features import build_review_features, model_vector
 from vigil.operators.forest import fit_forest, normalise_score, raw_score
@@ -340,18 +341,18 @@ def forest_cases(x: Inputs):
     return most_urgent_first(moderation_queue(decide(drift, model_drift(scores, model.baseline))))
 
 
-def replayed_months(x: Inputs):
+def replayed(x: Inputs):
     """The scored reviews arrive as a stream of lineitems; statistics over all history are a static table."""
     arriving = (x.spark.readStream.schema(x.table("lineitem").schema)
                 .option("pathGlobFilter", "lineitem.parquet").parquet(x.sf_dir)
                 .repartition(x.spark.sparkContext.defaultParallelism))
     live = with_text_features(fx.normalise_reviews(fx.raw_reviews(x.spark, x.sf_dir, lineitem=arriving), fx.CATEGORY))
-    described = x.keep(x.products.drop("product_id", "category"), "products")
-    rows = derive(live.join(described, "business_id", "left"), {
+    described = x.products.drop("product_id", "category")
+    rows = derive(attach_by_key(live, described, ["business_id"], "listed_review_count", ["review_id"]), {
         "is_extreme_rating": flag("stars IN (1.0D, 5.0D)"),
         "rating_deviation_from_business_average": "abs(stars - listed_business_stars)",
     })
-    return replay_business_months(stand_in(rows).where(f"review_timestamp >= TIMESTAMP'{x.cutoff[0]} 00:00:00'"))
+    return replay_business_months(rows.where(f"review_timestamp >= TIMESTAMP'{x.cutoff[0]} 00:00:00'"), score=stand_in)
 
 
 # name -> (kind of inputs, query)
@@ -408,7 +409,8 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "forest_nodes": (Staged, lambda x: derive(x.forest, {"threshold": "round(threshold, 6)"})),
     "forest_scores": (Staged, forest_scores),
     "forest_cases": (Inputs, forest_cases),
-    "replay_month_signals": (Inputs, replayed_months),
+    "replay_month_signals": (Inputs, replayed),
+    "replay_behavioral_drift": (Inputs, lambda x: behavioral_drift(replayed(x))),
 }
 
 

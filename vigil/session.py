@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -31,8 +33,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run folder", default=None)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Intermediate tables written inside live in one folder, which is deleted at the end.
+
+    For runs that write their results before they end; a frame handed out lazily must outlive this.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = _run_folder.get() or shared_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written_table(spark: SparkSession, df, name: str):

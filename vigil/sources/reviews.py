@@ -85,7 +85,7 @@ def load_reviews(spark: SparkSession, path: str, category: str, partitions: int
 def parse_metadata(lines: DataFrame, value: str = "value") -> DataFrame:
     """One title per product key out of JSON texts.
 
-    Of several titles the smallest is taken, so the choice does not depend on file order.
+    Of several titles the smallest that is not blank is taken, so the choice does not depend on file order.
     """
     at = lambda *names: f"coalesce({', '.join(f'get_json_object({value}, ' + text('$.' + n) + ')' for n in names)})"
     return (
@@ -94,8 +94,10 @@ def parse_metadata(lines: DataFrame, value: str = "value") -> DataFrame:
             f"{at('title', 'name', 'product_title', 'item_name')} AS product_title",
         )
         .where("asin IS NOT NULL")
+        .distinct()
         .groupBy("asin")
-        .agg(F.min("product_title").alias("product_title"))
+        .agg(F.expr("coalesce(min(CASE WHEN trim(product_title) <> '' THEN product_title END), min(product_title))")
+             .alias("product_title"))
     )
 
 
@@ -112,7 +114,6 @@ def build_products(reviews: DataFrame, category: str, metadata: DataFrame | None
     """One row per product: listing statistics, title and descriptive defaults."""
     check_category(category)
     listed = reviews.groupBy("business_id").agg(
-        F.max("product_id").alias("product_id"),
         F.avg("stars").alias("listed_business_stars"),
         F.count("*").alias("listed_review_count"),
     )
@@ -121,6 +122,7 @@ def build_products(reviews: DataFrame, category: str, metadata: DataFrame | None
     else:
         titled = listed.join(metadata.withColumnRenamed("asin", "business_id"), "business_id", "left")
     return derive(titled, {
+        "product_id": "business_id",  # equal since ingest
         "category": text(category),
         "average_rating": "CAST(NULL AS DOUBLE)",
         "business_name": "product_title",

@@ -1,44 +1,53 @@
-"""Replay of reviews as a stream, in file order.
-
-Product-month sums are kept as a streaming aggregation; each micro-batch writes
-the product-months it changed. The folder of a batch is overwritten when the
-batch is retried, so the result is the same after a failure.
-"""
+"""Scored reviews as a stream: partial sums per micro-batch, merged when read."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.rollup import business_month_signals
+from vigil.operators.rollup import DESCRIPTION, behavioral_drift
 from vigil.session import scratch_path
 
+MONTH = ("business_id", "review_month", *DESCRIPTION)
+# signal -> column it is the mean of
+MEANS = {
+    "avg_rating": "stars",
+    "extreme_rating_share": "is_extreme_rating",
+    "avg_review_length": "review_length",
+    "avg_anomaly_score": "anomaly_score",
+    "suspicious_review_density": "is_suspicious_review",
+}
+
+
+def partial_sums(scored: DataFrame) -> DataFrame:
+    """What one micro-batch adds to each product-month."""
+    return scored.groupBy(*MONTH).agg(
+        F.count("*").alias("review_count"), F.max("anomaly_score").alias("max_anomaly_score"),
+        *[F.sum(c).alias(f"sum_{c}") for c in MEANS.values()], *[F.count(c).alias(f"count_{c}") for c in MEANS.values()])
+
 
 def replay_business_months(
-    scored: DataFrame, folder: str | None = None, lateness: str | None = None, **trigger,
+    scored: DataFrame, folder: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None, **trigger,
 ) -> DataFrame:
-    """Run the stream of scored reviews to its end and return the product-month table.
+    """Run the stream of reviews to its end and return the product-month table.
 
-    ``scored`` is a streaming frame with the columns of a scored review. With
-    ``lateness`` (for example "40 days"), months older than the newest one by more than that
-    are closed: their state is dropped and later arrivals for them are ignored.
+    ``scored`` is a streaming frame with the columns of a scored review; with
+    ``score`` it has the features only, and that function scores each micro-batch. A batch is
+    summed up and written under its number, so a repeated batch replaces its first attempt. Nothing is
+    kept as state and no review is too late: months are put together when they are read.
     """
     spark = scored.sparkSession
     folder = folder or scratch_path(spark, "replay")
-    # a month of event time is the key: windows of a month's length do not exist, but a column with
-    # a watermark ends its state just as well
-    month = F.date_trunc("month", F.col("review_timestamp").cast("timestamp"))
-    events = scored.withColumn("review_month", month)
-    if lateness:
-        events = events.withWatermark("review_month", lateness)
 
-    def keep(changed: DataFrame, batch: int) -> None:
-        changed.withColumn("review_month", F.col("review_month").cast("date")).write.mode("overwrite").parquet(
-            f"{folder}/months/batch={batch}")
+    def keep(batch: DataFrame, number: int) -> None:
+        rows = score(batch) if score else batch
+        month = F.trunc(F.col("review_timestamp").cast("timestamp"), "month")
+        partial_sums(rows.withColumn("review_month", month)).write.mode("overwrite").parquet(f"{folder}/months/batch={number}")
 
     query = (
-        business_month_signals(events).writeStream.outputMode("update")
-        .option("checkpointLocation", f"{folder}/checkpoint")
+        scored.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
         .foreachBatch(keep)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -48,10 +57,25 @@ def replay_business_months(
 
 
 def current_months(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest version of every product-month the stream has written so far."""
-    versions = spark.read.parquet(f"{folder}/months")
-    values = F.struct("batch", *[c for c in versions.columns if c not in ("business_id", "review_month", "batch")])
-    return (
-        versions.groupBy("business_id", "review_month").agg(F.max_by(values, "batch").alias("newest"))
-        .select("business_id", "review_month", "newest.*").drop("batch")
-    )
+    """Every product-month the stream has seen so far, from the sums of all batches."""
+    sums = spark.read.parquet(f"{folder}/months")
+    return sums.groupBy(*MONTH).agg(
+        F.sum("review_count").alias("review_count"), F.max("max_anomaly_score").alias("max_anomaly_score"),
+        *[F.expr(f"sum(sum_{c}) / nullif(sum(count_{c}), 0)").alias(name) for name, c in MEANS.items()])
+
+
+def current_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Month-over-month drift of everything the stream has seen so far."""
+    return behavioral_drift(current_months(spark, folder))
+
+
+def compact(spark: SparkSession, folder: str, to: str) -> None:
+    """The sums of all batches as one table of the same form, in the folder of another replay.
+
+    For a stream that is stopped meanwhile; it goes on in ``to`` with its checkpoint copied there.
+    """
+    sums = spark.read.parquet(f"{folder}/months")
+    merged = sums.groupBy(*MONTH).agg(
+        F.max("max_anomaly_score").alias("max_anomaly_score"),
+        *[F.sum(c).alias(c) for c in ("review_count", *[f"{k}_{c}" for c in MEANS.values() for k in ("sum", "count")])])
+    merged.write.parquet(f"{to}/months/batch=-1")
