@@ -256,3 +256,14 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
     done = subprocess.run([sys.executable, "-c", code, str(root)], cwd=tmp_path, capture_output=True, text=True, timeout=300,
                           env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert "rows" in done.stdout, done.stderr[-1500:]
+
+
+def test_quantiles_of_many_values_in_a_narrow_range(spark):
+    """Cells are cut until few values are left in one, and the answer stays exact."""
+    df = spark.range(40_000).selectExpr("1 + pmod(xxhash64(id), 1000003) / 1e12 AS x", "id % 3 AS g",
+                                        "CASE WHEN id % 5 = 0 THEN 7D ELSE 1 + id / 1e13 END AS y")
+    plain = df.toPandas()
+    for by in (None, ["g"]):
+        for r in exact_quantiles(df, ["x", "y"], [0.0, 0.01, 0.5, 0.99], by, max_cell=50).collect():
+            own = plain if by is None else plain[plain.g == r["g"]]
+            assert r["value"] == pytest.approx(np.quantile(own[r["feature"]], r["probability"]), rel=1e-15, abs=0)
