@@ -16,6 +16,7 @@ SIZE = 4          # words in a shingle
 PERCENT = 80      # similarity of a link, in hundredths
 TABLES = 16       # keys in each of the two collections: TABLES squared tables in all
 ROWS = 3          # minhashes in a half key: a table key holds twice as many
+BLOCK_ROWS, BLOCK_SHINGLES = 400, 400_000  # rows and shingles that a task compares with as many at once
 
 
 def distinct_shingles(texts, size: int, words: Words):
@@ -132,47 +133,96 @@ def _linkable(members: DataFrame, percent: int) -> DataFrame:
     return rows.join(keys, "key").where("widest >= least AND reach >= n").select("key", "c", "n", "most", "label")
 
 
-def _links(spark, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (u, v) that connect the same classes as all links within the buckets would.
+def _round(spark, buckets: DataFrame, sets: DataFrame, links: DataFrame | None, pivots: int, percent: int):
+    """(links, members): a few pivots of each bucket compared with all its members of another component.
 
-    Rounds: in each bucket a few pivots (four times as many each round, those with the
-    most shared sets first) are compared with all members of another component,
-    then leave the bucket; a bucket goes once its members are one component. So
-    copies of one text cost one comparison each, no group emits all its pairs at
-    once, and every pair is compared unless it is connected already or cannot link.
+    Pivots are the members that share most of their set. They then leave their bucket, and
+    what returns as members are the rows (key, c, n, most, label) that may still have a link.
     """
-    links, pivots = None, 1
-    while True:
-        bounds = written_table(spark, _unshared(sets, buckets.select("c").distinct())
-                               .where(f"100 * most >= {percent} * n"), "bounds")
-        if links is not None:
-            labels = written_table(spark, components(links), "labels")
-            members = buckets.join(bounds, "c").join(labels.withColumnRenamed("node", "c"), "c", "left").selectExpr(
-                "key", "c", "n", "most", "coalesce(label, c) AS label")
-        else:
-            members = buckets.join(bounds, "c").selectExpr("key", "c", "n", "most", "c AS label")
-        members = written_table(spark, members, "members")
-        for _ in range(2):
-            members = written_table(spark, _linkable(members, percent), "members")
-        if members.isEmpty():
-            return links
-        members.createOrReplaceTempView("_near_members")
-        leading = spark.sql(
-            "SELECT key, c AS p, n AS pn, most AS pmost, label AS plabel FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY key ORDER BY most / n DESC, c) AS place FROM _near_members) WHERE place <= {pivots}")
-        spark.catalog.dropTempView("_near_members")
-        leading = written_table(spark, leading, "pivots")
-        pairs = members.join(leading, "key").where(
-            f"label <> plabel AND {100 + percent} * least(most, pmost) >= {percent} * (n + pn)").selectExpr(
-            "least(c, p) AS u", "greatest(c, p) AS v").distinct()
-        left = sets.selectExpr("c AS u", "n AS un", "shingles AS us")
-        right = sets.selectExpr("c AS v", "n AS vn", "shingles AS vs")
-        found = pairs.join(left, "u").join(right, "v").selectExpr(
-            "u", "v", "un + vn AS both", "CAST(size(array_intersect(us, vs)) AS BIGINT) AS common").where(
-            f"100 * common >= {percent} * (both - common)").select("u", "v")
-        links = written_table(spark, found if links is None else links.union(found), "links")
-        buckets = members.select("key", "c").join(leading.selectExpr("key", "p AS c"), ["key", "c"], "left_anti")
-        pivots *= 4
+    members = written_table(spark, _open_members(buckets, sets, links, percent), "members")
+    leading = members.withColumn("place", F.expr(
+        "row_number() OVER (PARTITION BY key ORDER BY most / n DESC, c)")).where(f"place <= {pivots}").selectExpr(
+        "key", "c AS p", "n AS pn", "most AS pmost", "label AS plabel")
+    leading = written_table(spark, leading, "pivots")
+    pairs = members.join(leading, "key").where(
+        f"label <> plabel AND {100 + percent} * least(most, pmost) >= {percent} * (n + pn)").selectExpr(
+        "least(c, p) AS u", "greatest(c, p) AS v").distinct()
+    left = sets.selectExpr("c AS u", "n AS un", "shingles AS us")
+    right = sets.selectExpr("c AS v", "n AS vn", "shingles AS vs")
+    found = pairs.join(left, "u").join(right, "v").selectExpr(
+        "u", "v", "un + vn AS both", "CAST(size(array_intersect(us, vs)) AS BIGINT) AS common").where(
+        f"100 * common >= {percent} * (both - common)").select("u", "v")
+    links = written_table(spark, found if links is None else links.union(found), "links")
+    return links, members.select("key", "c").join(leading.selectExpr("key", "p AS c"), ["key", "c"], "left_anti")
+
+
+def _open_members(buckets: DataFrame, sets: DataFrame, links: DataFrame | None, percent: int) -> DataFrame:
+    """Rows (key, c, n, most, label) of buckets that can still gain a link."""
+    spark = buckets.sparkSession
+    bounds = _unshared(sets, buckets.select("c").distinct()).where(f"100 * most >= {percent} * n")
+    if links is None:
+        members = buckets.join(bounds, "c").selectExpr("key", "c", "n", "most", "c AS label")
+    else:
+        members = buckets.join(bounds, "c").join(components(links).withColumnRenamed("node", "c"), "c", "left").selectExpr(
+            "key", "c", "n", "most", "coalesce(label, c) AS label")
+    return _linkable(_linkable(written_table(spark, members, "bounded"), percent), percent)
+
+
+def _compared(percent: int):
+    """All pairs of two blocks of a bucket, or of one block: links (u, v) between different components."""
+    def run(table):
+        import pyarrow as pa
+        rows = {name: table.column(name).to_numpy() for name in ("c", "label", "block")}
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        lists = table.column("shingles").combine_chunks()
+        counts = np.diff(lists.offsets.to_numpy())
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        vocabulary, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        first, second = np.flatnonzero(rows["block"] == low), np.flatnonzero(rows["block"] == high)
+        flag, us, vs = np.zeros(len(vocabulary), dtype=np.int64), [], []
+        others = np.concatenate([codes[cuts[k]:cuts[k + 1]] for k in second]) if len(second) else codes[:0]
+        starts = np.concatenate([[0], np.cumsum(counts[second])[:-1]]) if len(second) else counts[:0]
+        for k in first if len(second) else ():
+            own = codes[cuts[k]:cuts[k + 1]]
+            flag[own] = 1
+            common = np.add.reduceat(flag[others], starts)
+            flag[own] = 0
+            linked = ((100 + percent) * common >= percent * (counts[k] + counts[second])) & (
+                rows["label"][second] != rows["label"][k])
+            us.append(np.full(linked.sum(), rows["c"][k]))
+            vs.append(rows["c"][second[linked]])
+        none = np.zeros(0, dtype=np.int64)
+        return pa.table({"u": np.concatenate([*us, none]), "v": np.concatenate([*vs, none])})
+    return run
+
+
+def _in_blocks(spark, buckets: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """All links of what the rounds left open: each bucket is cut into blocks of bounded size, each pair of
+    blocks is a task's group, and the pairs inside are compared there without becoming rows."""
+    members = written_table(spark, _open_members(buckets, sets, links, percent), "open-members")
+    sizes = members.groupBy("key").agg(F.expr(
+        f"CAST(greatest(ceil(count(*) / {BLOCK_ROWS}), ceil(sum(n) / {BLOCK_SHINGLES})) AS INT)").alias("blocks"))
+    dealt = members.join(sizes, "key").selectExpr(
+        "key", "c", "label", "blocks", "CAST(pmod(xxhash64(c, key), blocks) AS INT) AS block").join(
+        sets.select("c", "shingles"), "c")
+    groups = dealt.select("key", "c", "label", "block", "shingles", F.explode(F.expr(
+        "transform(sequence(0, blocks - 1), k -> struct(least(k, block) AS low, greatest(k, block) AS high))")).alias("g"))
+    found = groups.selectExpr("key", "g.low", "g.high", "c", "label", "block", "shingles").groupBy(
+        "key", "low", "high").applyInArrow(_compared(percent), "u long, v long")
+    return written_table(spark, links.union(found.distinct()), "links")
+
+
+def _links(spark, reps: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (u, v) that connect the same classes as all links between classes of a common table key.
+
+    First one pivot of every table key, so that copies of one text cost one
+    comparison each. What is left is looked at by the keys of the first collection alone,
+    which hold every pair of a table key: a few pivots each, which settles all small ones, then blocks.
+    """
+    links, rest = _round(spark, buckets, sets, None, 1, percent)
+    halves = reps.select("c", F.explode(F.expr("filter(halves, h -> h & 1 = 0)")).alias("key"))
+    links, rest = _round(spark, halves.join(rest.select("c").distinct(), "c", "left_semi"), sets, links, 4, percent)
+    return _in_blocks(spark, rest, sets, links, percent)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None,
@@ -209,8 +259,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = numbered.select("doc_id", "text", "k1", "k2").join(wanted, ["k1", "k2"]).where(
         "doc_id <=> _id").select("c", "text").dropDuplicates(["c"])
     sets = written_table(spark, texts.mapInArrow(_full_sets(size), "c long, n long, shingles array<long>"), "sets")
-    links = _links(spark, buckets, sets, percent)
-    labelled = classes.selectExpr("*", "c AS label") if links is None else classes.join(
+    links = _links(spark, reps, sets, buckets, percent)
+    labelled = classes.join(
         components(links).withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     labelled = written_table(spark, labelled, "labelled")
     first = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"), F.sum("members").alias("total"))
@@ -225,3 +275,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each(found: DataFrame) -> DataFrame:
     """The rows (column row) that stay: of each component the first row that carries its smallest doc_id."""
     return found.where("kept").groupBy("grp").agg(F.min("row").alias("row")).select("row")
+
+
+# Every link by counting common shingles of every pair that has one.
+_NEXT = ", ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, SIZE)]])
+ORACLE = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D ]+'), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT row, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+l AS (SELECT row, n, list_filter([{_NEXT}], lambda x: x IS NOT NULL) AS l FROM e WINDOW o AS (PARTITION BY row ORDER BY i)),
+s AS (SELECT DISTINCT row, hash(array_to_string(l, ' ')) AS shingle FROM l WHERE len(l) = least(n, {SIZE})),
+z AS (SELECT row, count(*) AS size FROM s GROUP BY row),
+p AS (SELECT a.row AS a, b.row AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.row <> b.row GROUP BY ALL),
+k AS (SELECT a, b FROM p JOIN z x ON x.row = a JOIN z y ON y.row = b WHERE 100 * common >= {PERCENT} * (x.size + y.size - common)),
+r AS (SELECT row AS a, row AS b FROM d UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a),
+m AS (SELECT r.a AS row, min(doc_id) AS component_id FROM r JOIN d ON d.row = r.b GROUP BY r.a)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN m USING (row) LEFT JOIN z USING (row)
+"""
