@@ -169,3 +169,26 @@ def digest(found: DataFrame) -> DataFrame:
     return found.selectExpr(
         "doc_id", "n_words", "n_hit", "CAST(size(item_ids) AS BIGINT) AS n_items",
         "sha2(array_join(item_ids, ','), 256) AS items_sha256", "n_hit > 0 AS contaminated")
+
+
+_NEXT = ", ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, WINDOW)]])
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS r, item_id, regexp_extract_all(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT r, item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM b),
+bl AS (SELECT item_id, n, i, list_filter([{_NEXT}], lambda x: x IS NOT NULL) AS l FROM bw WINDOW o AS (PARTITION BY r ORDER BY i)),
+windows AS (SELECT DISTINCT item_id, array_to_string(l, ' ') AS words, len(l) AS length FROM bl WHERE len(l) = least(n, 10)),
+dw AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+dl AS (SELECT row, i, list_filter([{_NEXT}], lambda x: x IS NOT NULL) AS l FROM dw WINDOW o AS (PARTITION BY row ORDER BY i)),
+k AS MATERIALIZED (SELECT row, i, length, array_to_string(l[1:length], ' ') AS words
+      FROM dl JOIN (SELECT DISTINCT length FROM windows) ON len(l) >= length),
+h AS (SELECT row, i, item_id, k.length FROM k JOIN windows ON k.words = windows.words),
+c AS (SELECT row, count(DISTINCT i + k) AS n_hit FROM h JOIN (SELECT unnest(range(0, 10)) AS k) ON k < length GROUP BY row),
+t AS (SELECT row, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+      FROM (SELECT DISTINCT row, item_id FROM h WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (row) LEFT JOIN t USING (row)
+"""

@@ -81,4 +81,6 @@ ORACLE_SQL = {
     "op4_url_filter": url_filter.ORACLE,
     "op6_chat": chat.ORACLE,
     "op8_revisits": revisits.ORACLE,
+    "op9_decontamination": decontamination.ORACLE,
+    "op10_near_duplicates": near_duplicates.ORACLE,
 }
