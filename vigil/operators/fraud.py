@@ -13,24 +13,33 @@ from vigil.operators.joins import attach_by_key
 CASE = ["business_id", "review_month"]
 
 
+def with_copy_key(reviews: DataFrame) -> DataFrame:
+    """Adds the digest of the folded text, unless it is there already."""
+    return reviews if "_copy_key" in reviews.columns else derive(
+        reviews, {"_copy_key": f"md5({comparison_text('text')})"})
+
+
 def with_copy_counts(reviews: DataFrame, counted_in: DataFrame | None = None) -> DataFrame:
     """near_duplicate_review_count: reviews of the same product-month with the same folded text.
 
     Texts are compared by digest. Counts are combined before the shuffle and only groups of two and
     more are joined back, so a text that fills a third of the table is one row of the join.
     """
-    keyed = lambda df: derive(df, {"_copy_key": f"md5({comparison_text('text')})"})
     groups = (
-        keyed(reviews if counted_in is None else counted_in)
+        with_copy_key(reviews if counted_in is None else counted_in)
         .groupBy(*CASE, "_copy_key").agg(F.count("*").alias("_copies")).where("_copies > 1")
     )
-    joined = attach_by_key(keyed(reviews), groups, [*CASE, "_copy_key"], "_copies",
+    joined = attach_by_key(with_copy_key(reviews), groups, [*CASE, "_copy_key"], "_copies",
                            spread_by=["review_id", "user_id", "stars"])
     return derive(joined, {"near_duplicate_review_count": "coalesce(_copies, 1L)"}).drop("_copies", "_copy_key")
 
 
 def fraud_signals(scored: DataFrame, queue: DataFrame) -> DataFrame:
-    """All signals, discounts and the fraud-like score of every review in a queued product-month."""
+    """All signals, discounts and the fraud-like score of every review in a queued product-month.
+
+    Of the raw text only its digest goes through the joins.
+    """
+    scored = with_copy_key(scored).drop("text")
     cases = queue.select(*CASE, "review_count", "extreme_rating_share", "suspicious_review_density",
                          "review_volume_change")
     in_cases = attach_by_key(scored, cases, CASE, "review_count",
