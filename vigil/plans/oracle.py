@@ -239,11 +239,16 @@ CTES["baseline"] = (("training",), baseline_cte("training"))
 CTES |= month_ctes("", "scored", "baseline")
 
 folded = f"lower(trim(regexp_replace(text, '{S}+', ' ', 'g')))"
-CTES["copies"] = (("scored",), f"""
-SELECT *, count(*) OVER (PARTITION BY business_id, review_month, {folded}) AS near_duplicate_review_count FROM scored""")
 present = " OR ".join(f"{c} >= {n(v)}" for c, v in fv.MANIPULATION_SIGNALS)
 absent = " AND ".join(f"{c} < {n(v)}" for c, v in fv.MANIPULATION_SIGNALS)
-CTES["signals1"] = (("copies", "queue"), f"""
+
+
+def case_ctes(x: str) -> dict:
+    """From scored reviews and queue (both with the suffix ``x``) to the strongest reviews of each case."""
+    return {
+        f"copies{x}": ((f"scored{x}",), f"""
+SELECT *, count(*) OVER (PARTITION BY business_id, review_month, {folded}) AS near_duplicate_review_count FROM scored{x}"""),
+        f"signals1{x}": ((f"copies{x}", f"queue{x}"), f"""
 SELECT c.*, q.review_count, q.extreme_rating_share, q.suspicious_review_density, q.review_volume_change,
   {flag('stars = 5 AND word_count <= 12')} AS very_short_five_star_signal,
   {flag('stars >= 4 AND word_count <= 20')} AS high_rating_short_text_signal,
@@ -256,19 +261,23 @@ SELECT c.*, q.review_count, q.extreme_rating_share, q.suspicious_review_density,
   least(repeated_character_flag + text_formatting_anomaly_flag + generic_praise_flag + no_space_ratio, 1e0) AS bot_text_signal,
   {flag('synthetic_templated_language_score >= 0.35e0')} AS synthetic_language_signal,
   CASE WHEN review_length >= 900 AND word_count >= 140 THEN 0.15e0 ELSE 0e0 END AS long_detailed_review_discount
-FROM copies c JOIN queue q ON q.business_id = c.business_id AND q.review_month = c.review_month""")
-CTES["signals2"] = (("signals1",), f"""
+FROM copies{x} c JOIN queue{x} q ON q.business_id = c.business_id AND q.review_month = c.review_month"""),
+        f"signals2{x}": ((f"signals1{x}",), f"""
 SELECT *, {flag(present)} AS low_star_manipulation_signal,
   CASE WHEN stars <= 2 AND {absent} THEN 0.25e0 ELSE 0e0 END AS complaint_only_discount,
-  {' + '.join(flag(f'{c} >= {n(v)}') for c, v in fv.COUNTED_SIGNALS)} AS fraud_signal_count FROM signals1""")
-CTES["signals"] = (("signals2",), f"SELECT *, {clip(total(fv.FRAUD_WEIGHTS))} AS fraud_like_score FROM signals2")
-CTES["surfaced"] = (("signals",), """
-SELECT * FROM signals WHERE fraud_signal_count >= 2 AND fraud_like_score >= 0.60e0
-  AND (stars > 2 OR low_star_manipulation_signal = 1)""")
-CTES["top"] = (("surfaced",), f"""
-SELECT *, clean AS review_text, clean AS review_text_preview FROM surfaced
+  {' + '.join(flag(f'{c} >= {n(v)}') for c, v in fv.COUNTED_SIGNALS)} AS fraud_signal_count FROM signals1{x}"""),
+        f"signals{x}": ((f"signals2{x}",), f"SELECT *, {clip(total(fv.FRAUD_WEIGHTS))} AS fraud_like_score FROM signals2{x}"),
+        f"surfaced{x}": ((f"signals{x}",), f"""
+SELECT * FROM signals{x} WHERE fraud_signal_count >= 2 AND fraud_like_score >= 0.60e0
+  AND (stars > 2 OR low_star_manipulation_signal = 1)"""),
+        f"top{x}": ((f"surfaced{x}",), f"""
+SELECT *, clean AS review_text, clean AS review_text_preview FROM surfaced{x}
 QUALIFY row_number() OVER (PARTITION BY business_id, review_month ORDER BY fraud_like_score DESC, fraud_signal_count DESC,
-  anomaly_score DESC, review_id, stars, useful, review_title, verified_purchase) <= {fv.TOP_REVIEWS_PER_CASE}""")
+  anomaly_score DESC, review_id, stars, useful, review_title, verified_purchase) <= {fv.TOP_REVIEWS_PER_CASE}"""),
+    }
+
+
+CTES |= case_ctes("")
 for name, source, key, text in (("documents_t", "documents", "doc_id", "text"), ("pages_t", "pages", "page_id", "html"),
                                 ("conversations_t", "conversations", "conv_id, turn", "text")):
     CTES[f"{name}0"] = ((), f"SELECT {key}, {text} AS text, 5e0 AS stars FROM {source}")
@@ -345,7 +354,7 @@ CTES["scored_f"] = (("scored_raw", "bounds"), f"""
 SELECT *, {flag(f'anomaly_score >= {n(fv.SUSPICIOUS_SCORE)}')} AS is_suspicious_review FROM (
   SELECT s.*, {clip('(raw - lo) / greatest(hi - lo, 1e-9)')} AS anomaly_score FROM scored_raw s, bounds)""")
 CTES["baseline_f"] = (("training_f",), baseline_cte("training_f"))
-CTES |= month_ctes("_f", "scored_f", "baseline_f")
+CTES |= month_ctes("_f", "scored_f", "baseline_f") | case_ctes("_f")
 
 # ---- moderators -----------------------------------------------------------
 CTES["label_log"] = ((), """
@@ -533,6 +542,8 @@ FROM (SELECT synthetic_templated_language_score AS s, label = 'suspicious' AS hi
     "hash_sample": build("sampled", final=f"SELECT review_id, {shown(('stars', 'word_count'), ('stars', 'word_count'))} FROM sampled"),
     "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, round(threshold, 6) + 0e0 AS threshold, {shown(('path_length',), ('path_length',))} FROM nodes"),
     "forest_scores": build("training_raw", final=f"SELECT review_id, round(raw, {DIGITS}) + 0e0 AS raw_score FROM training_raw"),
+    "forest_top_reviews": select("top_f", fv.TOP_REVIEW_COLUMNS, set(fv.TOP_REVIEW_COLUMNS) - NOT_DOUBLE_TOP,
+                                 ("review_month", "review_date")),
     "forest_cases": select("queue_f", fv.QUEUE_COLUMNS, DECISION_DOUBLES, ("review_month",)),
     "threshold_choice": build("arms", final="SELECT threshold, false AS explored FROM arms ORDER BY mean_reward DESC, arm LIMIT 1"),
 }

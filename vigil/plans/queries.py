@@ -332,13 +332,24 @@ def forest_scores(x: Staged):
         nodes, list(fv.MODEL_FEATURES), min(fv.FOREST_SUBSAMPLE, rows)).alias("raw_score"))
 
 
-def forest_cases(x: Inputs):
-    """Flagship: product-months routed to moderators by the real model."""
-    stored = x.keep(x.features.select(*SCORED_COLUMNS), "features")
+def forest_scored(x: Inputs, columns=None) -> tuple[DataFrame, DataFrame]:
+    """Reviews scored by the real model, and the queue that follows from them."""
+    stored = x.keep(x.features if columns is None else x.features.select(*columns), "features")
     model = train(stored)
     scores = x.keep(score_reviews(stored, model), "scored")
     drift = behavioral_drift(business_month_signals(scores))
-    return most_urgent_first(moderation_queue(decide(drift, model_drift(scores, model.baseline))))
+    return scores, moderation_queue(decide(drift, model_drift(scores, model.baseline)))
+
+
+def forest_cases(x: Inputs):
+    """Flagship: product-months routed to moderators by the real model."""
+    return most_urgent_first(forest_scored(x, SCORED_COLUMNS)[1])
+
+
+def forest_top_reviews(x: Inputs):
+    """The strongest reviews of the cases that the real model queues."""
+    scores, queue = forest_scored(x)
+    return top_suspicious_reviews(fraud_signals(scores, x.keep(queue, "queue")))
 
 
 def replayed(x: Inputs):
@@ -409,6 +420,7 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "forest_nodes": (Staged, lambda x: derive(x.forest, {"threshold": "round(threshold, 6)"})),
     "forest_scores": (Staged, forest_scores),
     "forest_cases": (Inputs, forest_cases),
+    "forest_top_reviews": (Inputs, forest_top_reviews),
     "replay_month_signals": (Inputs, replayed),
     "replay_behavioral_drift": (Inputs, lambda x: behavioral_drift(replayed(x))),
 }

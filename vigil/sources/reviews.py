@@ -29,10 +29,15 @@ def check_category(category: str | None) -> str:
     return category
 
 
+UNSPLITTABLE = (".gz", ".gzip", ".deflate", ".snappy")
+
+
 def read_raw_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """JSON lines. Gzip files cannot be split, so ``partitions`` spreads their rows after the scan."""
+    """JSON lines. Rows of files that cannot be split, by their name, are dealt to all tasks of a shuffle after
+    the scan, or to ``partitions``; so are those of other files if ``partitions`` is given."""
     raw = spark.read.schema(RAW_REVIEW).json(path)
-    return raw.repartition(partitions) if partitions else raw
+    whole = path.endswith(UNSPLITTABLE)
+    return raw.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))) if partitions or whole else raw
 
 
 def parse_raw_reviews(lines: DataFrame, value: str = "value") -> DataFrame:
