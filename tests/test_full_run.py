@@ -93,3 +93,13 @@ def test_stream_in_many_batches_equals_one_batch(spark, tmp_path):
     whole = sorted(map(tuple, business_month_signals(scored).select(*columns).collect()))
     assert sorted(map(tuple, replayed.select(*columns).collect())) == whole
     assert current_months(spark, str(tmp_path / "run")).count() == len(whole)
+
+
+def test_signals_and_ranks_do_not_depend_on_partitions(spark):
+    from vigil.operators.fraud import fraud_signals, top_suspicious_reviews
+    from vigil.plans.queries import StagedTexts
+    x = StagedTexts(spark, SMALL)
+    queue, scored = x.kept_queue, x.scored
+    seen = [sorted(map(str, top_suspicious_reviews(fraud_signals(scored.repartition(n), queue.repartition(n)), 3).collect()))
+            for n in (1, 7, 64)]
+    assert seen[0] and seen[0] == seen[1] == seen[2]

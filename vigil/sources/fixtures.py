@@ -46,12 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small file arrives as one split: deal its rows to all cores before costly text work.
-
-    A table with at least as many splits as cores is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The test tables are one split each. A session that sets vigil.fixture.partitions has their rows dealt to as
+    many partitions before costly text work; without it nothing is dealt."""
+    partitions = df.sparkSession.conf.get("vigil.fixture.partitions", None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
