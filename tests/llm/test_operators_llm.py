@@ -138,7 +138,7 @@ def test_line_quality(docs, none):
 
 
 def test_copies_keep_their_first_members(spark):
-    text = "\n".join(f"line number {chr(97 + i)} of the copied page with words" for i in range(6))
+    text = "\n".join(" ".join(f"{chr(97 + i)}word{chr(97 + k)}" for k in range(8)) for i in range(6))
     rows = [(i, text, "one") for i in range(40)] + [(100 + i, text, "two") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r["doc_id"] for r in line_quality.line_quality(df).where("kept").collect()}
