@@ -1,0 +1,46 @@
+"""Cases that an operator once did less than the whole job on."""
+
+import textwrap
+
+from vigil.llm import licenses
+
+# 2 licences
+
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n"""
+BSD = """Copyright (c) 2020, Some Body\nAll rights reserved.\n\n{}"""
+
+
+def wrapped(text, sign, width=72):
+    return "\n".join(sign + line for line in textwrap.wrap(text, width))
+
+
+def test_headers_over_lines_and_licence_files(spark):
+    """Headers are wrapped behind comment signs; tags name identifiers; a licence file is one passage."""
+    texts = {
+        "Apache-2.0": ["// SPDX-License-Identifier: Apache-2.0", "x = 1\n" + wrapped(APACHE, "# "),
+                       " * under the\n * Apache License, Version 2.0 (the\n" + wrapped(APACHE, " * ", 40)],
+        "GPL-3.0": ["/* SPDX-License-Identifier: GPL-3.0-or-later */", wrapped(GPL.format(3), " * "), wrapped(GPL.format(3), "# ", 50),
+                    "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone"],
+        "GPL-2.0": ["# SPDX-License-Identifier: GPL-2.0+", wrapped(GPL.format(2), "// "), "SPDX-License-Identifier: GPL-2.0-only"],
+        "BSD-3-Clause": ["SPDX-License-Identifier: BSD-3-Clause", BSD.format(wrapped(licenses._CLAUSES + licenses._NAMES
+                         + "THIS SOFTWARE " + licenses._DISCLAIMED.replace("THE COPYRIGHT HOLDERS", "SOME BODY"), ""))],
+        "BSD-2-Clause": [BSD.format(wrapped(licenses._CLAUSES + "THIS SOFTWARE " + licenses._DISCLAIMED, ""))],
+        "LGPL-2.1": [wrapped(GPL.format("2.1").replace("General", "Lesser General").replace("program", "library"), "# ")],
+        "MIT": ["# SPDX-License-Identifier: (MIT OR Apache-2.0)", "MIT License\n\nCopyright (c) 2021 X\n\n" + wrapped(licenses._MIT, "")],
+        "ISC": ["// SPDX-License-Identifier: ISC"],
+        None: ["See the license\nof the package.", "SPDX-License-Identifier: NONE", "licensed\nunder other terms of version 3 of a contract",
+               "the permission of users to copy", "You need a driving\nlicence under the law of the land"],
+    }
+    rows = [(f"f{i}/{i}.py", t, name) for i, (name, t) in enumerate((n, t) for n, some in texts.items() for t in some)]
+    rows += [(f"other/{i}.txt", f"the text {i} of a program under the version and with the rest of it", None) for i in range(60)]
+    files = spark.createDataFrame(rows, "path string, text string, expected string")
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
+    headers = spark.createDataFrame(licenses.HEADERS, "license string, text string")
+    found = licenses.licensed(files, templates, keep=("expected",), headers=headers).collect()
+    assert len(found) == len(rows)
+    assert not [(r["path"], r["expected"], r["own_license"], r["own_score"]) for r in found if r["own_license"] != r["expected"]]

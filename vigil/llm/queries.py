@@ -30,7 +30,8 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
-    return licenses.licensed(licenses.files_of(table(spark, sf_dir, "documents")), templates, keep=("doc_id",))
+    headers = spark.createDataFrame(licenses.HEADERS, "license string, text string")
+    return licenses.licensed(licenses.files_of(table(spark, sf_dir, "documents")), templates, keep=("doc_id",), headers=headers)
 
 
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
