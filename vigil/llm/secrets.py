@@ -33,6 +33,11 @@ KNOWN = (
     r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})(?:[_/-]+(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}))+(?:[_/-]+[0-9]+)?",  # words joined by signs
 )
 
+# The known forms that may stand among the parts of a run.
+INNER = re.compile("(?<![^/=_+-])(?:" + "|".join([*KNOWN[:2], *(f"[0-9A-Fa-f]{{{n}}}" for n in DIGEST_DIGITS)]) + ")(?![^/=_+-])",
+                   re.ASCII)
+PARTS = re.compile("[^/=_+-]+")
+
 
 def base_spans(text: str, patterns) -> list[tuple[int, int, str]]:
     """(start, kind number, end) of the fixed kinds."""
@@ -51,6 +56,55 @@ def known_identifier(run: str, known) -> bool:
     return len(run) in DIGEST_DIGITS and not run.strip("0123456789abcdefABCDEF") or bool(known.fullmatch(run))
 
 
+def rests(start: int, end: int, spans) -> Iterator[tuple[int, int]]:
+    """What is left of a stretch without spans, which are sorted by start."""
+    for a, b in spans:
+        if a > start:
+            yield start, min(a, end)
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
+def maximal(scores: list[int]) -> list[tuple[int, int]]:
+    """All maximal scoring stretches (Ruzzo and Tompa): no positive score is outside, no stretch gains by its neighbours."""
+    held, total = [], 0  # first, last, sum before, sum after, the last one before it with a smaller sum before
+    for k, score in enumerate(scores):
+        before, total = total, total + score
+        if score <= 0:
+            continue
+        first, j = k, len(held) - 1
+        while True:
+            while j >= 0 and held[j][2] >= before:
+                j = held[j][4]
+            if j < 0 or held[j][3] >= total:
+                break
+            first, before, j = held[j][0], held[j][2], held[j][4]
+            del held[next(i for i in range(len(held) - 1, -1, -1) if held[i][0] == first):]
+        held.append((first, k, before, total, j))
+    return [(h[0], h[1]) for h in held]
+
+
+def random_spans(run: str, n_tokens, known, min_run: int, max_ratio: float) -> list[tuple[int, int]]:
+    """Random stretches of a run: the whole of it, or else stretches of its parts between signs."""
+    def random(a, b):
+        return b - a >= min_run and not known_identifier(run[a:b], known) and b - a < max_ratio * n_tokens(run[a:b])
+    if len(run) < min_run or known_identifier(run, known):
+        return []
+    if random(0, len(run)):
+        return [(0, len(run))]
+    found = []
+    for a, b in rests(0, len(run), [m.span() for m in INNER.finditer(run)]):
+        parts = [m.span() for m in PARTS.finditer(run, a, b)] if b - a >= min_run else []
+        scores = [max_ratio * n_tokens(run[x:y]) - (y - x) for x, y in parts]
+        for first, last in maximal(scores):
+            if random(parts[first][0], parts[last][1]):
+                found.append((parts[first][0], parts[last][1]))
+            else:
+                found += [part for part in parts[first:last + 1] if random(*part)]
+    return found
+
+
 def listed(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
@@ -75,6 +129,9 @@ def _scanner(ranks: dict[bytes, int], min_run: int, max_ratio: float):
         import tiktoken
         coder = tiktoken.Encoding("runs", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         patterns, known = compiled(), re.compile("|".join(KNOWN), re.ASCII)
+
+        def n_tokens(text):
+            return len(coder.encode_ordinary(text))
         hexadecimal, allowed, lower = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool), np.arange(256, dtype=np.uint8)
         hexadecimal[list(b"0123456789abcdef")] = True
         allowed[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
@@ -111,10 +168,10 @@ def _scanner(ranks: dict[bytes, int], min_run: int, max_ratio: float):
                         place += len(raw[at:s].decode("utf-8", "replace"))
                         at = s
                         run_text = raw[s:e].decode()
-                        if (not known_identifier(run_text, known)
-                                and not any(f[0] < place + e - s and place < f[2] for f in found)
-                                and len(run_text) < max_ratio * len(coder.encode_ordinary(run_text))):
-                            added.append((place, 3, place + e - s))
+                        over = [(f[0] - place, f[2] - place) for f in found if f[0] < place + e - s and place < f[2]]
+                        for low, high in rests(0, e - s, over):
+                            added += [(place + low + x, 3, place + low + y) for x, y in random_spans(
+                                run_text[low:high], n_tokens, known, min_run, max_ratio)]
                     spans[k] = listed(sorted(found + added))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *map(pa.array, counts), pa.array(digests), pa.array(spans)],
@@ -133,8 +190,9 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: s
     """Spans of likely secrets: doc_id, n_assign, n_access, n_hex, base_sha256, spans; one row per input row.
 
     Spans are kind:start:end in code points, by start, then kind. A run of at
-    least ``min_run`` letters, digits and ``+/_=-`` that no fixed kind touches is
-    random if it has fewer than ``max_ratio`` characters per token; digests of usual
+    least ``min_run`` letters, digits and ``+/_=-``, without what the fixed kinds take of it, is
+    random if it has fewer than ``max_ratio`` characters per token. Of another run the maximal stretches of parts
+    between signs that are random by themselves are, so words before a secret do not hide it. Digests of usual
     lengths, UUIDs, numbers and words joined by signs are known and left alone.
 
     A null text is empty; repeated rows are rows of their own; texts are read
