@@ -9,6 +9,9 @@ from vigil.llm import decontamination, line_quality, near_duplicates, pieces, su
 from vigil.session import written_table
 
 
+SHINGLE = 5  # words in a shingle of the near_dedup stage; four are the contract of op10_near_duplicates alone
+
+
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Rows with a number of their own, written once so that the numbers stay."""
     return written_table(spark, docs.select(F.monotonically_increasing_id().alias("row"),
@@ -35,7 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
     rows = _numbered(spark, docs)
-    found = near_duplicates.near_duplicates(rows.select("row", "doc.doc_id", "doc.text"), row="row")
+    found = near_duplicates.near_duplicates(rows.select("row", "doc.doc_id", "doc.text"), row="row", size=SHINGLE)
     stay = written_table(spark, near_duplicates.one_of_each(found), "stay")
     return _documents(rows.join(stay, "row", "left_semi"), docs.columns)
 

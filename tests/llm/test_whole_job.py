@@ -5,6 +5,9 @@ import re
 import string
 import textwrap
 
+from test_operators_llm import brute_groups
+
+import corpus_pipeline
 from vigil.llm import licenses, secrets
 
 # 1 secrets
@@ -85,3 +88,20 @@ def test_headers_over_lines_and_licence_files(spark):
     found = licenses.licensed(files, templates, keep=("expected",), headers=headers).collect()
     assert len(found) == len(rows)
     assert not [(r["path"], r["expected"], r["own_license"], r["own_score"]) for r in found if r["own_license"] != r["expected"]]
+
+
+# pipeline
+
+def test_near_dedup_takes_five_words(spark):
+    """400 words with 9 to 11 scattered changes: linked on four words, not on five; with 5 changes linked on both."""
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base))]
+    for i, n in enumerate((5, 9, 10, 11, 30), 1):
+        words = list(base)
+        for k in range(n):
+            words[6 + k * (390 // n)] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    kept = [{eval(g)[2] for g in brute_groups(rows, size=size)} for size in (4, 5)]
+    assert kept == [{0, 5}, {0, 2, 3, 4, 5}]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == kept[1]
