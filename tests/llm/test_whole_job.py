@@ -8,7 +8,7 @@ import textwrap
 from test_operators_llm import brute_groups
 
 import corpus_pipeline
-from vigil.llm import licenses, secrets
+from vigil.llm import licenses, secrets, surrogates
 
 # 1 secrets
 
@@ -90,6 +90,33 @@ def test_headers_over_lines_and_licence_files(spark):
     assert not [(r["path"], r["expected"], r["own_license"], r["own_score"]) for r in found if r["own_license"] != r["expected"]]
 
 
+# 7 surrogates
+
+def test_further_mentions_and_forms(spark):
+    """Mentions of a name without its title go too and agree in parts; more forms of numbers and addresses."""
+    texts = [
+        "Frau Anna Schmidt kam. Anna Schmidt sagte, SCHMIDT sei da; Schmidts Haus, Anna's Hut, Frau Schmidt. Schmidtchen blieb.",
+        "Herr Schmidt und Dr. Anna Schmidt, Herr Prof. Dr. Berta Weber; Weber ging.", "Anna Schmidt steht hier ohne Anrede, 12:30.",
+        "Call +33 1 23 45 67 89 or 01 23 45 67 89, pay 3782 822463 10005 or 3782-822463-10005, not 3782 822463 10006.",
+        "From 2001:db8:85a3::8a2e:370:7334 or 2001:0DB8:85A3:0:0:8a2e:370:7334 at 12:30:45, std::abs, a::b.",
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in surrogates.pseudonymised(docs).selectExpr("doc.doc_id", "text", "found").collect()}
+    new = [found[i]["text"] for i in range(len(texts))]
+    m = re.fullmatch(r"Frau (\w+na) (\w+) kam\. (\w+ \w+) sagte, (\w+) sei da; (\w+) Haus, (\w+)'s Hut, Frau (\w+)\. Schmidtchen blieb\.", new[0])
+    given, last = m[1], m[2]
+    assert m.groups()[2:] == (f"{given} {last}", last.upper(), last + "s", given, last) and "schmidt" not in (given + last).lower()
+    assert found[0]["found"] == {"name": 6}
+    m = re.fullmatch(r"Herr (\w+) und Dr\. (\w+) (\w+), Herr Prof\. Dr\. (\w+n) (\w+); (\w+) ging\.", new[1])
+    assert m.groups()[:3] == (last, given, last) and m[5] == m[6] != "Weber" and m[4] != "Berta"
+    assert new[2] == texts[2]  # no title: no detected name
+    assert found[3]["found"] == {"phone": 2, "card": 2}
+    m = re.fullmatch(r"Call (\+3\d(?: \d){1}(?: \d\d){4}) or (0\d(?: \d\d){4}), pay (3\d{3} \d{6} \d{5}) or (3\d{3}-\d{6}-\d{5}), not 3782 822463 10006\.", new[3])
+    assert m and not set(m.groups()) & set(re.findall(r"[+\d][\d -]+\d", texts[3])) and m[3] == m[4].replace("-", " ")
+    m = re.fullmatch(r"From (\S+) or (\S+) at 12:30:45, std::abs, a::b\.", new[4])
+    assert m[1] == m[2] and re.fullmatch(r"2001:db8(:[0-9a-f]{1,4}){6}", m[1]) and "8a2e:370" not in m[1]
+
+
 # pipeline
 
 def test_near_dedup_takes_five_words(spark):

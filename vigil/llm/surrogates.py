@@ -13,21 +13,33 @@ MAX_ROUNDS = 64
 
 # Titles that announce a person, by gender.
 MALE = ("Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "M", "Г-н", "Господин", "Κύριος", "Κ")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Srta", "Madame", "Mme", "Mlle", "Г-жа", "Госпожа", "Κυρία", "Κα")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Srta", "Madame", "Mme", "Mlle", "Г-жа", "Госпожа", "Κυρία", "Κα",
+          "Professorin", "Doktorin", "Dra", "Profa")
+NEUTRAL = ("Dr", "Prof", "Doctor", "Doktor", "Professor", "Mx", "Д-р", "Доктор", "Профессор", "Δρ")
 
-_TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
+_TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
+_TITLED = rf"(?:{_TITLES})\.?(?: (?:{_TITLES})\.?)*+ "
+_HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Types in order of precedence. Each pattern starts where a run starts, so a text is passed over once.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
-    "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9.])(?:[0-9]{16}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|3[47][0-9]{13})(?![0-9])",
+    "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
+          rf"|(?<![\p{{L}}0-9_:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*[0-9]){_HEX}(?::{_HEX})*+::(?:{_HEX}(?::{_HEX})*+)?)"
+          r"(?![\p{L}0-9_:]|\.[0-9])",
+    "card": r"(?<![0-9.])(?:[0-9]{16}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|3[47][0-9]{13}"
+            r"|3[47][0-9]{2}(?: [0-9]{6} |-[0-9]{6}-)[0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![\p{L}0-9.+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})|\([0-9]{2,4}\))[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
-    "name": rf"(?<![\p{{L}}0-9])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+    "phone": r"(?<![\p{L}0-9.+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})|\([0-9]{2,4}\))[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+             r"|(?<![\p{L}0-9.+])\+(?=(?:[ ./()-]{0,3}[0-9]){8,15}(?![0-9]))[0-9]{1,3}(?:[ ./-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}+(?![0-9])"
+             r"|(?<![\p{L}0-9.+-])0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4})(?![0-9]|[.-][0-9])",
+    "name": rf"(?<![\p{{L}}0-9]){_TITLED}\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
 }
 ANY = "|".join(PATTERNS.values())
+# A word that may be a further mention of a name, and what a name may have behind it there.
+WORD = r"(?<![\p{L}0-9])\p{Lu}[\p{L}'’-]+"
+ENDINGS = ("", "s", "'s", "’s", "'", "’")
 # Texts without one of these have no entity.
 HINT = rf"[0-9@]|(?:{_TITLES})\.? \p{{Lu}}"
 
@@ -37,7 +49,7 @@ SYLLABLES = {
     "greek": "βα βε γα γο δα δη κα κο λα λε μα μη να νι πα πε ρα ρο σα σι τα τη φα φι".split(),
     "latin": "ba be bi da de do fa ga go ka ke la le li ma mi na no ra ri sa se ta vi".split(),
 }
-GIVEN_ENDS = {"cyrillic": ("н", "на"), "greek": ("ς", "να"), "latin": ("n", "na")}
+GIVEN_ENDS = {"cyrillic": ("н", "на", "й"), "greek": ("ς", "να", "ρ"), "latin": ("n", "na", "l")}
 
 
 def quoted(pattern: str) -> str:
@@ -53,26 +65,35 @@ def luhn(digits: str) -> str:
 
 
 def classified(rows: DataFrame) -> DataFrame:
-    """Rows with a column ``match`` get type, canonical form, gender and script; type is null if it is no entity.
+    """Rows with a column ``match`` get type, and of each part of the entity kind, k, canonical form, gender and
+    script; type is null if it is no entity.
 
-    Equal canonical forms are one entity, however they are written: an e-mail
-    address in lower case, a name without its title, of numbers the letters and digits.
+    The kind is the type, but a name of two words has the parts given (of the title's gender, if it has one) and
+    name. Equal canonical forms of a kind are one entity, however they are written: an e-mail
+    address in lower case, an address with all its groups, a name without its title, of numbers the letters and digits.
     """
     kinds = " ".join(f"WHEN match RLIKE {quoted('^(?:' + p + ')$')} THEN '{t}'" for t, p in PATTERNS.items())
     typed = derive(rows, {"_type": f"CASE {kinds} END"})
     bare = derive(typed, {
         "_plain": "regexp_replace(match, '[^A-Za-z0-9]+', '')",
-        "_person": f"regexp_replace(match, {quoted(f'^(?:{_TITLES})[.]? ')}, '')",
-        "_title": f"regexp_extract(match, {quoted(f'^({_TITLES})[.]? ')}, 1)"})
-    named = ", ".join(quoted(t) for t in FEMALE)
-    return derive(bare, {
+        "_groups": "regexp_replace(lower(match), '(?<![0-9a-f])0+(?=[0-9a-f])', '')",
+        "_person": f"regexp_replace(match, {quoted(f'^{_TITLED}')}, '')",
+        "_titles": f"split(regexp_extract(match, {quoted(f'^{_TITLED}')}, 0), '[.]? ')"})
+    female, male = (f"arrays_overlap(_titles, array({', '.join(quoted(t) for t in some)}))" for some in (FEMALE, MALE))
+    cut = derive(bare, {
         "type": f"CASE WHEN _type = 'card' AND NOT {luhn('_plain')} THEN NULL ELSE _type END",
-        "canonical": "CASE _type WHEN 'email' THEN lower(match) WHEN 'ip' THEN match WHEN 'name' THEN lower(_person) "
-                     "ELSE _plain END",
-        "gender": f"CASE WHEN _type = 'name' THEN CASE WHEN _title IN ({named}) THEN 'f' ELSE 'm' END ELSE '' END",
-        "script": r"CASE WHEN _type <> 'name' THEN '' WHEN _person RLIKE r'\p{IsCyrillic}' THEN 'cyrillic' "
-                  r"WHEN _person RLIKE r'\p{IsGreek}' THEN 'greek' ELSE 'latin' END",
-    }).drop("_type", "_plain", "_person", "_title")
+        "_sex": f"CASE WHEN {female} THEN 'f' WHEN {male} THEN 'm' ELSE '' END",
+        "_parts": "CASE _type WHEN 'email' THEN array(lower(match)) WHEN 'name' THEN split(lower(_person), ' ') "
+                  "WHEN 'ip' THEN array(CASE WHEN match NOT LIKE '%:%' THEN match ELSE trim(TRAILING ':' FROM replace(_groups, "
+                  "'::', concat(':', repeat('0:', greatest(0, 8 - size(filter(split(_groups, ':'), g -> g <> ''))))))) END) "
+                  "ELSE array(_plain) END"})
+    parted = cut.select("*", F.posexplode("_parts").alias("k", "canonical"))
+    return derive(parted, {
+        "kind": "CASE WHEN _type = 'name' AND k + 1 < size(_parts) THEN 'given' ELSE type END",
+        "gender": "CASE WHEN _type = 'name' AND k + 1 < size(_parts) THEN _sex ELSE '' END",
+        "script": r"CASE WHEN _type <> 'name' THEN '' WHEN canonical RLIKE r'\p{IsCyrillic}' THEN 'cyrillic' "
+                  r"WHEN canonical RLIKE r'\p{IsGreek}' THEN 'greek' ELSE 'latin' END",
+    }).drop("_type", "_plain", "_groups", "_person", "_titles", "_sex", "_parts")
 
 
 def _candidate(key: str) -> dict[str, str]:
@@ -91,10 +112,11 @@ def _candidate(key: str) -> dict[str, str]:
                 f"{draw(len(SYLLABLES[script]), f'i, {salt}')})), '')")
 
     def person(script):
-        end = f"CASE gender WHEN 'f' THEN '{GIVEN_ENDS[script][1]}' ELSE '{GIVEN_ENDS[script][0]}' END"
-        count = "3 + attempt div 4"  # a longer name once the short ones are taken
-        return (f"CASE WHEN locate(' ', canonical) > 0 THEN concat(initcap(concat({spelled(script, '2', 1)}, {end})), ' ', "
-                f"initcap({spelled(script, count, 2)})) ELSE initcap({spelled(script, count, 2)}) END")
+        male, female, unknown = GIVEN_ENDS[script]
+        end = f"CASE gender WHEN 'f' THEN '{female}' WHEN 'm' THEN '{male}' ELSE '{unknown}' END"
+        longer = "attempt div 2"  # a longer name once the short ones are taken
+        return (f"CASE type WHEN 'given' THEN initcap(concat({spelled(script, f'2 + {longer}', 1)}, {end})) "
+                f"ELSE initcap({spelled(script, f'3 + {longer}', 2)}) END")
 
     def same_form(source, first="", i="i"):
         return (f"array_join(transform(split({source}, ''), (c, i) -> CASE {first} "
@@ -111,8 +133,9 @@ def _candidate(key: str) -> dict[str, str]:
         "_body": body,
         "surrogate": f"""CASE type
             WHEN 'email' THEN concat({same_form(f"concat({local}, {wide})")}, '@', {same_form(site, i='i, 7')}, '.example')
-            WHEN 'ip' THEN concat_ws('.', CASE WHEN attempt < 4 THEN '10' ELSE CAST(1 + {draw(223, -1)} AS STRING) END,
-                CAST({draw(256, -2)} AS STRING), CAST({draw(256, -3)} AS STRING), CAST({draw(256, -4)} AS STRING))
+            WHEN 'ip' THEN CASE WHEN canonical LIKE '%:%' THEN concat('2001:db8', array_join(transform(sequence(1, 6),
+                i -> concat(':', lower(hex({draw(65536, "i, 9")})))), '')) ELSE concat_ws('.', CASE WHEN attempt < 4 THEN '10' ELSE CAST(1 + {draw(223, -1)} AS STRING) END,
+                CAST({draw(256, -2)} AS STRING), CAST({draw(256, -3)} AS STRING), CAST({draw(256, -4)} AS STRING)) END
             WHEN 'card' THEN concat(_body, element_at(filter(array('0','1','2','3','4','5','6','7','8','9'), d -> {check}), 1))
             WHEN 'iban' THEN concat(substring(canonical, 1, 2), {same_form("substring(canonical, 3)")})
             WHEN 'ssn' THEN concat('9', substring({same_form("canonical")}, 2))
@@ -156,17 +179,34 @@ def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
     raise ValueError("no free surrogates are left for some entities: their form has too few values")
 
 
+def _known(met: DataFrame, key: str) -> DataFrame:
+    """(kind, canonical, gender, script, surrogate) of all entities that ``met`` has."""
+    entities = met.where("type IS NOT NULL").select("kind", "canonical", "gender", "script").distinct()
+    genders = entities.where("gender <> ''").groupBy("kind", "canonical", "script").agg(F.max("gender").alias("elsewhere"))
+    entities = written_table(met.sparkSession, entities.join(genders, ["kind", "canonical", "script"], "left").withColumn(
+        "likely", F.expr("CASE WHEN kind = 'given' AND gender = '' THEN coalesce(elsewhere, '') ELSE gender END")).drop(
+        "elsewhere"), "entities")
+    if entities.isEmpty():
+        return entities.selectExpr("kind", "canonical", "gender", "script", "'' AS surrogate")
+    drawn = assigned(entities.selectExpr("kind AS type", "canonical", "likely AS gender", "script").distinct(), key)
+    return entities.join(drawn.selectExpr("type AS kind", "canonical", "gender AS likely", "script", "surrogate"),
+                         ["kind", "canonical", "likely", "script"]).drop("likely")
+
+
 def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """Replaces personal data in a text column: doc (all columns as they were), text, n_entities, found.
 
     ``found`` counts entities by type (map, empty if none). One row per input row.
-    Found are e-mail addresses, IPv4 addresses, payment cards with a valid check
+    Found are e-mail addresses, IPv4 and IPv6 addresses, payment cards with a valid check
     digit, IBANs, social security numbers, phone numbers with an area code in
-    brackets or a country code, and names after a title. A surrogate keeps type and
+    brackets, a country code or five pairs of digits, names after titles, and further mentions of these names
+    in their text: capitalised words equal to a part of one, also with an ending of ENDINGS. A surrogate keeps type and
     form: digits and letters in their places, the country of an IBAN or the first digit
     of a phone number or card (and a valid check digit), gender, script and number of
     words of a name; addresses move to a reserved domain or network. The same entity gets the
-    same surrogate in all documents and spellings, different entities different ones.
+    same surrogate in all documents and spellings, different entities different ones; given names and surnames are
+    entities of their own, so names agree in the parts that they share. A given name whose title tells no
+    gender takes the one it has elsewhere.
 
     Null and empty texts stay; repeated rows are treated alike; a table without
     entities, or without rows, passes unchanged; any other columns are carried along.
@@ -175,26 +215,51 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFr
     spark = docs.sparkSession
     packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc"),
                          F.col(text).cast("string").alias("text"))
-    any_pattern = quoted(ANY)
+    any_pattern, word = quoted(ANY), quoted(WORD)
     looked = packed.withColumn("matches", F.expr(
         f"CASE WHEN text RLIKE {quoted(HINT)} THEN regexp_extract_all(text, {any_pattern}, 0) ELSE array() END"))
     held = written_table(spark, looked.where("size(matches) > 0").withColumn(
         "row", F.monotonically_increasing_id()), "held")
-    met = classified(held.select("row", F.posexplode("matches").alias("place", "match")))
-    entities = written_table(spark, met.where("type IS NOT NULL").select(
-        "type", "canonical", "gender", "script").distinct(), "entities")
-    known = assigned(entities, key) if not entities.isEmpty() else entities.selectExpr("*", "'' AS surrogate", "'' AS taken")
-    put = met.join(known.drop("taken"), ["type", "canonical", "gender", "script"], "left").withColumn("put", F.expr(
+    met = written_table(spark, classified(held.select("row", F.posexplode("matches").alias("place", "match"))), "met")
+    known = _known(met, key)
+    same = ["kind", "canonical", "gender", "script"]
+    put = met.join(known, same, "left").withColumn("put", F.expr(
         f"""CASE WHEN surrogate IS NULL THEN match
             WHEN type IN ('email', 'ip') THEN surrogate
-            WHEN type = 'name' THEN concat(regexp_extract(match, {quoted(f'^(?:{_TITLES})[.]? ')}, 0), surrogate)
+            WHEN type = 'name' THEN CASE WHEN k = 0 THEN concat(regexp_extract(match, {quoted(f'^{_TITLED}')}, 0), surrogate)
+                ELSE concat(' ', surrogate) END
             ELSE array_join(transform(split(match, ''), (c, i) -> CASE WHEN c RLIKE '[A-Za-z0-9]' THEN substring(surrogate,
                 length(regexp_replace(substring(match, 1, i + 1), '[^A-Za-z0-9]+', '')), 1) ELSE c END), '') END"""))
-    lists = put.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "put", "type"))).alias("puts"))
-    rebuilt = held.join(lists, "row").selectExpr(
-        "doc", f"""array_join(flatten(zip_with(split(text, {any_pattern}, -1), transform(puts, p -> p.put),
-            (gap, put) -> array(gap, coalesce(put, '')))), '') AS text""",
-        "filter(transform(puts, p -> p.type), t -> t IS NOT NULL) AS types")
+    put = written_table(spark, put.select("row", "place", "k", "put", "type", "kind", "canonical", "surrogate"), "put")
+    whole = put.groupBy("row", "place").agg(
+        F.array_join(F.expr("transform(sort_array(collect_list(struct(k, put))), p -> p.put)"), "").alias("put"),
+        F.max("type").alias("type"))
+    lists = whole.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "put", "type"))).alias("puts"))
+    # Pieces and tokens take turns. Tokens are entities and, in texts with a name, the words between them.
+    cut = held.join(lists, "row").selectExpr(
+        "row", "doc", "puts", f"split(text, {any_pattern}, -1) AS gaps", "exists(puts, p -> p.type = 'name') AS named")
+    cut = written_table(spark, cut.selectExpr(
+        "row", "doc", "named", f"CASE WHEN named THEN flatten(transform(gaps, g -> split(g, {word}, -1))) ELSE gaps END AS pieces",
+        f"""flatten(zip_with(gaps, puts, (g, p) -> concat(
+            CASE WHEN named THEN transform(regexp_extract_all(g, {word}, 0), w -> struct(w AS put, CAST(NULL AS STRING) AS type, true AS word))
+            ELSE array() END, CASE WHEN p IS NULL THEN array() ELSE array(struct(p.put AS put, p.type AS type, false AS word)) END)))
+            AS tokens"""), "cut")
+    names = put.where("type = 'name'").select("row", "kind", "canonical", "surrogate").distinct().select(
+        "*", F.explode(F.array(*[F.lit(e) for e in ENDINGS])).alias("ending")).groupBy(
+        "row", F.expr("concat(canonical, ending)").alias("key")).agg(
+        F.expr("min(struct(length(ending) AS n, kind, canonical, surrogate, ending))").alias("name"))
+    words = cut.where("named").select("row", F.posexplode("tokens").alias("at", "token")).withColumn(
+        "key", F.expr("CASE WHEN token.word THEN lower(token.put) END"))
+    replaced = words.join(names, ["row", "key"], "left").selectExpr("row", "at", """CASE WHEN name IS NULL THEN token ELSE struct(
+        CASE WHEN upper(token.put) = token.put THEN upper(concat(name.surrogate, name.ending))
+        ELSE concat(name.surrogate, name.ending) END AS put, 'name' AS type, true AS word) END AS token""")
+    replaced = replaced.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("told"))
+    rebuilt = cut.join(replaced, "row", "left").withColumn("tokens", F.expr(
+        "CASE WHEN named THEN transform(told, t -> t.token) ELSE tokens END")).selectExpr(
+        "doc", "array_join(flatten(zip_with(pieces, tokens, (gap, t) -> array(gap, coalesce(t.put, '')))), '') AS text",
+        # a given name and the surname behind it are one mention
+        """transform(filter(tokens, (t, i) -> t.type IS NOT NULL AND NOT (t.word AND get(pieces, i) = ' '
+            AND coalesce(get(tokens, i - 1).word AND get(tokens, i - 1).type IS NOT NULL, false))), t -> t.type) AS types""")
     plain = looked.where("size(matches) = 0").selectExpr("doc", "text", "CAST(array() AS array<string>) AS types")
     return plain.unionByName(rebuilt).selectExpr(
         "doc", "text", "CAST(size(types) AS BIGINT) AS n_entities",
