@@ -5,19 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil.llm import (
     chat,
     decontamination,
+    hard_negatives,
     licenses,
     line_quality,
+    manifest,
     near_duplicates,
     pieces,
     revisits,
     secrets,
     surrogates,
+    token_files,
     url_filter,
 )
+from vigil.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +77,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("row", "grp")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings")).withColumn("label", F.expr(
+        "CASE WHEN vec_id % 7 = 0 THEN CAST((CAST(label AS DECIMAL(20, 0)) + 1) % 10 AS BIGINT) ELSE label END"))
+    return hard_negatives.hard_negatives(rows, "vec_id % 100 = 0")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.digests(token_files.token_files(spark, path))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
@@ -84,4 +105,6 @@ ORACLE_SQL = {
     "op8_revisits": revisits.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
     "op10_near_duplicates": near_duplicates.ORACLE,
+    "op11_manifest": manifest.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
