@@ -25,19 +25,21 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.words import PIECE, row_groups, text_bytes
+from vigil.llm.words import row_groups
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2              # id behind each document
 BLOCK = 256          # ids of a block; a place in it is one byte
 SHARE = 0.9          # of a block's ids fit its width
 SEGMENT = 1 << 18    # ids of a segment, but for whole documents
-KNOWN_WORDS, KNOWN_BYTES = 1 << 19, 1 << 25  # what a task remembers of words at most, between row groups
+GROUP = 12 << 20      # bytes of text that are encoded at once
+KNOWN_WORDS, KNOWN_BYTES = 3 << 18, 1 << 26  # what a task remembers of words at most, between row groups
 
 HEADER = "<4sBBHQ"
 MAGIC, VERSION = b"VTOK", 1
-SPACE = re.compile(rb"[\x09-\x0D\x20]")
-CUT = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,;:!?])")
+_LETTER, _SIGN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF", r"!-&(-/:;=?@\[-`{}~"
+LATIN = f"^[{_LETTER}]+$"
+CUT = re.compile(f"(?<=[{_LETTER}0-9])(?=[{_SIGN}])|(?<=[{_SIGN}])(?=[{_LETTER}0-9])")
 SCHEMA = "part int, segment int, first long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -112,95 +114,105 @@ def unpacked(payload: bytes, first: int = 0, last: int | None = None) -> np.ndar
     return out.reshape(-1)[first - low * block:last - low * block]
 
 
-def _parts(word: bytes) -> list[bytes]:
-    return [word] if b"<|" in word else CUT.split(word.lower())
+def _flat(lists: list[list[int]]):
+    """(values, values by list) of lists of ids."""
+    counts = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(counts.sum())), counts
+
+
+def _plain(array) -> list:
+    """The values of an Arrow array as Python's; much faster than by its scalars."""
+    return array.to_numpy(zero_copy_only=False).tolist()
 
 
 class Encoder:
     """Ids of texts by the tokenizers library, which is asked for each different part of a word once.
 
-    The tokenizer cuts at white space and between letters and signs, takes A-Z for a-z, and composes no character over such a
-    cut. So the ids of a text are those of its runs without ASCII white space, and of these of their parts. What may hold a
-    special token stays whole.
+    The tokenizer cuts at white space and between letters and signs, and composes no character over such a cut. So the ids of
+    a text are those of its runs without ASCII white space, and of these of their parts; what may hold a special token stays
+    whole. A part of Latin letters in lower case is one word to the library's model, without any further preparation.
     """
 
     def __init__(self, vocabulary: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self._forget()
 
     def _forget(self):
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: dict[str, int] = {}
         self.ids, self.cuts, self.bytes = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64), 0
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Makes all words known: from the library by parts, then as a row of their parts."""
-        new = [(w, _parts(w)) for w in set(words).difference(self.numbers)]
-        parts = list({p for _, own in new for p in own}.difference(self.numbers))
-        if parts:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            self._add(parts, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum())), counts)
-        joined = [(w, own) for w, own in new if w not in self.numbers]
-        if joined:
-            ids, counts = self._ids_of([p for _, own in joined for p in own])
-            per_word = np.cumsum([0, *[len(own) for _, own in joined]])
-            self._add([w for w, _ in joined], ids, np.add.reduceat(counts, per_word[:-1]))
-
-    def _add(self, words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _asked(self, parts) -> list[list[int]]:
+        """Ids of an Arrow array of different parts."""
+        import pyarrow.compute as pc
+        tokenize, shown = self.model.tokenize, self.shown
+        plain = _plain(pc.match_substring_regex(parts, LATIN))
+        found: list = [[t.id for t in tokenize(p if p.isascii() else p.translate(shown))] if simple else None
+                       for p, simple in zip(_plain(pc.utf8_lower(parts)), plain, strict=True)]
+        rest = [k for k, simple in enumerate(plain) if not simple]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast(_plain(parts.take(rest)) if rest else [], add_special_tokens=False), strict=True):
+            found[k] = e.ids
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        """Makes words known: from the library by parts, then as a row of their parts."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        new = [w for w in words if w not in self.numbers]
+        special = [w for w in new if "<|" in w]
+        if special:
+            new = [w for w in new if "<|" not in w]
+            self._add(special, *_flat([e.ids for e in self.tokenizer.encode_batch_fast(special, add_special_tokens=False)]))
+        if not new:
+            return
+        lists = pc.split_pattern(pa.array(CUT.sub("\n", " ".join(new)).split(" "), pa.large_string()), "\n")  # no word has white space
+        parts = lists.flatten().dictionary_encode()
+        different = _plain(parts.dictionary)
+        unknown = [k for k, p in enumerate(different) if p not in self.numbers]
+        if unknown:
+            self._add([different[k] for k in unknown], *_flat(self._asked(parts.dictionary.take(unknown))))
+        offsets = lists.offsets.to_numpy()
+        numbers = self._numbers_of(different)[parts.indices.to_numpy()]
+        joined = np.diff(offsets) > 1
+        ids, counts = self._ids_of(numbers[np.repeat(joined, np.diff(offsets))])
+        if joined.any():
+            starts = np.cumsum([0, *np.diff(offsets)[joined]])[:-1]
+            self._add([new[k] for k in np.flatnonzero(joined)], ids, np.add.reduceat(counts, starts))
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words)), strict=True))
         self.ids = np.concatenate([self.ids, ids])
         self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(counts)])
         self.bytes += sum(map(len, words))
 
-    def _ids_of(self, words: list[bytes]):
+    def _numbers_of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _ids_of(self, numbers: np.ndarray):
         """(ids, ids by word) of known words."""
-        n = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-        starts, counts = self.cuts[n], self.cuts[n + 1] - self.cuts[n]
+        starts, counts = self.cuts[numbers], np.diff(self.cuts)[numbers]
         ends = np.cumsum(counts)
         return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)], counts
 
-    def _of_words(self, words: list[bytes]):
-        self._learn(words)
-        found = self._ids_of(words)
-        if len(self.numbers) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
-            self._forget()
-        return found
-
     def encoded(self, texts, end: int):
         """(ids, ids by text) of an Arrow string array, each text with ``end`` behind it; null is empty."""
-        data, cuts = text_bytes(texts)
-        data, parts, lengths = data.tobytes(), [], np.zeros(len(cuts) - 1, dtype=np.int64)
-        many, held = [], 0  # (text, its last piece, words) of pieces of texts, looked up together
-        closing = np.array([end], dtype=np.uint32)
-
-        def flush():
-            ids, counts = self._of_words([w for _, _, words in many for w in words])
-            at = np.concatenate([[0], np.cumsum(counts)])
-            of_text = np.cumsum([0, *[len(words) for _, _, words in many]])
-            for (k, last, _), a, b in zip(many, at[of_text[:-1]], at[of_text[1:]], strict=True):
-                parts.append(ids[a:b])
-                lengths[k] += b - a
-                if last:
-                    parts.append(closing)
-                    lengths[k] += 1
-            many.clear()
-
-        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            while True:
-                stop = b if b - a <= PIECE else (found.start() if (found := SPACE.search(data, a + PIECE, b)) else b)
-                many.append((k, stop == b, data[a:stop].split()))
-                held += stop - a
-                if held > PIECE:
-                    flush()
-                    held = 0
-                a = stop
-                if a == b:
-                    break
-        flush()
-        return np.concatenate([np.zeros(0, dtype=np.uint32), *parts]), lengths
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        words = lists.flatten().dictionary_encode()
+        different = _plain(words.dictionary)
+        if len(self.numbers) + len(different) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
+            self._forget()
+        self._learn(different)
+        ids, counts = self._ids_of(self._numbers_of(different)[words.indices.to_numpy()] if len(words) else np.zeros(0, dtype=np.int64))
+        offsets = lists.offsets.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(counts)])[offsets - offsets[0]]
+        return np.insert(ids, ends[1:], np.uint32(end)), np.diff(ends) + 1
 
 
 def _segments(vocabulary: str, end: int, share: float, size: int):
@@ -210,7 +222,7 @@ def _segments(vocabulary: str, end: int, share: float, size: int):
         part, number, before = TaskContext.get().partitionId(), 0, 0
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for a, b in row_groups(batch.column("text")):
+            for a, b in row_groups(batch.column("text"), GROUP):
                 rows = batch.slice(a, b - a)
                 ids, lengths = encoder.encoded(rows.column("text"), end)
                 ends = np.cumsum(lengths)
