@@ -32,8 +32,8 @@ END = 2              # id behind each document
 BLOCK = 256          # ids of a block; a place in it is one byte
 SHARE = 0.9          # of a block's ids fit its width
 SEGMENT = 1 << 18    # ids of a segment, but for whole documents
-GROUP = 12 << 20      # bytes of text that are encoded at once
-KNOWN_WORDS, KNOWN_BYTES = 3 << 18, 1 << 26  # what a task remembers of words at most, between row groups
+GROUP = 4 << 20       # bytes of text that are encoded at once
+KNOWN_WORDS, KNOWN_BYTES = 1 << 19, 1 << 25  # what a task remembers of words at most, between row groups
 
 HEADER = "<4sBBHQ"
 MAGIC, VERSION = b"VTOK", 1
@@ -206,7 +206,7 @@ class Encoder:
         lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         words = lists.flatten().dictionary_encode()
         different = _plain(words.dictionary)
-        if len(self.numbers) + len(different) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
+        if len(self.numbers) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
             self._forget()
         self._learn(different)
         ids, counts = self._ids_of(self._numbers_of(different)[words.indices.to_numpy()] if len(words) else np.zeros(0, dtype=np.int64))
