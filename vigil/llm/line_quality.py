@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.sql import derive
+from vigil.operators.joins import attach_by_key
 from vigil.session import written_table
 
 LIMIT = 10        # documents of a host that may carry the same line
@@ -63,10 +64,10 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     n_dup_lines, n_repeat_words, base_failed, n_chars and n_removed_chars (characters of normalised
     lines), removed (numbers of the removed lines, from 0; null if none), kept.
 
-    A line that stands in more than ``limit`` documents of a host stays in the
-    first ``limit`` of them only (those without a failed rule first, then by doc_id), so a
-    group of copies never loses its first members. A document with less than
-    ``least_share`` percent of its characters left is rejected.
+    A line that stands in more than ``limit`` documents of a host is removed from all of them. A document with less than
+    ``least_share`` percent of its characters left is depleted and rejected. So that a group of copies does not vanish as a
+    whole, a depleted document is spared, with all its lines, if it is the first depleted one of its host (by doc_id, without a
+    failed rule) to have them, for at least half of the characters it would lose.
 
     Every row is a document, repeated ones too. A null text is empty and fails; a
     null host counts as the empty host; null ids come last. Other columns are not
@@ -78,32 +79,35 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                          F.expr("xxhash64(coalesce(CAST({} AS STRING), ''))".format(f"`{host}`")).alias("host"),
                          F.col(text).cast("string").alias("text"))
     rules = written_table(spark, measured(source).drop("text"), "rules")
-    each = rules.select("row", "host", F.expr(f"named_struct('failed', base_failed, 'id', coalesce(doc_id, {2**63 - 1}), "
-                                              "'row', row)").alias("turn"), "lines")
-    held = each.select("host", "turn", F.explode(F.expr("array_distinct(transform(lines, x -> x.h))")).alias("h")).where(
-        "h IS NOT NULL")
-    common = held.groupBy("host", "h").count().where(f"count > {limit}").select("host", "h")
-    common = written_table(spark, common, "common-lines")
-    placed = held.join(common, ["host", "h"], "left_semi").withColumn(
-        "place", F.expr("row_number() OVER (PARTITION BY host, h ORDER BY turn)")).where(f"place <= {limit}")
-    last = placed.where(f"place = {limit}").selectExpr("host", "h", "turn AS last")
-    last = written_table(spark, last, "last-keepers")
-    lost = each.select("row", "host", "turn", F.posexplode("lines").alias("line", "x")).selectExpr(
-        "row", "host", "turn", "line", "x.h", "x.chars").where("h IS NOT NULL").join(
-        last, ["host", "h"]).where("turn > last").groupBy("row").agg(
-        F.collect_list("line").alias("removed"), F.sum("chars").alias("gone"))
+    held = rules.select("host", F.explode(F.expr("array_distinct(transform(lines, x -> x.h))")).alias("h")).where("h IS NOT NULL")
+    common = held.groupBy("host", "h").agg(F.count("*").alias("holders")).where(f"holders > {limit}")
+    each = rules.select("row", "host", F.posexplode("lines").alias("line", "x")).selectExpr(
+        "row", "host", "line", "x.h AS h", "x.chars AS chars").where("h IS NOT NULL")
+    # A line that very many documents have is no key that one task gets.
+    lost = written_table(spark, attach_by_key(each, common, ["host", "h"], "holders", ["row"], inner=True).drop("holders"), "lost")
+    totals = lost.groupBy("row").agg(F.collect_list("line").alias("removed"), F.sum("chars").alias("gone"))
     judged = rules.selectExpr("*", "aggregate(lines, 0L, (a, x) -> a + coalesce(x.chars, 0)) AS n_chars").drop(
-        "lines", "host").join(lost, "row", "left")
-    return judged.selectExpr(
+        "lines", "host").join(totals, "row", "left").withColumn("depleted", F.expr(
+            f"NOT base_failed AND 100 * (n_chars - coalesce(gone, 0L)) < {least_share} * n_chars"))
+    judged = written_table(spark, judged, "judged")
+    told = lost.join(judged.where("depleted").selectExpr("row", f"coalesce(doc_id, {2**63 - 1}) AS id"), "row")
+    first = told.groupBy("host", "h").agg(F.expr("min(struct(id, row)).row").alias("row"))
+    own = told.join(first, ["host", "h", "row"]).groupBy("row").agg(F.sum("chars").alias("own"))
+    spared = judged.join(own, "row", "left").withColumn("spared", F.expr("depleted AND 2 * coalesce(own, 0L) >= gone"))
+    return spared.selectExpr(
         "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_chars",
-        "coalesce(gone, 0L) AS n_removed_chars", "removed",
-        f"NOT base_failed AND 100 * (n_chars - coalesce(gone, 0L)) >= {least_share} * n_chars AS kept")
+        "CASE WHEN spared THEN 0L ELSE coalesce(gone, 0L) END AS n_removed_chars", "CASE WHEN NOT spared THEN removed END AS removed",
+        "NOT base_failed AND (NOT depleted OR spared) AS kept")
 
 
-def without_lines(text: str, removed: str) -> str:
-    """SQL for a text without the lines of the given numbers."""
-    return (f"CASE WHEN {removed} IS NULL THEN {text} ELSE array_join(transform(array_except("
-            rf"sequence(0, size(split({text}, '\\n')) - 1), {removed}), i -> get(split({text}, '\\n'), i)), '\n') END")
+def without_lines(rows: DataFrame, text: str, removed: str) -> DataFrame:
+    """Adds the column shown: a text without the lines of the given numbers.
+
+    The lines are a column of their own, which the expressions after it name twice: so Spark keeps it, and a text is cut once.
+    """
+    cut = derive(rows, {"_lines": f"CASE WHEN {removed} IS NOT NULL THEN split({text}, '\\\\n') END"})
+    return derive(cut, {"shown": f"CASE WHEN {removed} IS NULL THEN {text} ELSE array_join(transform(array_except("
+                                 f"sequence(0, size(_lines) - 1), {removed}), i -> get(_lines, i)), '\\n') END"}).drop("_lines")
 
 
 # The same result in SQL. Words are split at ASCII white space; ties, hosts and limits as above.
@@ -124,12 +128,17 @@ m AS (SELECT w.row, doc_id, host, len(words)::BIGINT AS n_words, length(array_to
       FROM w LEFT JOIN u USING (row) LEFT JOIN c USING (row)),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM m),
 n AS (SELECT row, lower(trim(regexp_replace(l, '[0-9\x09-\x0D ]+', ' ', 'g'))) AS l FROM e),
-v AS (SELECT row, host, l, count(*) AS k, base_failed, doc_id FROM n JOIN b USING (row) WHERE l <> '' GROUP BY ALL),
-t AS (SELECT *, row_number() OVER (PARTITION BY host, l ORDER BY base_failed, doc_id, row) AS place FROM v),
-x AS (SELECT row, sum(k * length(l))::BIGINT AS n_chars,
-             sum(CASE WHEN place > {LIMIT} THEN k * length(l) ELSE 0 END)::BIGINT AS gone FROM t GROUP BY row)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND 100 * (coalesce(n_chars, 0) - coalesce(gone, 0)) >= {LEAST_SHARE} * coalesce(n_chars, 0) AS kept,
-       coalesce(n_chars, 0)::BIGINT AS n_chars, coalesce(gone, 0)::BIGINT AS n_removed_chars
-FROM b LEFT JOIN x USING (row)
+v AS (SELECT row, host, l, count(*) * length(l) AS chars, base_failed, doc_id FROM n JOIN b USING (row) WHERE l <> ''
+      GROUP BY row, host, l, base_failed, doc_id),
+t AS (SELECT *, count(*) OVER (PARTITION BY host, l) > {LIMIT} AS common FROM v),
+x AS (SELECT row, sum(chars)::BIGINT AS n_chars, coalesce(sum(chars) FILTER (WHERE common), 0)::BIGINT AS gone FROM t GROUP BY row),
+z AS (SELECT row, NOT base_failed AND 100 * (n_chars - gone) < {LEAST_SHARE} * n_chars AS depleted FROM x JOIN b USING (row)),
+f AS (SELECT row, chars, row_number() OVER (PARTITION BY host, l ORDER BY doc_id NULLS LAST, row) AS place
+      FROM t JOIN z USING (row) WHERE common AND depleted),
+o AS (SELECT row, sum(chars) AS own FROM f WHERE place = 1 GROUP BY row),
+j AS (SELECT b.*, coalesce(n_chars, 0)::BIGINT AS n_chars, coalesce(gone, 0)::BIGINT AS gone, coalesce(depleted, false) AS depleted,
+             coalesce(depleted AND 2 * coalesce(own, 0) >= gone, false) AS spared
+      FROM b LEFT JOIN x USING (row) LEFT JOIN z USING (row) LEFT JOIN o USING (row))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND (NOT depleted OR spared) AS kept,
+       n_chars, CASE WHEN spared THEN 0 ELSE gone END AS n_removed_chars FROM j
 """

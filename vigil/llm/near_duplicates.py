@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.components import components
+from vigil.llm.rows import beside, numbered
 from vigil.llm.words import NOT_SPACE, Words, mixed, powers, row_groups, shingles
 from vigil.session import written_table
 
@@ -72,9 +73,8 @@ def _sketched(size: int, tables: int, rows: int):
                     pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
                     pa.array(keys.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), part.column("k1"), part.column("k2"),
-                     pa.array(counts), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), halves],
-                    names=["row", "doc_id", "k1", "k2", "n", "d1", "d2", "halves"])
+                    [part.column("row"), part.column("doc_id"), pa.array(counts), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), halves],
+                    names=["row", "doc_id", "n", "d1", "d2", "halves"])
     return run
 
 
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     One row per input row: row, doc_id, n_shingles, component_id (smallest doc_id
     reachable over links), kept (doc_id = component_id), grp (one value per component).
-    ``row`` names a unique long column; without it rows are numbered here.
+    ``row`` names a unique long column that stays the same when it is computed again; without it rows are numbered here.
 
     A-Z are lower-cased; words are runs without ASCII white space. A text with
     fewer words than a shingle has is one shingle; null, empty and blank texts
@@ -243,21 +243,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     1 - (1 - (1 - s^rows)^tables)^2, that is 2 in 100,000 at 0.8 by default.
     """
     spark = docs.sparkSession
-    number = F.col(row) if row else F.monotonically_increasing_id()
-    numbered = docs.select(number.cast("bigint").alias("row"), F.col(doc_id).cast("bigint").alias("doc_id"),
-                           F.col(text).cast("string").alias("text")).selectExpr(
-        "*", "xxhash64(text) AS k1", "xxhash64(17, text, length(text)) AS k2")
-    sketches = written_table(spark, numbered.mapInArrow(
+    rows_of = docs.selectExpr(f"`{row}` AS row", f"`{doc_id}` AS id", f"`{text}` AS t") if row else numbered(
+        docs.selectExpr(f"`{doc_id}` AS id", f"`{text}` AS t")).selectExpr("row", "doc.id", "doc.t")
+    texts_of = rows_of.selectExpr("CAST(row AS BIGINT) AS row", "CAST(id AS BIGINT) AS doc_id", "CAST(t AS STRING) AS text")
+    sketches = written_table(spark, texts_of.mapInArrow(
         _sketched(size, tables, rows),
-        "row long, doc_id long, k1 long, k2 long, n long, d1 long, d2 long, halves array<long>"), "sketches")
+        "row long, doc_id long, n long, d1 long, d2 long, halves array<long>"), "sketches")
     classes = written_table(spark, sketches.where("n > 0").groupBy("d1", "d2").agg(
         F.min("row").alias("c"), F.min("doc_id").alias("first_id"), F.count("*").alias("members")), "classes")
     reps = sketches.join(classes.select(F.col("c").alias("row")), "row", "left_semi").withColumnRenamed("row", "c")
     buckets = written_table(spark, _buckets(reps), "buckets")
-    wanted = reps.join(buckets.select("c").distinct(), "c", "left_semi").selectExpr(
-        "c", "doc_id AS _id", "k1", "k2")
-    texts = numbered.select("doc_id", "text", "k1", "k2").join(wanted, ["k1", "k2"]).where(
-        "doc_id <=> _id").select("c", "text").dropDuplicates(["c"])
+    # Few texts meet another one: by their stable numbers only these are taken, the others stay where they are.
+    wanted = buckets.selectExpr("c AS row", "true AS wanted").distinct()
+    texts = beside(texts_of, written_table(spark, wanted, "wanted")).where("wanted").selectExpr("row AS c", "text")
     sets = written_table(spark, texts.mapInArrow(_full_sets(size), "c long, n long, shingles array<long>"), "sets")
     links = _links(spark, reps, sets, buckets, percent)
     labelled = classes.join(
