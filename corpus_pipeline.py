@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import decontamination, line_quality, near_duplicates, pieces, surrogates
-from vigil.session import written_table
-
+from vigil.llm.rows import beside, numbered
+from vigil.session import deleted, scratch_path, scratch_run, written_table
 
 SHINGLE = 5  # words in a shingle of the near_dedup stage; four are the contract of op10_near_duplicates alone
 
 
-def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Rows with a number of their own, written once so that the numbers stay."""
-    return written_table(spark, docs.select(F.monotonically_increasing_id().alias("row"),
-                                            F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc")), "numbered")
+def _settled(spark: SparkSession, name: str, make) -> DataFrame:
+    """The rows of ``make()``, written; all tables that it writes on the way are deleted."""
+    path = scratch_path(spark, name)
+    with scratch_run(spark):
+        found = make()
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def _documents(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,44 +26,58 @@ def _documents(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose the lines that too many documents of their host share."""
-    rows = _numbered(spark, docs)
-    found = line_quality.line_quality(rows.select("row", "doc.doc_id", "doc.text", "doc.source"), row="row")
-    found = written_table(spark, found.select("row", "kept", "removed"), "verdicts")
-    kept = rows.join(found.where("NOT kept").select("row"), "row", "left_anti").join(
-        found.where("kept AND removed IS NOT NULL").select("row", "removed"), "row", "left")
-    text = line_quality.without_lines("doc.text", "removed")
-    shown = kept.withColumn("doc", F.expr("doc").withField("text", F.expr(text)).withField("n_chars", F.expr(
-        f"CASE WHEN removed IS NULL THEN doc.n_chars ELSE CAST(length({text}) AS BIGINT) END")))
+    """Rejected documents go; the others lose the lines that too many documents of their host share.
+
+    A null text is empty, and an empty one is rejected; a null source is a host of its own; a null doc_id counts as the last
+    one. A document that loses lines has a new n_chars.
+    """
+    rows = numbered(docs)
+
+    def judged():
+        found = line_quality.line_quality(rows.select("row", "doc.doc_id", "doc.text", "doc.source"), row="row")
+        return found.where("NOT kept OR removed IS NOT NULL").selectExpr("row", "NOT kept AS gone", "CASE WHEN kept THEN removed END AS removed")
+    changes = _settled(spark, "verdicts", judged)
+    kept = beside(rows, changes).where("gone IS NULL OR NOT gone")
+    shown = line_quality.without_lines(kept, "doc.text", "removed").withColumn("doc", F.expr("doc").withField("text", F.col("shown")).withField(
+        "n_chars", F.expr("CASE WHEN removed IS NULL THEN doc.n_chars ELSE CAST(length(shown) AS BIGINT) END")))
     return _documents(shown, docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    rows = _numbered(spark, docs)
-    found = near_duplicates.near_duplicates(rows.select("row", "doc.doc_id", "doc.text"), row="row", size=SHINGLE)
-    stay = written_table(spark, near_duplicates.one_of_each(found), "stay")
-    return _documents(rows.join(stay, "row", "left_semi"), docs.columns)
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Null, empty and blank texts are duplicates of nothing and stay; a null doc_id counts as the largest, and of repeated rows
+    one stays.
+    """
+    rows = numbered(docs)
+
+    def leaving():
+        found = written_table(spark, near_duplicates.near_duplicates(rows.select("row", "doc.doc_id", "doc.text"), row="row", size=SHINGLE),
+                              "found")
+        return found.join(near_duplicates.one_of_each(found), "row", "left_anti").selectExpr("row", "true AS gone")
+    return _documents(beside(rows, _settled(spark, "leaving", leaving)).where("gone IS NULL"), docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go."""
-    rows = _numbered(spark, docs)
+    """Documents with a benchmark passage go; null, empty and blank texts have none, nor have such items any."""
+    rows = numbered(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.contamination(rows.select("row", "doc.doc_id", "doc.text"), items, row="row")
-    hit = written_table(spark, found.where("n_hit > 0").select("row"), "hit")
-    return _documents(rows.join(hit, "row", "left_anti"), docs.columns)
+
+    def hit():
+        found = decontamination.contamination(rows.select("row", "doc.doc_id", "doc.text"), items, row="row")
+        return found.where("n_hit > 0").selectExpr("row", "true AS gone")
+    return _documents(beside(rows, _settled(spark, "hit", hit)).where("gone IS NULL"), docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by surrogates."""
+    """Personal data is replaced by surrogates; null and empty texts stay. A text with an entity has a new n_chars."""
     found = surrogates.pseudonymised(docs).withColumn("doc", F.expr("doc").withField("text", F.col("text")).withField(
         "n_chars", F.expr("CASE WHEN n_entities = 0 THEN doc.n_chars ELSE CAST(length(text) AS BIGINT) END")))
     return _documents(found, docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text as piece ids."""
+    """Every text as piece ids; a null or empty text has none."""
     return pieces.encoded(docs, keep=("doc_id", "lang", "source", "n_chars")).selectExpr(
         "doc_id", "lang", "source", "n_chars", "CAST(size(ids) AS BIGINT) AS n_pieces", "ids")
 
@@ -70,9 +87,17 @@ STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", de
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. A stage's table is deleted once the next one is written; the last one stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written_table(spark, stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_run(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before:
+            deleted(spark, before)
+        before = path
     return docs
 
 

@@ -33,6 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def deleted(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _run_folder: ContextVar[str | None] = ContextVar("run folder", default=None)
 
 
@@ -48,8 +54,7 @@ def scratch_run(spark: SparkSession):
         yield folder
     finally:
         _run_folder.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        deleted(spark, folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
