@@ -103,3 +103,26 @@ def test_signals_and_ranks_do_not_depend_on_partitions(spark):
     seen = [sorted(map(str, top_suspicious_reviews(fraud_signals(scored.repartition(n), queue.repartition(n)), 3).collect()))
             for n in (1, 7, 64)]
     assert seen[0] and seen[0] == seen[1] == seen[2]
+
+
+def test_no_text_is_shuffled_before_the_rank(spark):
+    """What is joined and ranked has keys and numbers; texts come afterwards, for the rows that stay."""
+    from vigil.operators import fraud
+    from vigil.plans.queries import StagedTexts
+    x = StagedTexts(spark, SMALL)
+    plans = []
+
+    def seen(few, reviews):
+        plans.append(few._jdf.queryExecution().optimizedPlan().toString())
+        return with_texts(few, reviews)
+    with_texts, fraud.with_texts = fraud.with_texts, seen
+    try:
+        late = fraud.top_suspicious_reviews(x.signals, 3, texts=x.scored)
+    finally:
+        fraud.with_texts = with_texts
+    above_scan = [line for line in plans[0].splitlines() if "Project" not in line and "Relation" not in line]
+    assert any("Join" in line for line in above_scan) and not any("clean_review_text" in line for line in above_scan)
+    joined = plans[0][:plans[0].rindex("Join")]
+    assert "clean_review_text" not in joined
+    early = fraud.top_suspicious_reviews(x.signals, 3)
+    assert sorted(map(str, late.collect())) == sorted(map(str, early.collect())) and late.count()

@@ -9,7 +9,9 @@ from vigil import fixed_values as fv
 from vigil.functions.sql import capped, clip01, derive, flag, num, weighted_sum
 from vigil.functions.text import comparison_text
 from vigil.operators.joins import attach_by_key
+from vigil.session import written_table
 
+TEXT_KEYS = 1_000_000  # rows whose texts are fetched by a broadcast of their keys
 CASE = ["business_id", "review_month"]
 
 
@@ -19,6 +21,27 @@ def with_copy_key(reviews: DataFrame) -> DataFrame:
         reviews, {"_copy_key": f"md5({comparison_text('text')})"})
 
 
+def with_row_key(reviews: DataFrame) -> DataFrame:
+    """Adds a digest of the review's id and its display text: rows that share it share both."""
+    if "_row" in reviews.columns or "clean_review_text" not in reviews.columns:
+        return reviews
+    return derive(reviews, {"_row": "md5(concat_ws('|', coalesce(CAST(length(review_id) AS STRING), '-'), review_id, "
+                                    "CASE WHEN clean_review_text IS NULL THEN '-' ELSE concat('=', clean_review_text) END))"})
+
+
+def with_texts(few: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Adds clean_review_text to a few rows that carry the key of their row.
+
+    The keys are broadcast up to TEXT_KEYS of them, so texts that nobody asked for stay where they are; more are left to a
+    shuffled join. Copies of a row are combined before the shuffle.
+    """
+    few = written_table(few.sparkSession, few, "few")
+    keys = few.select("_row").distinct()
+    wanted = F.broadcast(keys) if keys.limit(TEXT_KEYS + 1).count() <= TEXT_KEYS else keys
+    texts = with_row_key(reviews).select("_row", "clean_review_text").join(wanted, "_row", "left_semi").distinct()
+    return few.join(texts, "_row", "left").drop("_row")
+
+
 def with_copy_counts(reviews: DataFrame, counted_in: DataFrame | None = None) -> DataFrame:
     """near_duplicate_review_count: reviews of the same product-month with the same folded text.
 
@@ -37,9 +60,10 @@ def with_copy_counts(reviews: DataFrame, counted_in: DataFrame | None = None) ->
 def fraud_signals(scored: DataFrame, queue: DataFrame) -> DataFrame:
     """All signals, discounts and the fraud-like score of every review in a queued product-month.
 
-    Of the raw text only its digest goes through the joins.
+    Of the raw text only its digest goes through the joins. The display text goes along only if what follows asks for it;
+    ``with_texts`` fetches it afterwards by the key of the row.
     """
-    scored = with_copy_key(scored).drop("text")
+    scored = with_row_key(with_copy_key(scored)).drop("text")
     cases = queue.select(*CASE, "review_count", "extreme_rating_share", "suspicious_review_density",
                          "review_volume_change")
     in_cases = attach_by_key(scored, cases, CASE, "review_count",
@@ -77,12 +101,16 @@ def surfaced(signals: DataFrame) -> DataFrame:
                          "AND (stars > 2 OR low_star_manipulation_signal = 1)")
 
 
-def top_suspicious_reviews(signals: DataFrame, per_case: int = fv.TOP_REVIEWS_PER_CASE) -> DataFrame:
-    """The strongest reviews of each case. Spark keeps ``per_case`` rows per case and task before the shuffle."""
+def top_suspicious_reviews(signals: DataFrame, per_case: int = fv.TOP_REVIEWS_PER_CASE, texts: DataFrame | None = None) -> DataFrame:
+    """The strongest reviews of each case. Spark keeps ``per_case`` rows per case and task before the shuffle.
+
+    With ``texts``, the scored reviews, rows are joined and ranked without their texts; these are fetched for the rows that
+    stay. Without it the texts go along.
+    """
     ranking = ("row_number() OVER (PARTITION BY business_id, review_month ORDER BY fraud_like_score DESC, "
                "fraud_signal_count DESC, anomaly_score DESC, review_id, stars, useful, review_title, verified_purchase)")
     shown = {"review_text": "clean_review_text", "review_text_preview": "clean_review_text"}
-    return (
-        derive(surfaced(signals), {"review_rank": ranking}).where(f"review_rank <= {per_case}")
-        .selectExpr(*[f"{shown.get(c, c)} AS {c}" for c in fv.TOP_REVIEW_COLUMNS])
-    )
+    top = derive(surfaced(signals), {"review_rank": ranking}).where(f"review_rank <= {per_case}")
+    if texts is not None:
+        top = with_texts(top.select("_row", *[c for c in fv.TOP_REVIEW_COLUMNS if c not in shown]), texts)
+    return top.selectExpr(*[f"{shown.get(c, c)} AS {c}" for c in fv.TOP_REVIEW_COLUMNS])

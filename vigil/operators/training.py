@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -174,10 +175,18 @@ def mark_suspicious(scored: DataFrame, threshold: float = fv.SUSPICIOUS_SCORE) -
     return derive(scored, {"is_suspicious_review": flag(f"anomaly_score >= {num(threshold)}")})
 
 
-def score_reviews(features: DataFrame, model: Model) -> DataFrame:
-    """Score the reviews from the cutoff on: those the model has not seen."""
+def scorer(model: Model) -> Callable[[DataFrame], DataFrame]:
+    """A function that scores reviews from the cutoff on, those the model has not seen; its tables are read and broadcast once."""
     facts = model.meta.first()
     raw = raw_score(model.nodes, list(fv.MODEL_FEATURES), facts["subsample"])
-    scored = features.where(from_cutoff_on(facts["training_cutoff_date"])).withColumn("anomaly_score", raw)
-    return mark_suspicious(derive(scored, {
-        "anomaly_score": normalise_score("anomaly_score", facts["raw_score_p01"], facts["raw_score_p99"])}))
+    score = normalise_score("anomaly_score", facts["raw_score_p01"], facts["raw_score_p99"])
+
+    def scored(features: DataFrame) -> DataFrame:
+        new = features.where(from_cutoff_on(facts["training_cutoff_date"])).withColumn("anomaly_score", raw)
+        return mark_suspicious(derive(new, {"anomaly_score": score}))
+    return scored
+
+
+def score_reviews(features: DataFrame, model: Model) -> DataFrame:
+    """Score the reviews from the cutoff on: those the model has not seen."""
+    return scorer(model)(features)

@@ -500,6 +500,7 @@ FROM (SELECT *, {', '.join(f"quantile_cont({c}, 0.5) OVER () AS m_{c}" for c in
                              f"'reviews' AS dataset, {shown(fv.MODEL_FEATURES, fv.MODEL_FEATURES)} FROM scored"),
     "business_month": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "replay_month_signals": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
+    "replay_forest_months": select("business_month_f", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "behavioral_drift": select("drift", DRIFT_COLUMNS, (*MONTH_DOUBLES, *SHIFTS), ("review_month",)),
     "replay_behavioral_drift": select("drift", DRIFT_COLUMNS, (*MONTH_DOUBLES, *SHIFTS), ("review_month",)),
     "model_drift": select("model_drift", ("review_month", "scored_review_count", *POPULATION, *DRIFTS, "retraining_alert"),

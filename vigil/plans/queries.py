@@ -38,6 +38,7 @@ from vigil.sources import fixtures as fx
 from vigil.sources.reviews import build_products, with_output_defaults
 from vigil.sources.tables import append_labels, read_labels, read_table, write_table
 from vigil.streaming.replay import replay_business_months
+from vigil.streaming.scored_replay import replay_with_model, stored_months
 
 Query = Callable[["Inputs"], DataFrame]
 DIGITS = 9
@@ -212,7 +213,7 @@ class Staged(Inputs):
 
     @cached_property
     def top(self) -> DataFrame:
-        return top_suspicious_reviews(self.signals)
+        return top_suspicious_reviews(self.signals, texts=self.scored)
 
     @cached_property
     def forest_training(self) -> tuple[DataFrame, int]:
@@ -349,7 +350,7 @@ def forest_cases(x: Inputs):
 def forest_top_reviews(x: Inputs):
     """The strongest reviews of the cases that the real model queues."""
     scores, queue = forest_scored(x)
-    return top_suspicious_reviews(fraud_signals(scores, x.keep(queue, "queue")))
+    return top_suspicious_reviews(fraud_signals(scores, x.keep(queue, "queue")), texts=scores)
 
 
 def replayed(x: Inputs):
@@ -366,6 +367,18 @@ def replayed(x: Inputs):
     return replay_business_months(rows.where(f"review_timestamp >= TIMESTAMP'{x.cutoff[0]} 00:00:00'"), score=stand_in)
 
 
+def replayed_forest(x: Inputs):
+    """Features arrive as a stream in two runs; the second one goes on from the checkpoint with the model of the first."""
+    columns = (*SCORED_COLUMNS, "review_timestamp")
+    stored = x.keep(x.features.select(*columns), "features")
+    model, source, folder = train(stored), scratch_path(x.spark, "arriving"), None
+    for half in (0, 1):
+        stored.where(f"pmod(xxhash64(review_id), 2) = {half}").write.mode("append").parquet(source)
+        arriving = x.spark.readStream.schema(stored.schema).parquet(source)
+        folder = replay_with_model(arriving, folder, None if half else model)
+    return stored_months(x.spark, folder, x.products)
+
+
 # name -> (kind of inputs, query)
 QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "ingest_normalised": (Inputs, lambda x: fx.reviews_from_json(x.spark, x.sf_dir).select(*REVIEW_COLUMNS)),
@@ -422,6 +435,7 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "forest_cases": (Inputs, forest_cases),
     "forest_top_reviews": (Inputs, forest_top_reviews),
     "replay_month_signals": (Inputs, replayed),
+    "replay_forest_months": (Inputs, replayed_forest),
     "replay_behavioral_drift": (Inputs, lambda x: behavioral_drift(replayed(x))),
 }
 
