@@ -5,7 +5,7 @@ import time
 import pytest
 
 import corpus_pipeline
-from vigil.llm import line_quality, surrogates
+from vigil.llm import licenses, line_quality, surrogates
 from vigil.llm.rows import beside, numbered
 
 N = 100_000
@@ -83,3 +83,24 @@ def test_stages_leave_only_their_verdicts(spark, tmp_path):
     before = set(os.listdir(folder))
     assert corpus_pipeline.run(spark, str(tmp_path)).count()
     assert [f for f in set(os.listdir(folder)) - before if not f.startswith("tokens-")] == []
+
+
+def test_many_notice_words(spark):
+    """20,000 notice words in one text are looked at one by one; windows are those of a plain loop."""
+    headers = spark.createDataFrame([("A", "licensed under the apache license version 2 of all rights"), ("B", "permission is granted free of charge")],
+                                    "license string, text string").selectExpr("xxhash64(license) AS passage", "license", f"{licenses.parts('text')} AS parts")
+    rows = [(1, "license of version 2 " * 20_000), (2, "x the apache license version 2 of all rights reserved"), (3, None), (4, "permission is"), (5, "")]
+    scanned = spark.createDataFrame(rows, "row long, text string").selectExpr("row", f"{licenses.parts('text')} AS parts")
+    began = time.time()
+    found = {tuple(r) for r in licenses._windows(scanned, headers).collect()}
+    assert time.time() - began < 60
+    expected = set()
+    for row, parts in scanned.collect():
+        for passage, own in [(h["passage"], h["parts"]) for h in headers.collect()]:
+            for i, word in enumerate(parts or []):
+                for at, term in enumerate(own):
+                    if word == term and any(a in word for a in licenses.ANCHOR.split("|")):
+                        words = parts[max(i - at, 0):i - at + len(own)]
+                        if {t for t in own if any(c.isdigit() for c in t)} <= set(words):
+                            expected.add((row, passage, " ".join(sorted(words))))
+    assert found == expected and len(found) > 3

@@ -142,17 +142,21 @@ def _scores(units: DataFrame, by_term: DataFrame, by_word: DataFrame, least: flo
 
 def _windows(scanned: DataFrame, headers: DataFrame) -> DataFrame:
     """(row, passage, notice): for each notice word of a text and each passage with that word, the terms around it
-    that stand where the passage has its own, sorted. All numbers of the passage are among them."""
-    anchors = headers.select("passage", F.size("parts").alias("n"), F.expr("filter(parts, t -> t RLIKE '[0-9]')").alias("numbers"),
-                             F.posexplode("parts").alias("at", "term")).where(f"term RLIKE '{ANCHOR}'")
-    anchors = anchors.agg(F.collect_list(F.struct("term", "passage", "at", "n", "numbers")).alias("anchors"))
-    found = scanned.where("size(parts) > 0").select("row", "parts").crossJoin(F.broadcast(anchors)).select("row", F.explode(F.expr(
-        f"""array_distinct(flatten(transform(filter(transform(parts, (t, i) -> struct(t, i)), x -> x.t RLIKE '{ANCHOR}'),
-            x -> transform(filter(transform(filter(anchors, a -> a.term = x.t), a -> struct(a.passage AS passage, a.numbers AS numbers,
-                slice(parts, greatest(x.i - a.at, 0) + 1, a.n + least(x.i - a.at, 0)) AS words)),
-                w -> size(array_except(w.numbers, w.words)) = 0),
-                w -> struct(w.passage AS passage, array_join(array_sort(w.words), ' ') AS notice)))))""")).alias("w"))
-    return found.select("row", "w.passage", "w.notice")
+    that stand where the passage has its own, sorted. All numbers of the passage are among them.
+
+    A notice word becomes a row with its neighbourhood, as far as the longest passage reaches, and meets the passages by an
+    equi-join on the word: the work grows with the notice words of a text, not with their square.
+    """
+    anchors = written_table(scanned.sparkSession, headers.select(
+        "passage", F.size("parts").alias("n"), F.expr("filter(parts, t -> t RLIKE '[0-9]')").alias("numbers"),
+        F.posexplode("parts").alias("at", "term")).where(f"term RLIKE '{ANCHOR}'"), "anchors")
+    count, back, ahead = anchors.agg(F.count("*"), F.coalesce(F.max("at"), F.lit(0)), F.coalesce(F.max(F.expr("n - at")), F.lit(1))).first()
+    places = scanned.select("row", "parts", F.posexplode("parts").alias("i", "term")).where(f"term RLIKE '{ANCHOR}'").selectExpr(
+        "row", "term", "i", f"slice(parts, greatest(i - {back}, 0) + 1, least(i, {back}) + {ahead}) AS near")
+    met = places.join(F.broadcast(anchors) if count <= BROADCAST_WEIGHTS else anchors, "term")
+    cut = derive(met, {"words": f"slice(near, greatest(i - at, 0) - greatest(i - {back}, 0) + 1, n + least(i - at, 0))"})
+    return cut.where("size(array_except(numbers, words)) = 0").selectExpr(
+        "row", "passage", "array_join(array_sort(words), ' ') AS notice").distinct()
 
 
 def licensed(files: DataFrame, templates: DataFrame, path: str = "path", text: str = "text",

@@ -9,7 +9,7 @@ from vigil.functions.sql import derive
 from vigil.session import written_table
 
 FILES = 200_000        # files whose numbers are broadcast
-IDS = 1_000_000        # changes that are broadcast
+IDS = 500_000          # changes that are broadcast
 BITS = 28              # with more, a filter of 2^BITS bits is, 32 MB of bitmaps at most
 POSITION = 32_768      # bits of a bitmap, as bitmap_construct_agg makes them
 
@@ -35,11 +35,13 @@ def numbered(docs: DataFrame) -> DataFrame:
 def beside(rows: DataFrame, changes: DataFrame, ids: int = IDS) -> DataFrame:
     """``rows`` with the columns of ``changes`` where their ``row`` is in it (at most once), else null.
 
-    Up to ``ids`` changes are broadcast. More are first turned into a filter of bounded size, which is broadcast; rows that it
+    Up to ``ids`` changes, with up to four times as many values in lists, are broadcast. More are first turned into a filter of bounded size, which is broadcast; rows that it
     lets pass have no change and are not shuffled.
     """
     spark = rows.sparkSession
-    if changes.limit(ids + 1).count() <= ids:
+    lists = [f"size({f.name})" for f in changes.schema if f.dataType.typeName() == "array"]
+    held = changes.agg(F.count("*"), F.expr(f"coalesce(sum({' + '.join(lists) or 0}), 0)")).first()
+    if held[0] <= ids and held[1] <= 4 * ids:
         return rows.join(F.broadcast(changes), "row", "left")
     bit = f"pmod(xxhash64(row), {1 << BITS}L)"
     marks = written_table(spark, changes.selectExpr(f"{bit} AS bit").groupBy(
