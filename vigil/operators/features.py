@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from vigil import fixed_values as fv
 from vigil.functions.sql import derive, flag, zero_if_missing
 from vigil.functions.text import with_text_features
+from vigil.operators.as_of import attach_history
 from vigil.operators.joins import attach_by_key
-from vigil.operators.profiles import business_average, reviewer_profile
+from vigil.operators.profiles import REVIEWER_MEANS, business_average, reviewer_profile
 
 
 def build_review_features(
-    reviews: DataFrame, products: DataFrame | None = None, same_history: bool = False,
+    reviews: DataFrame, products: DataFrame | None = None, same_history: bool = False, as_of: bool = False,
 ) -> DataFrame:
     """All feature columns, one output row per review.
 
@@ -20,8 +21,12 @@ def build_review_features(
     downstream, only numbers go through the two joins. Product description and
     product average share one join. ``same_history`` says that the products were
     built from these very reviews, so their average need not be taken again.
+    With ``as_of`` the averages of products and reviewers are taken over earlier reviews alone, and what the product table
+    says of all history is left out; the first review of a product or reviewer has zeros there.
     """
     description = None if products is None else products.drop("product_id", "category")
+    if as_of:
+        return _finished(_as_of(_own_features(reviews), description))
     if description is not None and same_history:
         per_business = derive(description, {
             "business_average_stars": "listed_business_stars", "business_rows": "listed_review_count"})
@@ -30,17 +35,40 @@ def build_review_features(
         if description is not None:
             per_business = per_business.join(description, "business_id", "left")
 
-    rows = derive(with_text_features(reviews), {
+    rows = attach_by_key(_own_features(reviews), per_business, ["business_id"], "business_rows",
+                         spread_by=["user_id", "review_timestamp", "stars", "review_length"])
+    rows = attach_by_key(rows, reviewer_profile(reviews), ["user_id"], "reviewer_review_count",
+                         spread_by=["business_id", "review_timestamp", "stars", "review_length"])
+    return _finished(rows.drop("business_rows"))
+
+
+def _own_features(reviews: DataFrame) -> DataFrame:
+    """What a review says of itself."""
+    return derive(with_text_features(reviews), {
         "review_date": "to_date(review_timestamp)",
         "review_month": "trunc(review_timestamp, 'month')",
         "is_extreme_rating": flag("stars IN (1.0D, 5.0D)"),
     })
-    rows = attach_by_key(rows, per_business, ["business_id"], "business_rows",
-                         spread_by=["user_id", "review_timestamp", "stars", "review_length"])
-    rows = attach_by_key(rows, reviewer_profile(reviews), ["user_id"], "reviewer_review_count",
-                         spread_by=["business_id", "review_timestamp", "stars", "review_length"])
+
+
+def _as_of(rows: DataFrame, description: DataFrame | None) -> DataFrame:
+    """Averages over earlier reviews; of the product table only what does not sum up its reviews."""
+    rows = attach_history(rows, "business_id", "review_timestamp", {"business_average_stars": "stars"}, "business_rows",
+                          spread_by=["user_id", "stars", "review_length"])
+    rows = attach_history(rows, "user_id", "review_timestamp", REVIEWER_MEANS, "reviewer_review_count",
+                          spread_by=["business_id", "stars", "review_length"])
+    rows = derive(rows.drop("business_rows"), {"reviewer_review_count": "CAST(reviewer_review_count AS DOUBLE)"})
+    if description is None:
+        return rows
+    described = description.drop("listed_business_stars", "average_rating")
+    return attach_by_key(rows, described, ["business_id"], "listed_review_count",
+                         spread_by=["user_id", "review_timestamp", "stars", "review_length"]).drop("listed_review_count")
+
+
+def _finished(rows: DataFrame) -> DataFrame:
+    """Deviations from the product's average, and zeros for what is missing."""
     signed = "CAST(stars - business_average_stars AS DOUBLE)"
-    rows = derive(rows.drop("business_rows"), {
+    rows = derive(rows, {
         "rating_deviation_from_product_average": signed,
         "rating_deviation_from_business_average": f"abs({signed})",
     })

@@ -154,6 +154,18 @@ SELECT t.*, p.product_title, p.business_name, p.city, p.state, {flag('stars IN (
   stars - listed_business_stars AS rating_deviation_from_product_average,
   abs(stars - listed_business_stars) AS rating_deviation_from_business_average
 FROM texts t LEFT JOIN products p ON p.business_id = t.business_id LEFT JOIN reviewers u ON u.user_id = t.user_id""")
+REVIEWER_OF = {"reviewer_average_rating": "avg(stars)", "reviewer_review_count": "count(*)",
+               **{f"reviewer_{name}_share": f"avg({flag(of)})" for name, of in (
+                   ("extreme_rating", "stars IN (1, 5)"), ("five_star", "stars = 5"), ("one_star", "stars = 1"))}}
+CTES["features_as_of"] = (("texts", "products"), f"""
+SELECT *, coalesce(stars - average_before, 0e0) AS rating_deviation_from_product_average,
+  coalesce(abs(stars - average_before), 0e0) AS rating_deviation_from_business_average
+FROM (SELECT t.*, p.product_title, {flag('stars IN (1, 5)')} AS is_extreme_rating,
+  {', '.join(f'CASE WHEN t.user_id IS NULL THEN 0e0 ELSE coalesce(({e} OVER u)::DOUBLE, 0e0) END AS {c}' for c, e in REVIEWER_OF.items())},
+  avg(stars) OVER b AS average_before
+FROM texts t LEFT JOIN products p ON p.business_id = t.business_id
+WINDOW b AS (PARTITION BY t.business_id ORDER BY t.review_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 SECOND PRECEDING),
+  u AS (PARTITION BY t.user_id ORDER BY t.review_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 SECOND PRECEDING))""")
 CTES["months"] = (("reviews",), """
 SELECT review_month, count(*) AS count, row_number() OVER (ORDER BY review_month) AS place,
   (sum(count(*)) OVER (ORDER BY review_month))::BIGINT AS running FROM reviews WHERE review_month IS NOT NULL GROUP BY review_month""")
@@ -486,6 +498,10 @@ ORACLE_SQL: dict[str, str] = {
     "reviewer_profile": select("reviewers", ("user_id", *REVIEWER), REVIEWER),
     "review_features": select("features", ("review_id", "business_id", "user_id", "review_date", "review_month",
                                            "product_title", *FEATURE_DOUBLES), FEATURE_DOUBLES, ("review_date", "review_month")),
+    "review_features_as_of": select(
+        "features_as_of", ("review_id", "business_id", "user_id", "review_date", "review_month", "product_title",
+                           "rating_deviation_from_product_average", *fv.MODEL_FEATURES),
+        ("rating_deviation_from_product_average", *fv.MODEL_FEATURES), ("review_date", "review_month")),
     "monthly_counts": select("months", ("review_month", "count"), (), ("review_month",)),
     "training_cutoff": select("cutoff", ("cutoff_date", "training_rows", "total_rows", "by_months"), (), ("cutoff_date",)),
     "baseline_stats": select("baseline", ("feature", "mean", "std", "p05", "p50", "p95", "p99"),

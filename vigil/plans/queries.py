@@ -399,6 +399,9 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "review_features": (Inputs, lambda x: x.features.select(
         "review_id", "business_id", "user_id", "review_date", "review_month", "product_title",
         "rating_deviation_from_product_average", "synthetic_templated_language_score", *fv.MODEL_FEATURES)),
+    "review_features_as_of": (Inputs, lambda x: build_review_features(x.reviews, x.products, as_of=True).select(
+        "review_id", "business_id", "user_id", "review_date", "review_month", "product_title",
+        "rating_deviation_from_product_average", *fv.MODEL_FEATURES)),
     "monthly_counts": (Inputs, lambda x: monthly_counts(x.months)),
     "training_cutoff": (Inputs, lambda x: training_cutoff(x.months)),
     "hash_sample": (Staged, hash_sampled),
