@@ -1,9 +1,15 @@
+import gzip
 import json
 
 import pytest
 
-from vigil.sources.reviews import build_products, load_metadata, load_reviews, normalise_reviews, parse_metadata
-from vigil.sources.tables import append_labels, counted, export_csv, read_labels, read_table, require_columns, write_table
+from vigil.operators.moderation import latest_labels
+from vigil.sources.reviews import (
+    build_products, ingest, load_categories, load_metadata, load_reviews, normalise_reviews, parse_metadata, read_raw_reviews,
+)
+from vigil.sources.tables import (
+    append_labels, counted, export_csv, read_categories, read_labels, read_table, require_columns, write_categories, write_table,
+)
 
 
 def write_lines(path, records):
@@ -85,3 +91,87 @@ def test_labels_append_and_vocabulary(spark, tmp_path):
     assert read_labels(spark, path).count() == 2
     with pytest.raises(Exception):
         append_labels(one.selectExpr("review_id", "'maybe' AS label", "notes"), path)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folder_with_compressed_files(spark, tmp_path):
+    """Rows of compressed files are dealt out after the scan, those of others stay; every row is read once."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for k in range(3):
+        with gzip.open(folder / f"{k}.jsonl.gz", "wt") as f:
+            f.write("\n".join(json.dumps({**BASE, "user_id": f"z{k}-{i}"}) for i in range(50)))
+    assert "Exchange RoundRobin" in plan(read_raw_reviews(spark, str(folder)))
+    write_lines(folder / "plain.jsonl", [{**BASE, "user_id": f"p{i}"} for i in range(20)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        raw = read_raw_reviews(spark, str(folder), keep_broken=True)
+        users = [r["user_id"] for r in raw.collect()]
+        shown, leaves = plan(raw), raw._jdf.queryExecution().executedPlan().collectLeaves()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(users) == len(set(users)) == 170
+    assert shown.count("Exchange RoundRobin") == 1 and "Union" in shown and shown.count("Scan json") == 2
+    assert sorted(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())) == [1, 3]
+    assert "Exchange" not in plan(read_raw_reviews(spark, str(folder / "plain.jsonl")))
+
+
+def test_rejected_records_are_kept_with_their_reason(spark, tmp_path):
+    cut = json.dumps(BASE)[:-1]
+    lines = [json.dumps(r) for r in (
+        BASE, BASE, {**BASE, "rating": None}, {**BASE, "rating": "bad", "timestamp": None}, {**BASE, "timestamp": "soon"},
+        {**BASE, "asin": None, "parent_asin": None, "rating": None})] + [cut, "no json", "", "5"]
+    (tmp_path / "r.jsonl").write_text("\n".join(lines))
+    taken = ingest(read_raw_reviews(spark, str(tmp_path / "r.jsonl"), keep_broken=True), str(tmp_path / "out"), "beauty")
+    assert taken.counts == {"accepted": 2, "malformed": 3, "no product": 1, "no rating": 2, "no time": 1}
+    assert taken.reviews.columns == load_reviews(spark, str(tmp_path / "r.jsonl"), "beauty").columns
+    assert taken.reviews.exceptAll(load_reviews(spark, str(tmp_path / "r.jsonl"), "beauty")).count() == 0
+    kept = [(r["rejection"], r["record"]) for r in taken.rejected.collect()]
+    assert sorted(r for kind, r in kept if kind == "malformed") == sorted([cut, "no json", "5"])
+    assert [json.loads(r)["timestamp"] for kind, r in kept if kind == "no time"] == ["soon"]
+    assert "PartitionFilters: [isnotnull(rejection" in plan(taken.reviews)
+
+
+def test_nothing_to_ingest(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text("")
+    taken = ingest(read_raw_reviews(spark, str(tmp_path / "r.jsonl"), keep_broken=True), str(tmp_path / "out"), "beauty")
+    assert taken.reviews.count() == taken.rejected.count() == sum(taken.counts.values()) == 0
+
+
+def test_categories_replace_themselves_alone(spark, tmp_path):
+    paths = {name: write_lines(tmp_path / f"{k}.jsonl", [{**BASE, "user_id": f"{name}{i}"} for i in range(3)])
+             for k, name in enumerate(("hair/skin", "007", "7"))}
+    table = str(tmp_path / "table")
+    write_categories(load_categories(spark, paths), table)
+    before = {f for f in read_categories(spark, table).inputFiles()}
+    assert {(r["category"], r["count"]) for r in read_categories(spark, table).groupBy("category").count().collect()} == {
+        ("hair/skin", 3), ("007", 3), ("7", 3)}
+    write_categories(load_categories(spark, {"007": paths["007"]}).limit(1), table)
+    assert {(r["category"], r["count"]) for r in read_categories(spark, table).groupBy("category").count().collect()} == {
+        ("hair/skin", 3), ("007", 1), ("7", 3)}
+    after = {f for f in read_categories(spark, table).inputFiles()}
+    assert len(before & after) == len(before) - 1
+    one = read_categories(spark, table, "007")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(category" in plan(one)
+    with pytest.raises(ValueError):
+        load_categories(spark, {})
+    with pytest.raises(Exception):
+        write_categories(one.selectExpr("review_id", "CAST(NULL AS STRING) AS category"), table)
+
+
+def test_latest_label_is_combined_by_hash(spark):
+    rows = [("a", "unsure", "2024-01-01 00:00:00.000001"), ("a", "suspicious", "2024-01-01 00:00:00"), ("b", "unsure", None),
+            ("b", "suspicious", "1950-01-01 00:00:00"), ("c", "not suspicious", "2024-01-01 00:00:00"),
+            ("c", "unsure", "2024-01-01 00:00:00"), ("d", "suspicious", None), ("e", None, "2024-01-01 00:00:00"), (None, "unsure", None)]
+    log = spark.createDataFrame(rows, "review_id string, label string, saved_at string").selectExpr(
+        "review_id", "label", "CAST(saved_at AS TIMESTAMP) AS saved_at")
+    last = latest_labels(log)
+    assert {r["review_id"]: (r["label"], str(r["saved_at"])) for r in last.collect()} == {
+        "a": ("unsure", "2024-01-01 00:00:00.000001"), "b": ("suspicious", "1950-01-01 00:00:00"),
+        "c": ("unsure", "2024-01-01 00:00:00"), "d": ("suspicious", "None")}
+    assert "HashAggregate" in plan(last) and "SortAggregate" not in plan(last)
+    with pytest.raises(Exception, match="unknown label"):
+        latest_labels(log.selectExpr("review_id", "'maybe' AS label", "saved_at")).collect()

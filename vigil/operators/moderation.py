@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
 from vigil.functions.display import with_case_keys
-from vigil.functions.sql import hash_uniform
+from vigil.functions.sql import derive, hash_uniform, text
 
 CASE_KEYS = ["product_key", "month_key"]
+NO_TIME = -(1 << 60)  # microseconds, before any timestamp; times the number of labels it fits 64 bits
 
 
 def review_backed_cases(queue: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -34,12 +35,21 @@ def most_templated(reviews: DataFrame, limit: int = fv.SYNTHETIC_BROWSE_LIMIT, t
 
 
 def latest_labels(labels: DataFrame) -> DataFrame:
-    """The last label given to each review."""
-    return (
-        labels.where("review_id IS NOT NULL AND label IS NOT NULL")
-        .groupBy("review_id").agg(F.max(F.struct("saved_at", "label")).alias("last"))
-        .select("review_id", "last.label", "last.saved_at")
-    )
+    """The last label given to each review; of labels given at one moment the last by name, and one without a time is the first.
+
+    Moment and label are one number, so the log is combined by hash before the shuffle. A label outside the vocabulary raises.
+    """
+    names = sorted(fv.LABELS)
+    known = ", ".join(text(name) for name in names)
+    place = f"array_position(array({known}), label)"
+    code = f"CASE WHEN {place} > 0 THEN {place} - 1 ELSE CAST(raise_error(concat('unknown label: ', label)) AS BIGINT) END"
+    coded = labels.where("review_id IS NOT NULL AND label IS NOT NULL").selectExpr(
+        "review_id", f"coalesce(unix_micros(saved_at), {NO_TIME}L) * {len(names)} + {code} AS stamp")
+    last = coded.groupBy("review_id").agg(F.max("stamp").alias("stamp"))
+    parted = derive(last, {"_place": f"pmod(stamp, {len(names)}L)"})
+    return derive(parted, {"_moment": f"(stamp - _place) div {len(names)}L"}).selectExpr(
+        "review_id", f"array({known})[CAST(_place AS INT)] AS label",
+        f"CASE WHEN _moment <> {NO_TIME}L THEN timestamp_micros(_moment) END AS saved_at")
 
 
 def with_labels(surfaced: DataFrame, labels: DataFrame) -> DataFrame:

@@ -514,6 +514,13 @@ FROM (SELECT *, {', '.join(f"quantile_cont({c}, 0.5) OVER () AS m_{c}" for c in
   FROM (SELECT d.doc_id, l.quality * 4e0 + 1e0 AS stars, review_length, uppercase_share FROM documents_t d LEFT JOIN labels l ON l.doc_id = d.doc_id))"""),
     "stored_by_month": build("scored", final=f"SELECT review_id, business_id, strftime(review_month, '%Y-%m-%d') AS review_month, "
                              f"'reviews' AS dataset, {shown(fv.MODEL_FEATURES, fv.MODEL_FEATURES)} FROM scored"),
+    "stored_categories": build("reviews", final="""SELECT * FROM (SELECT review_id, business_id, stars, useful,
+  CASE WHEN verified_purchase THEN 'kept' WHEN useful > 0 THEN 'returned' ELSE 'other' END AS category FROM reviews)
+WHERE category = 'kept' OR category = 'returned' AND stars < 5"""),
+    "rejected_records": build("raw", final="""SELECT rejection,
+  CASE WHEN rejection NOT IN ('malformed', 'no product') THEN coalesce(parent_asin, asin) END AS business_id, count(*) AS records
+FROM (SELECT *, CASE review_title WHEN '1-URGENT' THEN 'malformed' WHEN '2-HIGH' THEN 'no rating' WHEN '3-MEDIUM' THEN 'no time'
+  WHEN '4-NOT SPECIFIED' THEN 'no product' ELSE 'accepted' END AS rejection FROM raw) GROUP BY ALL"""),
     "business_month": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "replay_month_signals": select("business_month", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),
     "replay_forest_months": select("business_month_f", MONTH_COLUMNS, MONTH_DOUBLES, ("review_month",)),

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
 from vigil.functions import display
@@ -35,8 +36,8 @@ from vigil.operators.training import (
 )
 from vigil.session import prepare, scratch_path, written_table
 from vigil.sources import fixtures as fx
-from vigil.sources.reviews import build_products, with_output_defaults
-from vigil.sources.tables import append_labels, read_labels, read_table, write_table
+from vigil.sources.reviews import ACCEPTED, build_products, ingest, parse_raw_reviews, with_output_defaults
+from vigil.sources.tables import append_labels, read_categories, read_labels, read_table, write_categories, write_table
 from vigil.streaming.replay import replay_business_months
 from vigil.streaming.scored_replay import replay_with_model, stored_months
 
@@ -326,6 +327,27 @@ def stored_by_month(x: Inputs):
     return read_table(x.spark, path).where(from_cutoff_on(x.cutoff[0])).select(*columns)
 
 
+def stored_categories(x: Inputs):
+    """Three categories in one table; one is written again with fewer reviews and replaces itself alone; two are read."""
+    path = scratch_path(x.spark, "categories")
+    rows = x.reviews.selectExpr(
+        "review_id", "business_id", "stars", "useful",
+        "CASE WHEN verified_purchase THEN 'kept' WHEN useful > 0 THEN 'returned' ELSE 'other' END AS category")
+    write_categories(rows, path)
+    write_categories(rows.where("category = 'returned' AND stars < 5"), path)
+    return read_categories(x.spark, path, "kept", "returned")
+
+
+def rejected_records(x: Inputs):
+    """Records by what became of them and by product, from lines of which some are broken or incomplete."""
+    taken = ingest(parse_raw_reviews(fx.faulty_review_lines(x.spark, x.sf_dir), keep_broken=True),
+                   scratch_path(x.spark, "ingested"), fx.CATEGORY)
+    product = "coalesce(get_json_object(record, '$.parent_asin'), get_json_object(record, '$.asin'))"
+    rejected = taken.rejected.selectExpr("rejection", f"CASE WHEN rejection <> 'malformed' THEN {product} END AS business_id")
+    reviews = taken.reviews.selectExpr(f"'{ACCEPTED}' AS rejection", "business_id")
+    return reviews.unionByName(rejected).groupBy("rejection", "business_id").agg(F.count("*").alias("records"))
+
+
 def forest_scores(x: Staged):
     training, rows = x.forest_training
     nodes = x.keep(x.forest, "nodes")
@@ -409,6 +431,8 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "score_normalise": (Staged, score_normalised),
     "imputed_scaled": (Inputs, imputed_scaled),
     "stored_by_month": (Inputs, stored_by_month),
+    "stored_categories": (Inputs, stored_categories),
+    "rejected_records": (Inputs, rejected_records),
     "business_month": (Inputs, lambda x: x.business_months),
     "behavioral_drift": (Inputs, lambda x: x.drift),
     "model_drift": (Staged, lambda x: x.monthly_drift),

@@ -87,6 +87,17 @@ def raw_review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
 
 
+def faulty_review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON texts with a fault by title: lines cut off, records without a rating, a time or a product."""
+    raw = raw_reviews(spark, sf_dir)
+    faulty = derive(raw, {
+        "rating": "CASE WHEN title <> '2-HIGH' THEN rating END",
+        "timestamp": "CASE WHEN title = '3-MEDIUM' THEN 'soon' ELSE CAST(timestamp AS STRING) END",
+        **{c: f"CASE WHEN title <> '4-NOT SPECIFIED' THEN {c} END" for c in ("parent_asin", "asin")}})
+    lines = faulty.select("title", F.to_json(F.struct(*raw.columns)).alias("line"))
+    return lines.selectExpr("CASE WHEN title = '1-URGENT' THEN left(line, length(line) - 1) ELSE line END AS value")
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_reviews(raw_reviews(spark, sf_dir), CATEGORY)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,7 @@ LOGGER = logging.getLogger(__name__)
 RAW_REVIEW = T.StructType([T.StructField(name, T.StringType()) for name in (
     "parent_asin", "asin", "user_id", "timestamp", "rating", "helpful_vote",
     "title", "text", "verified_purchase")])
+BROKEN = "_corrupt_record"
 METADATA = T.StructType([T.StructField("asin", T.StringType()), T.StructField("product_title", T.StringType())])
 
 
@@ -32,18 +35,32 @@ def check_category(category: str | None) -> str:
 UNSPLITTABLE = (".gz", ".gzip", ".deflate", ".snappy")
 
 
-def read_raw_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """JSON lines. Rows of files that cannot be split, by their name, are dealt to all tasks of a shuffle after
-    the scan, or to ``partitions``; so are those of other files if ``partitions`` is given."""
-    raw = spark.read.schema(RAW_REVIEW).json(path)
-    whole = path.endswith(UNSPLITTABLE)
-    return raw.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))) if partitions or whole else raw
+def read_raw_reviews(spark: SparkSession, path: str, partitions: int | None = None, keep_broken: bool = False) -> DataFrame:
+    """JSON lines of a file or of a folder. Rows of files that cannot be split, by their names, are dealt to all tasks of a
+    shuffle after the scan, or to ``partitions``; rows of other files stay where they are read unless ``partitions`` is given.
 
-
-def parse_raw_reviews(lines: DataFrame, value: str = "value") -> DataFrame:
+    With ``keep_broken`` the text of a line that is no JSON record stands in the column BROKEN, else all its fields are NULL.
+    """
+    schema = T.StructType([*RAW_REVIEW.fields, T.StructField(BROKEN, T.StringType())]) if keep_broken else RAW_REVIEW
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", BROKEN).json(path)
+    if partitions:
+        return raw.repartition(partitions)
+    whole = [name.endswith(UNSPLITTABLE) for name in raw.inputFiles()]
+    if not any(whole):
+        return raw
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if all(whole):
+        return raw.repartition(tasks)
+    # conditions on the file's name choose files before anything is read, so each file is read once
+    ends = " OR ".join(f"endswith(_metadata.file_name, '{end}')" for end in UNSPLITTABLE)
+    return raw.where(ends).repartition(tasks).unionByName(raw.where(f"NOT ({ends})"))
+
+
+def parse_raw_reviews(lines: DataFrame, value: str = "value", keep_broken: bool = False) -> DataFrame:
     """The same records from a table that holds one JSON text per row (extra columns are kept)."""
     others = [c for c in lines.columns if c != value]
-    return lines.withColumn("_raw", F.from_json(value, RAW_REVIEW)).select(*others, "_raw.*")
+    schema = T.StructType([*RAW_REVIEW.fields, T.StructField(BROKEN, T.StringType())]) if keep_broken else RAW_REVIEW
+    return lines.withColumn("_raw", F.from_json(value, schema, {"columnNameOfCorruptRecord": BROKEN})).select(*others, "_raw.*")
 
 
 def epoch_to_timestamp(epoch: str) -> str:
@@ -53,7 +70,54 @@ def epoch_to_timestamp(epoch: str) -> str:
     return f"timestamp_seconds(try_cast({seconds} AS BIGINT))"
 
 
+# Why a record is no review; the first reason that holds counts.
+REASONS = {
+    "malformed": f"{BROKEN} IS NOT NULL",
+    "no product": "business_id IS NULL",
+    "no rating": "stars IS NULL",
+    "no time": "review_timestamp IS NULL",
+}
+ACCEPTED = "accepted"
+
+
 def normalise_reviews(raw: DataFrame, category: str) -> DataFrame:
+    return _with_review_columns(raw, category).where("business_id IS NOT NULL AND stars IS NOT NULL AND review_timestamp IS NOT NULL")
+
+
+def judge_reviews(raw: DataFrame, category: str) -> DataFrame:
+    """Every record with its normalised columns, the reason why it is no review (``accepted`` for reviews), and, of the others,
+    the record: the broken line, or the fields that were read as JSON."""
+    have = [c for c in raw.columns if c != BROKEN]
+    if BROKEN not in raw.columns:
+        raw = raw.withColumn(BROKEN, F.lit(None).cast("string"))
+    whole = derive(raw, {"_record": f"coalesce({BROKEN}, to_json(struct({', '.join(f'`{c}`' for c in have)})))"})
+    judged = derive(_with_review_columns(whole, category, BROKEN, "_record"), {
+        "rejection": "CASE " + " ".join(f"WHEN {holds} THEN '{reason}'" for reason, holds in REASONS.items()) + f" ELSE '{ACCEPTED}' END"})
+    return derive(judged, {"record": f"CASE WHEN rejection <> '{ACCEPTED}' THEN _record END"}).drop(BROKEN, "_record")
+
+
+@dataclass
+class Ingested:
+    """Reviews, the records that are none with their reason, and how many there are of each."""
+
+    reviews: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def ingest(raw: DataFrame, out: str, category: str) -> Ingested:
+    """Judges raw records in one pass and writes them under ``out``, reviews and each kind of rejected records apart."""
+    spark, seen = raw.sparkSession, Observation("ingest")
+    judged = judge_reviews(raw, category)
+    watched = judged.observe(seen, *[
+        F.expr(f"count_if(rejection = '{kind}')").alias(kind) for kind in (ACCEPTED, *REASONS)])
+    watched.write.mode("overwrite").partitionBy("rejection").parquet(out)
+    written = spark.read.schema(judged.schema).parquet(out)
+    return Ingested(written.where(f"rejection = '{ACCEPTED}'").drop("rejection", "record"),
+                    written.where(f"rejection <> '{ACCEPTED}'").select("rejection", "record"), seen.get)
+
+
+def _with_review_columns(raw: DataFrame, category: str, *others: str) -> DataFrame:
     check_category(category)
     have = set(raw.columns)
     field = lambda name: name if name in have else "CAST(NULL AS STRING)"
@@ -79,7 +143,8 @@ def normalise_reviews(raw: DataFrame, category: str) -> DataFrame:
         f"coalesce(try_cast({field('verified_purchase')} AS BOOLEAN), false) AS verified_purchase",
         f"{when} AS review_timestamp",
         f"{when} AS review_datetime",
-    ).where("business_id IS NOT NULL AND stars IS NOT NULL AND review_timestamp IS NOT NULL")
+        *others,
+    )
 
 
 def load_reviews(spark: SparkSession, path: str, category: str, partitions: int | None = None) -> DataFrame:
@@ -87,6 +152,13 @@ def load_reviews(spark: SparkSession, path: str, category: str, partitions: int
     return normalise_reviews(read_raw_reviews(spark, path, partitions), category)
 
 
+def load_categories(spark: SparkSession, paths: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Reviews of several categories (name: path); each row carries the name of its own."""
+    if not paths:
+        raise ValueError("a category is needed")
+    return reduce(DataFrame.unionByName, [load_reviews(spark, path, category, partitions) for category, path in paths.items()])
+
+
 def parse_metadata(lines: DataFrame, value: str = "value") -> DataFrame:
     """One title per product key out of JSON texts.
 
