@@ -86,3 +86,20 @@ def test_features_do_not_see_the_future(spark):
     assert not {"listed_business_stars", "listed_review_count"} & set(got["r0"].asDict())
     cut = build_review_features(df.where("review_timestamp < TIMESTAMP'2020-01-03'"), products, as_of=True).collect()
     assert {r["review_id"]: r for r in cut} == {k: v for k, v in got.items() if k in ("r0", "r1")}
+
+
+def test_full_run_with_faulty_lines_and_earlier_reviews_alone(spark, tmp_path):
+    from vigil.plans.full_run import Options, run
+    from vigil.sources import fixtures as fx
+    small = "/root/testdata/sf0.001"
+    fx.faulty_review_lines(spark, small).write.text(str(tmp_path / "reviews"))
+    fx.metadata_lines(spark, small).write.text(str(tmp_path / "meta"))
+    options = Options("catalogue", trees=5, min_training_rows=200, keep_rejected=True, as_of=True)
+    done = run(spark, str(tmp_path / "reviews"), str(tmp_path / "meta"), str(tmp_path / "out"), options)
+    counts = done.counts["ingested"]
+    assert sum(counts.values()) == 6000 and all(counts.values())
+    assert done.counts["reviews"]["rows"] == counts["accepted"] == done.counts["review_features"]["rows"]
+    assert {r["rejection"]: r["count"] for r in done.tables["rejected_records"].groupBy("rejection").count().collect()} == {
+        kind: n for kind, n in counts.items() if kind != "accepted"}
+    first = done.tables["review_features"].where("user_id IS NULL").selectExpr("max(reviewer_review_count)").first()[0]
+    assert first == 0.0

@@ -35,7 +35,7 @@ def most_templated(reviews: DataFrame, limit: int = fv.SYNTHETIC_BROWSE_LIMIT, t
 
 
 def latest_labels(labels: DataFrame) -> DataFrame:
-    """The last label given to each review; of labels given at one moment the last by name, and one without a time is the first.
+    """The last label given to each review; of labels given at one moment the last by name, and one without a time is the first. Times may be texts.
 
     Moment and label are one number, so the log is combined by hash before the shuffle. A label outside the vocabulary raises.
     """
@@ -44,7 +44,7 @@ def latest_labels(labels: DataFrame) -> DataFrame:
     place = f"array_position(array({known}), label)"
     code = f"CASE WHEN {place} > 0 THEN {place} - 1 ELSE CAST(raise_error(concat('unknown label: ', label)) AS BIGINT) END"
     coded = labels.where("review_id IS NOT NULL AND label IS NOT NULL").selectExpr(
-        "review_id", f"coalesce(unix_micros(saved_at), {NO_TIME}L) * {len(names)} + {code} AS stamp")
+        "review_id", f"coalesce(unix_micros(CAST(saved_at AS TIMESTAMP)), {NO_TIME}L) * {len(names)} + {code} AS stamp")
     last = coded.groupBy("review_id").agg(F.max("stamp").alias("stamp"))
     parted = derive(last, {"_place": f"pmod(stamp, {len(names)}L)"})
     return derive(parted, {"_moment": f"(stamp - _place) div {len(names)}L"}).selectExpr(
