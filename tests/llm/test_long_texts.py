@@ -18,7 +18,7 @@ REPEATED = {
 
 def test_surrogates_in_long_texts(spark):
     df = spark.createDataFrame(list(enumerate(REPEATED.values())), "doc_id long, text string").repartition(8)
-    found = {r["doc"]["doc_id"]: r["text"] for r in surrogates.pseudonymised(df).collect()}
+    found = {r["doc"]["doc_id"]: r["text"] for r in surrogates.pseudonymised(df, "key").collect()}
     new = dict(zip(REPEATED, [found[k] for k in range(len(REPEATED))]))
     assert new["labels"].startswith("mail ") and new["labels"].endswith(".example end") and len(new["labels"]) < 100
     assert new["mailbox"].endswith(".example") and "b@mail.example.com" not in new["mailbox"]

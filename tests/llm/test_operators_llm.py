@@ -246,7 +246,7 @@ def test_event_folding(spark):
 # 7 surrogates
 
 def test_surrogates(spark, docs, none):
-    found = surrogates.pseudonymised(docs).selectExpr("doc.doc_id", "doc.text AS old", "text", "n_entities", "found").collect()
+    found = surrogates.pseudonymised(docs, "key").selectExpr("doc.doc_id", "doc.text AS old", "text", "n_entities", "found").collect()
     assert len(found) == docs.count()
     assert all(r["old"] == r["text"] for r in found if r["n_entities"] == 0)
     mail = next(r for r in found if (r["old"] or "").startswith("Mail bob"))
@@ -262,9 +262,9 @@ def test_surrogates(spark, docs, none):
     digits = [int(c) for c in reversed(card)]
     assert sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
     assert re.search(r"Frau [A-Z][a-z]+na [A-Z][a-z]+, Г-жа [А-Я][а-я]+,", new)
-    assert surrogates.pseudonymised(none).count() == 0
-    assert plain(surrogates.pseudonymised(docs.repartition(7)).selectExpr("doc.doc_id", "text").toPandas()) == plain(
-        surrogates.pseudonymised(docs).selectExpr("doc.doc_id", "text").toPandas())
+    assert surrogates.pseudonymised(none, "key").count() == 0
+    assert plain(surrogates.pseudonymised(docs.repartition(7), "key").selectExpr("doc.doc_id", "text").toPandas()) == plain(
+        surrogates.pseudonymised(docs, "key").selectExpr("doc.doc_id", "text").toPandas())
 
 
 def test_surrogates_stay_distinct(spark):
@@ -272,7 +272,7 @@ def test_surrogates_stay_distinct(spark):
     rows = [("ssn", f"1234567{i:02d}", "", "") for i in range(100)] + [("name", n, "f", "latin") for n in ("anna", "berta")]
     rows += [("ip", f"10.0.{i // 250}.{i % 250}", "", "") for i in range(3000)]
     entities = spark.createDataFrame(rows, "type string, canonical string, gender string, script string")
-    found = surrogates.assigned(entities).collect()
+    found = surrogates.assigned(entities, "key").collect()
     assert len(found) == len(rows) == len({(r["type"], r["surrogate"]) for r in found})
     assert not {(r["type"], r["surrogate"]) for r in found} & {r[:2] for r in rows}
 

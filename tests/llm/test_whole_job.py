@@ -101,7 +101,7 @@ def test_further_mentions_and_forms(spark):
         "From 2001:db8:85a3::8a2e:370:7334 or 2001:0DB8:85A3:0:0:8a2e:370:7334 at 12:30:45, std::abs, a::b.",
     ]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    found = {r["doc_id"]: r for r in surrogates.pseudonymised(docs).selectExpr("doc.doc_id", "text", "found").collect()}
+    found = {r["doc_id"]: r for r in surrogates.pseudonymised(docs, "key").selectExpr("doc.doc_id", "text", "found").collect()}
     new = [found[i]["text"] for i in range(len(texts))]
     m = re.fullmatch(r"Frau (\w+na) (\w+) kam\. (\w+ \w+) sagte, (\w+) sei da; (\w+) Haus, (\w+)'s Hut, Frau (\w+)\. Schmidtchen blieb\.", new[0])
     given, last = m[1], m[2]

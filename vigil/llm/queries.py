@@ -59,7 +59,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = surrogates.pseudonymised(table(spark, sf_dir, "documents"))
+    found = surrogates.pseudonymised(table(spark, sf_dir, "documents"), key="op7")
     return found.selectExpr("doc.doc_id AS doc_id", "text", "n_entities", *[
         f"coalesce(CAST(found['{t}'] AS BIGINT), 0L) AS n_{t}" for t in surrogates.PATTERNS])
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from vigil.functions.sql import derive
 from vigil.session import written_table
 
-KEY = "vigil"
 MAX_ROUNDS = 64
 
 # Titles that announce a person, by gender.
@@ -153,7 +152,7 @@ def _candidates(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     return rows.selectExpr("type", "canonical", "gender", "script", "surrogate", "lower(surrogate) AS taken")
 
 
-def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
+def assigned(entities: DataFrame, key: str) -> DataFrame:
     """A surrogate for each entity (type, canonical, gender, script): distinct ones, none equal to an original.
 
     Rounds: every entity without a surrogate draws one; it is refused if it is an
@@ -193,7 +192,7 @@ def _known(met: DataFrame, key: str) -> DataFrame:
                          ["kind", "canonical", "likely", "script"]).drop("likely")
 
 
-def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Replaces personal data in a text column: doc (all columns as they were), text, n_entities, found.
 
     ``found`` counts entities by type (map, empty if none). One row per input row.
@@ -206,20 +205,22 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFr
     words of a name; addresses move to a reserved domain or network. The same entity gets the
     same surrogate in all documents and spellings, different entities different ones; given names and surnames are
     entities of their own, so names agree in the parts that they share. A given name whose title tells no
-    gender takes the one it has elsewhere.
+    gender takes the one it has elsewhere. Whoever has ``key`` can find out surrogates again, so it has no default.
 
     Null and empty texts stay; repeated rows are treated alike; a table without
     entities, or without rows, passes unchanged; any other columns are carried along.
-    Texts without an entity are not shuffled.
+    Every text is matched once, in the pass that writes rows and matches. Texts without an entity are not shuffled.
     """
+    if not key:
+        raise ValueError("surrogates need a key")
     spark = docs.sparkSession
-    packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc"),
-                         F.col(text).cast("string").alias("text"))
+    packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc"))
+    whole_text = F.col("doc").getField(text).cast("string")
     any_pattern, word = quoted(ANY), quoted(WORD)
-    looked = packed.withColumn("matches", F.expr(
-        f"CASE WHEN text RLIKE {quoted(HINT)} THEN regexp_extract_all(text, {any_pattern}, 0) ELSE array() END"))
-    held = written_table(spark, looked.where("size(matches) > 0").withColumn(
-        "row", F.monotonically_increasing_id()), "held")
+    looked = written_table(spark, packed.withColumn("text", whole_text).selectExpr(
+        "monotonically_increasing_id() AS row", "doc",
+        f"CASE WHEN text RLIKE {quoted(HINT)} THEN regexp_extract_all(text, {any_pattern}, 0) ELSE array() END AS matches"), "looked")
+    held = looked.where("size(matches) > 0").withColumn("text", whole_text)
     met = written_table(spark, classified(held.select("row", F.posexplode("matches").alias("place", "match"))), "met")
     known = _known(met, key)
     same = ["kind", "canonical", "gender", "script"]
@@ -260,7 +261,7 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFr
         # a given name and the surname behind it are one mention
         """transform(filter(tokens, (t, i) -> t.type IS NOT NULL AND NOT (t.word AND get(pieces, i) = ' '
             AND coalesce(get(tokens, i - 1).word AND get(tokens, i - 1).type IS NOT NULL, false))), t -> t.type) AS types""")
-    plain = looked.where("size(matches) = 0").selectExpr("doc", "text", "CAST(array() AS array<string>) AS types")
+    plain = looked.where("size(matches) = 0").select("doc", whole_text.alias("text"), F.expr("CAST(array() AS array<string>) AS types"))
     return plain.unionByName(rebuilt).selectExpr(
         "doc", "text", "CAST(size(types) AS BIGINT) AS n_entities",
         "map_from_arrays(array_sort(array_distinct(types)), transform(array_sort(array_distinct(types)), "
