@@ -9,6 +9,7 @@ from vigil.llm import decontamination, line_quality, near_duplicates, pieces, su
 from vigil.llm.rows import beside, numbered
 from vigil.session import deleted, scratch_path, scratch_run, written_table
 
+KEY = "corpus"  # of the surrogates; a corpus that is given away needs a secret one
 SHINGLE = 5  # words in a shingle of the near_dedup stage; four are the contract of op10_near_duplicates alone
 
 
@@ -71,7 +72,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by surrogates; null and empty texts stay. A text with an entity has a new n_chars."""
-    found = surrogates.pseudonymised(docs).withColumn("doc", F.expr("doc").withField("text", F.col("text")).withField(
+    found = surrogates.pseudonymised(docs, key=KEY).withColumn("doc", F.expr("doc").withField("text", F.col("text")).withField(
         "n_chars", F.expr("CASE WHEN n_entities = 0 THEN doc.n_chars ELSE CAST(length(text) AS BIGINT) END")))
     return _documents(found, docs.columns)
 
