@@ -14,7 +14,6 @@ MIN_TRAINING_MONTHS = 24
 TRAINING_MONTHS = 12
 TOP_REVIEWS_PER_CASE = 10
 SYNTHETIC_BROWSE_LIMIT = 200
-EXPORT_LIMIT = 10_000
 MILLISECOND_EPOCH_ABOVE = 9_999_999_999
 FOREST_TREES = 200
 FOREST_SUBSAMPLE = 256

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fv
@@ -23,9 +23,13 @@ def decide(behavioral: DataFrame, model_drift: DataFrame, threshold: float = fv.
         f"OR (max_anomaly_score >= {num(0.90)} AND behavioral_drift_score >= {num(0.35)})"})
 
 
+def most_urgent() -> list[Column]:
+    """The order of cases. Ties are broken by case, which also keeps equal scores from landing in one range partition."""
+    return [F.desc("decision_score"), F.desc("review_count"), F.asc("business_id"), F.asc("review_month")]
+
+
 def most_urgent_first(cases: DataFrame) -> DataFrame:
-    """Ties are broken by case, which also keeps equal scores from landing in one range partition."""
-    return cases.orderBy(F.desc("decision_score"), F.desc("review_count"), "business_id", "review_month")
+    return cases.orderBy(*most_urgent())
 
 
 def moderation_queue(decisions: DataFrame) -> DataFrame:

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from vigil import fixed_values as fv
 from vigil.functions.sql import at_least_one, at_most_one, capped, derive, weighted_sum
 
-# Equal within a product; grouping by them keeps the aggregation hashed, which a largest text would not be.
+KEY = ("business_id", "review_month")
 DESCRIPTION = ("business_name", "product_title", "city", "state")
-SIGNALS = {
-    "review_count": "count(*)",
-    "avg_rating": "avg(stars)",
-    "extreme_rating_share": "avg(is_extreme_rating)",
-    "avg_review_length": "avg(review_length)",
-    "avg_anomaly_score": "avg(anomaly_score)",
-    "max_anomaly_score": "max(anomaly_score)",
-    "suspicious_review_density": "avg(is_suspicious_review)",
+# signal -> column it is the mean of
+MEANS = {
+    "avg_rating": "stars",
+    "extreme_rating_share": "is_extreme_rating",
+    "avg_review_length": "review_length",
+    "avg_anomaly_score": "anomaly_score",
+    "suspicious_review_density": "is_suspicious_review",
 }
 # drift column -> (signal it follows, whether the change is relative to the previous value)
 FOLLOWED = {
@@ -28,10 +27,27 @@ FOLLOWED = {
 }
 
 
+def partial_sums(scored: DataFrame) -> DataFrame:
+    """What some scored reviews add to each product-month, a row for each description of the product among them.
+
+    Descriptions are group keys here, which keeps the aggregation hashed; largest texts would sort the reviews.
+    """
+    return scored.groupBy(*KEY, *DESCRIPTION).agg(
+        F.count("*").alias("review_count"), F.max("anomaly_score").alias("max_anomaly_score"),
+        *[F.sum(c).alias(f"sum_{c}") for c in MEANS.values()], *[F.count(c).alias(f"count_{c}") for c in MEANS.values()])
+
+
+def merged_months(sums: DataFrame) -> DataFrame:
+    """One row per product and month, however many descriptions the product had; of each column of these the largest is shown."""
+    return sums.groupBy(*KEY).agg(
+        *[F.max(c).alias(c) for c in DESCRIPTION],
+        F.sum("review_count").alias("review_count"), F.max("max_anomaly_score").alias("max_anomaly_score"),
+        *[F.expr(f"sum(sum_{c}) / nullif(sum(count_{c}), 0)").alias(name) for name, c in MEANS.items()])
+
+
 def business_month_signals(scored: DataFrame) -> DataFrame:
-    """One row per product and month. The description columns belong to the product, as the feature stage attaches them."""
-    return scored.groupBy("business_id", "review_month", *DESCRIPTION).agg(*[
-        F.expr(f"{e} AS {name}") for name, e in SIGNALS.items()])
+    """Counts, means and largest score of each product and month."""
+    return merged_months(partial_sums(scored))
 
 
 def change(signal: str, relative: bool) -> str:

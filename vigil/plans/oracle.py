@@ -532,6 +532,10 @@ FROM (SELECT *, CASE review_title WHEN '1-URGENT' THEN 'malformed' WHEN '2-HIGH'
                         DECISION_DOUBLES, ("review_month",)),
     "moderation_queue": select("queue", fv.QUEUE_COLUMNS, DECISION_DOUBLES, ("review_month",),
                                "ORDER BY queue.decision_score DESC, review_count DESC, business_id, queue.review_month"),
+    "queue_places": build("queue", final=f"""SELECT business_id, strftime(review_month, '%Y-%m-%d') AS review_month,
+  round(decision_score, {DIGITS}) + 0e0 AS decision_score, review_count,
+  row_number() OVER (ORDER BY round(decision_score, {DIGITS}) DESC, review_count DESC, business_id, queue.review_month) AS place
+FROM queue"""),
     "queue_explained": build("queue", final=explained_case()),
     "duplicate_reviews": build("copies", final="SELECT review_id, near_duplicate_review_count FROM copies"),
     "fraud_signals": select("signals", ("review_id", "business_id", "review_month", "near_duplicate_review_count",
@@ -564,7 +568,7 @@ FROM (SELECT synthetic_templated_language_score AS s, label = 'suspicious' AS hi
   (VALUES (0.05e0), (0.1e0), (0.15e0), (0.2e0)) t(threshold) GROUP BY threshold"""),
     "arm_stats": build("arms", final=f"SELECT arm, threshold, trials, reward, round(mean_reward, {DIGITS}) + 0e0 AS mean_reward FROM arms"),
     "hash_sample": build("sampled", final=f"SELECT review_id, {shown(('stars', 'word_count'), ('stars', 'word_count'))} FROM sampled"),
-    "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, round(threshold, 6) + 0e0 AS threshold, {shown(('path_length',), ('path_length',))} FROM nodes"),
+    "forest_nodes": build("nodes", final=f"SELECT tree, node, depth, size, feature, {shown(('threshold', 'path_length'), ('threshold', 'path_length'))} FROM nodes"),
     "forest_scores": build("training_raw", final=f"SELECT review_id, round(raw, {DIGITS}) + 0e0 AS raw_score FROM training_raw"),
     "forest_top_reviews": select("top_f", fv.TOP_REVIEW_COLUMNS, set(fv.TOP_REVIEW_COLUMNS) - NOT_DOUBLE_TOP,
                                  ("review_month", "review_date")),

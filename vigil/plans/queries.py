@@ -17,7 +17,8 @@ from vigil.functions import display
 from vigil.functions.sql import derive, flag, num
 from vigil.functions.text import with_text_features
 from vigil.operators.joins import attach_by_key
-from vigil.operators.decisions import decide, moderation_queue, most_urgent_first
+from vigil.operators.places import with_places
+from vigil.operators.decisions import decide, moderation_queue, most_urgent, most_urgent_first
 from vigil.operators.features import build_review_features, model_vector
 from vigil.operators.forest import fit_forest, normalise_score, raw_score
 from vigil.operators.fraud import fraud_signals, surfaced, top_suspicious_reviews, with_copy_counts
@@ -293,6 +294,12 @@ def display_names(x: Staged):
         f"{display.anomaly_band('max_anomaly_score')} AS anomaly_band")
 
 
+def queue_places(x: Staged):
+    """The place of each case in the moderators' order, by scores as they are published."""
+    shown = derive(x.queue, {"decision_score": f"round(decision_score, {DIGITS})"})
+    return with_places(shown, most_urgent()).select("business_id", "review_month", "decision_score", "review_count", "place")
+
+
 def queue_explained(x: Staged):
     return derive(x.queue, {"explanation": display.case_explanation(x.queue)}).select(
         "business_id", "review_month", "explanation")
@@ -438,6 +445,7 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "model_drift": (Staged, lambda x: x.monthly_drift),
     "decisions": (Staged, lambda x: x.decisions),
     "moderation_queue": (Staged, lambda x: most_urgent_first(x.queue)),
+    "queue_places": (Staged, queue_places),
     "queue_explained": (Staged, queue_explained),
     "duplicate_reviews": (StagedTexts, lambda x: with_copy_counts(x.scored).select("review_id", "near_duplicate_review_count")),
     "fraud_signals": (StagedTexts, lambda x: x.signals.select("review_id", "business_id", "review_month", *SIGNALS)),
@@ -457,7 +465,7 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "precision_by_threshold": (Inputs, precision),
     "arm_stats": (Inputs, lambda x: arm_stats(x.spark, x.outcomes)),
     "threshold_choice": (Inputs, lambda x: choose_threshold(arm_stats(x.spark, x.outcomes), explore=0.0)),
-    "forest_nodes": (Staged, lambda x: derive(x.forest, {"threshold": "round(threshold, 6)"})),
+    "forest_nodes": (Staged, lambda x: x.forest),
     "forest_scores": (Staged, forest_scores),
     "forest_cases": (Inputs, forest_cases),
     "forest_top_reviews": (Inputs, forest_top_reviews),

@@ -7,26 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.rollup import DESCRIPTION, behavioral_drift
+from vigil.operators.rollup import DESCRIPTION, KEY, MEANS, behavioral_drift, merged_months, partial_sums
 from vigil.session import scratch_path
 
-MONTH = ("business_id", "review_month", *DESCRIPTION)
-# signal -> column it is the mean of
-MEANS = {
-    "avg_rating": "stars",
-    "extreme_rating_share": "is_extreme_rating",
-    "avg_review_length": "review_length",
-    "avg_anomaly_score": "anomaly_score",
-    "suspicious_review_density": "is_suspicious_review",
-}
-
-
-def partial_sums(scored: DataFrame) -> DataFrame:
-    """What one micro-batch adds to each product-month."""
-    return scored.groupBy(*MONTH).agg(
-        F.count("*").alias("review_count"), F.max("anomaly_score").alias("max_anomaly_score"),
-        *[F.sum(c).alias(f"sum_{c}") for c in MEANS.values()], *[F.count(c).alias(f"count_{c}") for c in MEANS.values()])
-
 
 def replay_business_months(
     scored: DataFrame, folder: str | None = None, score: Callable[[DataFrame], DataFrame] | None = None, **trigger,
@@ -58,10 +41,7 @@ def replay_business_months(
 
 def current_months(spark: SparkSession, folder: str) -> DataFrame:
     """Every product-month the stream has seen so far, from the sums of all batches."""
-    sums = spark.read.parquet(f"{folder}/months")
-    return sums.groupBy(*MONTH).agg(
-        F.sum("review_count").alias("review_count"), F.max("max_anomaly_score").alias("max_anomaly_score"),
-        *[F.expr(f"sum(sum_{c}) / nullif(sum(count_{c}), 0)").alias(name) for name, c in MEANS.items()])
+    return merged_months(spark.read.parquet(f"{folder}/months"))
 
 
 def current_drift(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +55,7 @@ def compact(spark: SparkSession, folder: str, to: str) -> None:
     For a stream that is stopped meanwhile; it goes on in ``to`` with its checkpoint copied there.
     """
     sums = spark.read.parquet(f"{folder}/months")
-    merged = sums.groupBy(*MONTH).agg(
+    merged = sums.groupBy(*KEY, *DESCRIPTION).agg(
         F.max("max_anomaly_score").alias("max_anomaly_score"),
         *[F.sum(c).alias(c) for c in ("review_count", *[f"{k}_{c}" for c in MEANS.values() for k in ("sum", "count")])])
     merged.write.parquet(f"{to}/months/batch=-1")

@@ -20,12 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.sql import derive
-from vigil.operators.rollup import DESCRIPTION
+from vigil.operators.rollup import DESCRIPTION, KEY, MEANS
 from vigil.operators.training import Model, scorer
 from vigil.session import deleted, scratch_path
-from vigil.streaming.replay import MEANS
 
-KEYS = ("business_id", "review_month")
 SUMS = ("review_count", *[f"{k}_{c}" for c in MEANS.values() for k in ("sum", "count")])
 SCHEMA = ("business_id string, review_month date, review_count long, max_anomaly_score double, "
           + ", ".join(f"sum_{c} double, count_{c} long" for c in MEANS.values()) + ", batch long, month string")
@@ -74,7 +72,7 @@ def pinned(spark: SparkSession, folder: str, model: Model | None = None, renew:
 
 def _sums(scored: DataFrame) -> DataFrame:
     """What some scored reviews add to each product-month. The key alone counts; what a product is called is its table's matter."""
-    return scored.groupBy(*KEYS).agg(
+    return scored.groupBy(*KEY).agg(
         F.count("*").alias("review_count"), F.max("anomaly_score").alias("max_anomaly_score"),
         *[F.expr(e) for c in MEANS.values() for e in (f"sum(CAST({c} AS DOUBLE)) AS sum_{c}", f"count({c}) AS count_{c}")])
 
@@ -98,7 +96,7 @@ def _stored(spark: SparkSession, folder: str, live: dict[str, int]) -> DataFrame
 
 
 def _merged(sums: DataFrame) -> DataFrame:
-    return sums.groupBy(*KEYS).agg(F.max("max_anomaly_score").alias("max_anomaly_score"), *[F.sum(c).alias(c) for c in SUMS])
+    return sums.groupBy(*KEY).agg(F.max("max_anomaly_score").alias("max_anomaly_score"), *[F.sum(c).alias(c) for c in SUMS])
 
 
 def merge(spark: SparkSession, folder: str, scored: DataFrame, batch: int, open_months: int | None = None) -> None:
@@ -119,7 +117,7 @@ def merge(spark: SparkSession, folder: str, scored: DataFrame, batch: int, open_
         sums = _sums(rows)
         touched = {r["month"] for r in rows.select(F.expr(MONTH).alias("month")).distinct().collect()}  # a row per month
         old = _stored(spark, folder, {m: b for m, b in before.items() if m in touched})
-        merged = _merged(old.select(*KEYS, "max_anomaly_score", *SUMS).unionByName(sums))
+        merged = _merged(old.select(*KEY, "max_anomaly_score", *SUMS).unionByName(sums))
         merged.withColumn("month", F.expr(MONTH)).repartition("month", F.expr("pmod(xxhash64(business_id), 8)")).write.mode(
             "overwrite").partitionBy("month").parquet(target)
     _clean(spark, folder, batch)
@@ -141,7 +139,7 @@ def _clean(spark: SparkSession, folder: str, batch: int) -> None:
 def stored_months(spark: SparkSession, folder: str, products: DataFrame | None = None) -> DataFrame:
     """Every product-month so far, with the description columns of ``products`` (one row per business_id) if it is given."""
     months = _stored(spark, folder, _live(spark, folder)).select(
-        *KEYS, "review_count", "max_anomaly_score", *[F.expr(f"sum_{c} / nullif(count_{c}, 0)").alias(name) for name, c in MEANS.items()])
+        *KEY, "review_count", "max_anomaly_score", *[F.expr(f"sum_{c} / nullif(count_{c}, 0)").alias(name) for name, c in MEANS.items()])
     if products is None:
         return months
     return months.join(products.select("business_id", *DESCRIPTION), "business_id", "left")
