@@ -465,7 +465,8 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "precision_by_threshold": (Inputs, precision),
     "arm_stats": (Inputs, lambda x: arm_stats(x.spark, x.outcomes)),
     "threshold_choice": (Inputs, lambda x: choose_threshold(arm_stats(x.spark, x.outcomes), explore=0.0)),
-    "forest_nodes": (Staged, lambda x: x.forest),
+    # thresholds of some thousands: nine digits behind the point would leave the last bits of a double to decide
+    "forest_nodes": (Staged, lambda x: derive(x.forest, {"threshold": "round(threshold, 6)"})),
     "forest_scores": (Staged, forest_scores),
     "forest_cases": (Inputs, forest_cases),
     "forest_top_reviews": (Inputs, forest_top_reviews),
