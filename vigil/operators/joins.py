@@ -9,6 +9,7 @@ from vigil.functions.sql import derive
 from vigil.session import written_table
 
 ROWS_PER_TASK = 2_000_000   # a key with as many rows is not left to one task of the shuffle
+BROADCAST_TABLE = 500_000    # keys up to which the whole table of statistics is broadcast and no row moves
 BROADCAST_KEYS = 200_000     # heavy keys that are matched by a broadcast; with more, they are salted
 SPREAD = 1 << 20
 SHARES = 64                  # shares a heavy key is dealt into when salted
@@ -23,10 +24,12 @@ def attach_by_key(
     inner: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_keys: int = BROADCAST_KEYS,
+    broadcast_table: int = BROADCAST_TABLE,
 ) -> DataFrame:
     """Join ``rows`` with ``per_key``, which has one row per key and its row count in ``weight``.
 
-    Keys with ``rows_per_task`` rows or more are heavy; by their weight there are
+    Counted to be at most ``broadcast_table`` keys, they are all broadcast and ``rows`` stay where they are. Of more,
+    keys with ``rows_per_task`` rows or more are heavy; by their weight there are
     at most total / rows_per_task of them, found by a filter. Counted to be at most
     ``broadcast_keys``, they are matched by a broadcast; their rows, and rows with a
     NULL key, then pass the shuffled join under a NULL key and are dealt over all
@@ -39,6 +42,9 @@ def attach_by_key(
     known = per_key.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).selectExpr(
         *keys, f"struct({', '.join(payload)}) AS _cold")
     known = written_table(rows.sparkSession, known, "per-key")  # read twice, and counted
+    if known.limit(broadcast_table + 1).count() <= broadcast_table:
+        joined = rows.join(F.broadcast(known), keys, "inner" if inner else "left")
+        return joined.selectExpr(*rows.columns, *[f"_cold.{c} AS {c}" for c in payload])
     heaviest = known.where(f"_cold.{weight} >= {rows_per_task}").withColumnRenamed("_cold", "_hot")
     heavy = heaviest.limit(broadcast_keys + 1).count()
     if heavy > broadcast_keys:

@@ -151,14 +151,14 @@ def train(
     spark = features.sparkSession
     cutoff, rows = find_cutoff(features, training_months, min_rows)
     frame = written_table(
-        spark, training_frame(features, key, cutoff, rows, max_train_rows, seed), "training")
+        spark, training_frame(features, key, cutoff, rows, max_train_rows, seed), "training", compression="zstd")
     used = frame.count()
     if used < min_rows:
         raise ValueError(f"{used} training reviews are left after sampling, at least {min_rows} are needed")
     columns = list(fv.MODEL_FEATURES)
     nodes = written_table(spark, fit_forest(frame, key, used, trees, subsample, seed), "nodes")
     scored = written_table(
-        spark, frame.select(*columns, raw_score(nodes, columns, min(subsample, used)).alias("raw")), "training-scores")
+        spark, frame.select(*columns, raw_score(nodes, columns, min(subsample, used)).alias("raw")), "training-scores", compression="zstd")
     low, high = [r["value"] for r in exact_quantiles(scored, ["raw"], [0.01, 0.99]).orderBy("probability").collect()]
     scored = derive(scored, {"anomaly_score": normalise_score("raw", low, high)})
     meta = spark.createDataFrame(
