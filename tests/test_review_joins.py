@@ -1,9 +1,9 @@
 from pyspark.sql import functions as F
 
 from vigil.operators.features import build_review_features
-from vigil.operators.fraud import fraud_signals, top_suspicious_reviews
+from vigil.operators.fraud import fraud_signals, top_suspicious_reviews, with_copy_counts
 from vigil.operators.joins import attach_by_key
-from vigil.plans.queries import Staged, StagedKeys, StagedTexts
+from vigil.plans.queries import QUERIES, COPY_COLUMNS, Staged, StagedCopies, StagedKeys, StagedRanks, StagedSignals, StagedTexts
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = ("review_id string, user_id string, business_id string, stars double, useful double, funny double, cool double, "
@@ -53,3 +53,27 @@ def test_texts_are_neither_joined_nor_stored(spark):
 def test_stages_are_written_with_zstd(spark):
     files = Staged(spark, SMALL).with_score.inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_stages_hold_what_their_query_asks_for(spark):
+    """All columns of a review were stored for each of these queries, and texts fetched for those that show none."""
+    keys, ranks = StagedKeys(spark, SMALL), StagedRanks(spark, SMALL)
+    assert QUERIES["duplicate_reviews"][0] is StagedCopies and QUERIES["fraud_signals"][0] is StagedSignals
+    copies = StagedCopies(spark, SMALL).with_score
+    assert set(copies.columns) == set(COPY_COLUMNS)
+    held = set(keys.with_score.columns)
+    assert set(ranks.with_score.columns) < held and not {"asin", "parent_asin", "review_datetime", "categories"} & held
+    shown = [c for c in ranks.top.columns if c in keys.top.columns]
+    assert not {"review_text", "review_text_preview"} & set(shown) and {"review_id", "fraud_like_score", "near_duplicate_review_count"} < set(shown)
+    assert sorted(map(str, ranks.top.select(shown).collect())) == sorted(map(str, keys.top.select(shown).collect())) != []
+    assert "/few-" not in str(ranks.top.inputFiles()) and "/few-" in str(keys.top.inputFiles())
+
+
+def test_copies_are_counted_over_packed_ids(spark, monkeypatch):
+    ids = ["ab" * 32, "AB" * 32, "abc", None, "0f", "ab" * 32]
+    df = rows(spark, ids).withColumn("review_month", F.expr("DATE'2020-01-01'"))
+    for limit in (500_000, 0):
+        monkeypatch.setattr(attach_by_key, "__defaults__", (*attach_by_key.__defaults__[:-1], limit))
+        got = with_copy_counts(df)
+        assert sorted(map(str, [r["review_id"] for r in got.collect()])) == sorted(map(str, ids)) and "_id" not in got.columns
+        assert {r["near_duplicate_review_count"] for r in got.collect()} == {3}
