@@ -214,3 +214,17 @@ def test_one_id_in_a_third_of_the_rows(spark, tmp_path):
     found = token_files.digests(token_files.token_files(spark, str(tmp_path / "ids"))).collect()
     assert sorted(map(tuple, found), key=lambda r: r[1]) == brute_tokens(rows)
     assert files.where("doc_ids[0] IS NULL").select("part").distinct().count() > 1
+
+
+def test_encoders_are_handed_on_whole():
+    """Every task read the vocabulary and asked the library for all its words again."""
+    vocabulary = token_files.vocabulary_text()
+    token_files._handed_on(b"another vocabulary", None)
+    key, encoder = token_files._taken(vocabulary)
+    assert isinstance(encoder, token_files.Encoder)
+    texts = pa.array(["some words, some <|endoftext|> signs", None, "more words"])
+    first = [a.tolist() for a in encoder.encoded(texts, 2)]
+    token_files._handed_on(key, encoder)
+    _, again = token_files._taken(vocabulary)
+    assert again is encoder and "words" in again.numbers and [a.tolist() for a in again.encoded(texts, 2)] == first
+    assert token_files._taken(vocabulary)[1] is not encoder  # taken and not handed back, as by a task that breaks off

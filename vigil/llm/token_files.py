@@ -15,6 +15,7 @@ The width of a block is what ``share`` of its ids need; the others are its excep
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 import zlib
@@ -33,7 +34,8 @@ BLOCK = 256          # ids of a block; a place in it is one byte
 SHARE = 0.9          # of a block's ids fit its width
 SEGMENT = 1 << 18    # ids of a segment, but for whole documents
 GROUP = 4 << 20       # bytes of text that are encoded at once
-KNOWN_WORDS, KNOWN_BYTES = 1 << 19, 1 << 25  # what a task remembers of words at most, between row groups
+KNOWN_WORDS, KNOWN_BYTES = 1 << 19, 1 << 25  # what a worker remembers of words at most, between row groups
+HELD = "_vigil_encoder"
 
 HEADER = "<4sBBHQ"
 MAGIC, VERSION = b"VTOK", 1
@@ -215,12 +217,26 @@ class Encoder:
         return np.insert(ids, ends[1:], np.uint32(end)), np.diff(ends) + 1
 
 
+def _taken(vocabulary: str) -> tuple[bytes, Encoder]:
+    """The encoder that an earlier task of this worker process handed on, with the words it knows, or a new one."""
+    import tokenizers  # a module of the worker itself: this one travels with each task anew
+    key = hashlib.sha256(vocabulary.encode()).digest()
+    held = tokenizers.__dict__.pop(HELD, None)
+    return key, held[1] if held and held[0] == key else Encoder(vocabulary)
+
+
+def _handed_on(key: bytes, encoder: Encoder) -> None:
+    """For tasks that came to their end: one that broke off may have left its encoder half changed."""
+    import tokenizers
+    setattr(tokenizers, HELD, (key, encoder))
+
+
 def _segments(vocabulary: str, end: int, share: float, size: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
         part, number, before = TaskContext.get().partitionId(), 0, 0
-        encoder = Encoder(vocabulary)
+        key, encoder = _taken(vocabulary)
         for batch in batches:
             for a, b in row_groups(batch.column("text"), GROUP):
                 rows = batch.slice(a, b - a)
@@ -238,6 +254,7 @@ def _segments(vocabulary: str, end: int, share: float, size: int):
                         "lengths": pa.array([lengths[first:last]], pa.list_(pa.int64())),
                         "payload": pa.array([packed(mine, share)], pa.binary())})
                     before, number, first = before + len(mine), number + 1, last
+        _handed_on(key, encoder)
     return run
 
 
