@@ -36,7 +36,7 @@ def exact_quantiles(
     whose cumulative share reaches p. First a histogram with combinable counts
     finds the bucket of each wanted rank. While a wanted one holds more than
     ``max_cell`` rows of different values, it is cut into equal parts and counted
-    again, so the last window, over the distinct values of one cell, is bounded
+    again (one that holds a single value has its answer), so the last window, over the distinct values of one cell, is bounded
     however many rows there are. ``by`` must be few groups (months): the broadcast
     holds at most groups x columns x 2 * probabilities rows.
     """
@@ -78,7 +78,10 @@ def exact_quantiles(
             break
         long, wanted = _cut(long, wanted, group, cells)
         cells = [*cells, f"part{len(cells)}"]
-    wanted = wanted.drop("count", "lo", "hi")
+    # a cell of one value has its answer; its rows, often most of a column, are not looked at again
+    settled = wanted.where(" AND ".join(["NOT lo < hi", *[f"{c} IS NOT NULL" for c in by]])).select(*group, "probability", "share", "end", F.expr(
+        "CASE WHEN lo = 0 THEN abs(lo) ELSE lo END").alias("value"))
+    wanted = wanted.where("lo < hi").drop("count", "lo", "hi")
     targets = wanted.select(*group, *cells, "before").distinct()
     per_value = W.partitionBy(*group, *cells).orderBy("value")
     values = (
@@ -91,7 +94,7 @@ def exact_quantiles(
     )
     found = (
         values.join(F.broadcast(wanted.drop("before")), [*group, *cells])
-        .where("rank >= first AND rank < upto")
+        .where("rank >= first AND rank < upto").select(*settled.columns).unionByName(settled)
         .groupBy(*group, "probability", "share")
         .agg(F.max(F.when(F.col("end") == "low", F.col("value"))).alias("low"),
              F.max(F.when(F.col("end") == "high", F.col("value"))).alias("high"))

@@ -76,6 +76,8 @@ ROW_COLUMNS = tuple(dict.fromkeys((
     *RANK_COLUMNS, "_row", *[c for c in fv.TOP_REVIEW_COLUMNS if c not in (
         *SIGNALS, "anomaly_score", "review_text", "review_text_preview")])))
 SCORES = ("anomaly_score", "is_suspicious_review")
+CASE_COLUMNS = tuple(c for c in SCORED_COLUMNS if c != "review_id")  # for sums over reviews, which name none of them
+REPLAY_COLUMNS = ("business_id", "review_month", "review_timestamp", *fv.MODEL_FEATURES)
 
 
 def published(df: DataFrame) -> DataFrame:
@@ -239,6 +241,12 @@ class Staged(Inputs):
         return fit_forest(training, "review_id", rows)
 
 
+class StagedCases(Staged):
+    """For queries about product-months, months or features; no single review is named."""
+
+    kept_columns = (*CASE_COLUMNS, *SCORES)
+
+
 class StagedTexts(Staged):
     """For queries about single reviews, which show and compare their texts."""
 
@@ -413,18 +421,19 @@ def forest_scores(x: Staged):
         nodes, list(fv.MODEL_FEATURES), min(fv.FOREST_SUBSAMPLE, rows)).alias("raw_score"))
 
 
-def forest_scored(x: Inputs, columns=None) -> tuple[DataFrame, DataFrame]:
-    """Reviews scored by the real model, and the queue that follows from them."""
+def forest_scored(x: Inputs, columns=None, named: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Reviews scored by the real model, and the queue that follows from them. Their ids are kept only if ``named``."""
     stored = x.keep(x.features if columns is None else x.features.select(*columns), "features")
     model = train(stored)
-    scores = x.keep(score_reviews(stored, model), "scored")
+    scores = score_reviews(stored, model)
+    scores = x.keep(scores if named else scores.drop("review_id"), "scored")
     drift = behavioral_drift(business_month_signals(scores))
     return scores, moderation_queue(decide(drift, model_drift(scores, model.baseline)))
 
 
 def forest_cases(x: Inputs):
     """Flagship: product-months routed to moderators by the real model."""
-    return most_urgent_first(forest_scored(x, SCORED_COLUMNS)[1])
+    return most_urgent_first(forest_scored(x, SCORED_COLUMNS, named=False)[1])
 
 
 def forest_top_reviews(x: StagedKeys):
@@ -449,12 +458,12 @@ def replayed(x: Inputs):
 
 def replayed_forest(x: Inputs):
     """Features arrive as a stream in two runs; the second one goes on from the checkpoint with the model of the first."""
-    columns = (*SCORED_COLUMNS, "review_timestamp")
-    stored = x.keep(x.features.select(*columns), "features")
+    stored = x.keep(x.features.select("review_id", *REPLAY_COLUMNS), "features")
     model, source, folder = train(stored), scratch_path(x.spark, "arriving"), None
     for half in (0, 1):
-        stored.where(f"pmod(xxhash64(review_id), 2) = {half}").write.mode("append").parquet(source)
-        arriving = x.spark.readStream.schema(stored.schema).parquet(source)
+        rows = stored.where(f"pmod(xxhash64(review_id), 2) = {half}").select(*REPLAY_COLUMNS)
+        rows.write.mode("append").parquet(source, compression="zstd")
+        arriving = x.spark.readStream.schema(rows.schema).parquet(source)
         folder = replay_with_model(arriving, folder, None if half else model)
     return stored_months(x.spark, folder, x.products)
 
@@ -485,7 +494,7 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "monthly_counts": (Inputs, lambda x: monthly_counts(x.months)),
     "training_cutoff": (Inputs, lambda x: training_cutoff(x.months)),
     "hash_sample": (Staged, hash_sampled),
-    "baseline_stats": (Staged, lambda x: x.baseline),
+    "baseline_stats": (StagedCases, lambda x: x.baseline),
     "score_normalise": (Staged, score_normalised),
     "imputed_scaled": (Inputs, imputed_scaled),
     "stored_by_month": (Inputs, stored_by_month),
@@ -493,18 +502,18 @@ QUERIES: dict[str, tuple[type[Inputs], Query]] = {
     "rejected_records": (Inputs, rejected_records),
     "business_month": (Inputs, lambda x: x.business_months),
     "behavioral_drift": (Inputs, lambda x: x.drift),
-    "model_drift": (Staged, lambda x: x.monthly_drift),
-    "decisions": (Staged, lambda x: x.decisions),
-    "moderation_queue": (Staged, lambda x: most_urgent_first(x.queue)),
-    "queue_places": (Staged, queue_places),
-    "queue_explained": (Staged, queue_explained),
+    "model_drift": (StagedCases, lambda x: x.monthly_drift),
+    "decisions": (StagedCases, lambda x: x.decisions),
+    "moderation_queue": (StagedCases, lambda x: most_urgent_first(x.queue)),
+    "queue_places": (StagedCases, queue_places),
+    "queue_explained": (StagedCases, queue_explained),
     "duplicate_reviews": (StagedCopies, lambda x: with_copy_counts(x.scored).select("review_id", "near_duplicate_review_count")),
     "fraud_signals": (StagedSignals, lambda x: x.signals.select("review_id", "business_id", "review_month", *SIGNALS)),
     "top_suspicious_reviews": (StagedKeys, lambda x: x.top),
     "review_explanations": (StagedKeys, review_explanations),
     "document_display": (Inputs, whole_display("documents", "doc_id", "text")),
     "page_display": (Inputs, whole_display("pages", "page_id", "html")),
-    "display_names": (Staged, display_names),
+    "display_names": (StagedCases, display_names),
     "review_backed_cases": (StagedRanks, lambda x: review_backed_cases(x.kept_queue, x.top).select(
         "business_id", "review_month", "product_key", "month_key", "decision_score")),
     "case_reviews": (StagedRanks, lambda x: case_reviews(x.top, x.kept_queue).select(
