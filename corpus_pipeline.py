@@ -10,6 +10,7 @@ from vigil.llm.rows import beside, numbered
 from vigil.session import deleted, scratch_path, scratch_run, written_table
 
 KEY = "corpus"  # of the surrogates; a corpus that is given away needs a secret one
+CHUNK = 1 << 18  # characters that the tokens stage encodes at once: its workers stand beside an executor that earlier stages have filled
 SHINGLE = 5  # words in a shingle of the near_dedup stage; four are the contract of op10_near_duplicates alone
 
 
@@ -79,7 +80,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text as piece ids; a null or empty text has none."""
-    return pieces.encoded(docs, keep=("doc_id", "lang", "source", "n_chars")).selectExpr(
+    return pieces.encoded(docs, keep=("doc_id", "lang", "source", "n_chars"), chunk=CHUNK).selectExpr(
         "doc_id", "lang", "source", "n_chars", "CAST(size(ids) AS BIGINT) AS n_pieces", "ids")
 
 

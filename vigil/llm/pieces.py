@@ -229,9 +229,9 @@ def space_run(model: Model, n: int) -> list[int]:
 class Encoder:
     """Encodes texts; remembers the pieces of words it has met."""
 
-    def __init__(self, model: Model):
-        self.model = model
-        self.powers, self.inverse = powers(model.BASE, CHUNK), powers(pow(model.BASE, -1, 1 << 64), CHUNK)
+    def __init__(self, model: Model, chunk: int | None = None):
+        self.model, chunk = model, chunk or CHUNK
+        self.powers, self.inverse = powers(model.BASE, chunk), powers(pow(model.BASE, -1, 1 << 64), chunk)
         self.forget()
 
     def forget(self):
@@ -308,11 +308,13 @@ class Encoder:
         first = starts + np.maximum(lead - 1, 0)  # one space belongs to the word
         size = np.where(lead > 0, body + 1, body)
         w = np.flatnonzero(word)
+        del spaced
         sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
         up, down = (self.powers, self.inverse) if len(symbols) < len(self.powers) else (
             powers(model.BASE, len(symbols) + 1), powers(pow(model.BASE, -1, 1 << 64), len(symbols) + 1))
         np.cumsum((symbols.astype(np.uint64) + np.uint64(2)) * up[:len(symbols)], out=sums[1:])
         keys = mixed((sums[first[w] + size[w]] - sums[first[w]]) * down[first[w]] + size[w].astype(np.uint64))
+        del sums
         self._learn(symbols, first[w], size[w], keys)
         at = np.searchsorted(self.keys, keys)
         run = lead.copy()
@@ -362,27 +364,29 @@ def load(path: str = MODEL) -> Model:
     return Model([(p.id_to_piece(i), p.get_score(i), kind(i)) for i in range(p.get_piece_size())])
 
 
-def _stretches(text: str):
+def _stretches(text: str, chunk: int | None = None):
     """Pieces of a long text with the offsets of nothing that a piece could join: cut before a blank or a line break."""
-    at = 0
+    at, chunk = 0, chunk or CHUNK
     while at < len(text):
-        end = at + CHUNK
+        end = at + chunk
         while end < len(text) and not (text[end] == "\n" or text[end] == " " != text[end - 1]):
             end += 1
         yield text[at:end]
         at = end
 
 
-def _encode(model: Model):
+def _encode(model: Model, chunk: int | None = None):
+    chunk = chunk or CHUNK
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        encoder = Encoder(model)
+        encoder = Encoder(model, chunk)
         for batch in batches:
-            for first, last in row_groups(batch.column("text"), CHUNK):
+            for first, last in row_groups(batch.column("text"), chunk):
                 part = batch.slice(first, last - first)
-                if last - first == 1 and len(text := part.column("text")[0].as_py() or "") > CHUNK:
+                if last - first == 1 and len(text := part.column("text")[0].as_py() or "") > chunk:
                     found = []
-                    for k, stretch in enumerate(_stretches(text)):
+                    for k, stretch in enumerate(_stretches(text, chunk)):
                         points = np.frombuffer(((" " if k == 0 else "") + stretch).encode("utf-32-le"), dtype=np.uint32)
                         found.append(encoder.encode(points.astype(np.int64), np.array([0, len(points)]))[0])
                     ids = np.concatenate(found)
@@ -396,17 +400,19 @@ def _encode(model: Model):
     return run
 
 
-def encoded(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", path: str = MODEL) -> DataFrame:
+def encoded(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", path: str = MODEL,
+            chunk: int | None = None) -> DataFrame:
     """The columns ``keep`` and ids: the model's piece ids of the whole text; one row per input row.
 
     Null and empty texts have no ids. A space stands before each other text, runs
     of spaces are kept, and characters without a piece are spelled in byte pieces, so decoding gives the
     text back (a literal space mark U+2581 as a space). Repeated rows are rows of
-    their own; other columns are not looked at; an empty table gives an empty result.
+    their own; other columns are not looked at; an empty table gives an empty result. About ``chunk`` characters (CHUNK) are encoded
+    at once; fewer take less memory and more time.
     """
     rows = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(_encode(load(path)), f"{schema}, ids array<int>")
+    return rows.mapInArrow(_encode(load(path), chunk), f"{schema}, ids array<int>")
 
 
 def _lists(column):
