@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 from datetime import datetime, timedelta
 
 from vigil.operators.as_of import history
@@ -9,6 +11,7 @@ from vigil.operators.features import build_review_features
 from vigil.plans.queries import AS_OF_COLUMNS, Inputs
 from vigil.session import DROPS_SHUFFLES, shuffles_dropped, written_table
 from vigil.sources import fixtures as fx
+from vigil.sources.reviews import ingest, read_raw_reviews
 
 SMALL = "/root/testdata/sf0.001"
 START = datetime(2020, 1, 1)
@@ -66,3 +69,19 @@ def test_lines_with_documents_are_dealt_to_all_tasks(spark):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plan = fx.raw_reviews(spark, SMALL).select("text")._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [_doc#" in plan and f", {tasks}" in plan.split("RepartitionByExpression [_doc#")[1].splitlines()[0]
+
+
+def test_a_rejected_record_is_written_once(spark, tmp_path):
+    """Before, its text stood in the record and in a column beside it, and files were twice as large for want of zstd."""
+    review = {"asin": "A", "user_id": "u", "timestamp": "1600000000", "rating": "5", "text": "a text", "title": None}
+    lines = [json.dumps(r) for r in (review, review, {**review, "rating": None}, {**review, "timestamp": "soon"})]
+    (tmp_path / "r.jsonl").write_text("\n".join([*lines, lines[0][:-1]]))
+    taken = ingest(read_raw_reviews(spark, str(tmp_path / "r.jsonl"), keep_broken=True), str(tmp_path / "out"), "beauty")
+    assert taken.counts == {"accepted": 2, "malformed": 1, "no product": 0, "no rating": 1, "no time": 1}
+    assert [r["text"] for r in taken.reviews.collect()] == ["a text"] * 2
+    kept = {r["rejection"]: r["record"] for r in taken.rejected.collect()}
+    assert kept["malformed"] == lines[0][:-1] and all(json.loads(kept[k])["text"] == "a text" for k in ("no rating", "no time"))
+    rows = spark.read.parquet(str(tmp_path / "out")).where("rejection <> 'accepted'").drop("rejection", "record").collect()
+    assert len(rows) == 3 and all(v is None for r in rows for v in r)
+    files = [f for _, _, names in os.walk(tmp_path / "out") for f in names if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
