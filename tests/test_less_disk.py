@@ -8,8 +8,8 @@ from datetime import datetime, timedelta
 
 from vigil.operators.as_of import history
 from vigil.operators.features import build_review_features
-from vigil.plans.queries import AS_OF_COLUMNS, Inputs
-from vigil.session import DROPS_SHUFFLES, shuffles_dropped, written_table
+from vigil.plans.queries import AS_OF_COLUMNS, Inputs, stored_by_month
+from vigil.session import DROPS_SHUFFLES, shared_folder, shuffles_dropped, written_table
 from vigil.sources import fixtures as fx
 from vigil.sources.reviews import ingest, read_raw_reviews
 
@@ -85,3 +85,11 @@ def test_a_rejected_record_is_written_once(spark, tmp_path):
     assert len(rows) == 3 and all(v is None for r in rows for v in r)
     files = [f for _, _, names in os.walk(tmp_path / "out") for f in names if f.endswith(".parquet")]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_features_by_month_leave_one_table(spark):
+    """Before, what they were made of stayed, and shuffles of the joins stood beside the one by month."""
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    assert stored_by_month(Inputs(spark, SMALL)).count() > 1000
+    assert [f.split("-")[0] for f in set(os.listdir(folder)) - before] == ["features"]
