@@ -6,9 +6,12 @@ import json
 import os
 from datetime import datetime, timedelta
 
+from vigil.functions import display
+from vigil.functions.sql import derive
+from vigil.operators import fraud
 from vigil.operators.as_of import history
 from vigil.operators.features import build_review_features
-from vigil.plans.queries import AS_OF_COLUMNS, Inputs, stored_by_month
+from vigil.plans.queries import AS_OF_COLUMNS, EXPLAINED, Inputs, StagedExplanations, stored_by_month
 from vigil.session import DROPS_SHUFFLES, shared_folder, shuffles_dropped, written_table
 from vigil.sources import fixtures as fx
 from vigil.sources.reviews import ingest, read_raw_reviews
@@ -93,3 +96,34 @@ def test_features_by_month_leave_one_table(spark):
     before = set(os.listdir(folder))
     assert stored_by_month(Inputs(spark, SMALL)).count() > 1000
     assert [f.split("-")[0] for f in set(os.listdir(folder)) - before] == ["features"]
+
+
+def test_reviews_before_the_cutoff_are_stored_without_names(spark):
+    """Before, their ids and the digests of their texts were stored too, though nothing names or compares them."""
+    x = StagedExplanations(spark, SMALL)
+    early, late = (x.with_score.where(f"review_month {sign} DATE'{x.cutoff[0]}'") for sign in ("<", ">="))
+    assert early.count() and early.where("coalesce(review_id, _copy_key, _text) IS NOT NULL").count() == 0
+    assert late.count() and late.where("review_id IS NULL OR _copy_key IS NULL OR _text IS NULL").count() == 0
+    assert set(EXPLAINED) <= set(x.with_score.columns) and "sentence_count" not in x.with_score.columns
+
+
+def test_what_is_said_of_a_text_is_taken_once(spark, monkeypatch):
+    """Explanations by marks are those by texts; the rows meet the marks, or few texts, by a broadcast."""
+    texts = [None, "", "Great product", "x" * 30, "water, glycerin, " * 12, "plain words", "nan", "a<br>b"]
+    odd = [float("nan"), None, 5.0, 1.0, -0.0, 0.6, 2.0, float("inf")]
+    rows = [(f"r{n}", texts[n % 8], *[odd[(n * k + k) % 8] for k in (1, 2, 3, 5, 7)]) for n in range(64)]
+    columns = "review_id string, clean_review_text string, stars double, word_count double, review_length double, reviewer_average_rating double, uppercase_share double"
+    reviews = fraud.with_text_key(spark.createDataFrame(rows, columns))
+    few, told = reviews.drop("clean_review_text"), derive(reviews, {"review_text": "clean_review_text"})
+    expected = sorted(map(tuple, derive(told, {"said": display.review_explanation(told)}).select("review_id", "said").collect()))
+    marked = fraud.with_texts(few, reviews, {"_marks": display.text_marks("clean_review_text")})
+    assert "clean_review_text" not in marked.columns
+    assert sorted(map(tuple, derive(marked, {"said": display.review_explanation(marked)}).select("review_id", "said").collect())) == expected
+    number = derive(told, {"stars": display.number_or("stars")})
+    assert sorted(map(tuple, derive(number, {"said": display.review_explanation(number)}).select("review_id", "said").collect())) == expected
+    for characters in (1 << 25, -1):
+        monkeypatch.setattr(fraud, "TEXT_CHARACTERS", characters)
+        shown = fraud.with_texts(few.fillna(1.0, ["review_length"]), reviews)
+        assert sorted(map(str, shown.select("review_id", "clean_review_text").collect())) == sorted(
+            map(str, reviews.select("review_id", "clean_review_text").collect()))
+        assert ("_join__text" in shown._jdf.queryExecution().optimizedPlan().toString()) == (characters < 0)
