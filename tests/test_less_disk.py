@@ -29,8 +29,8 @@ def test_shuffles_of_a_written_table_are_gone(spark):
     """Before, they stayed until the driver collected its garbage."""
     before, setting = shuffle_files(spark), spark.conf.get(DROPS_SHUFFLES)
     table = written_table(spark, spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "counted")
-    assert table.count() == 7 and sum(r["count"] for r in table.collect()) == 1000
-    assert not {f for f in shuffle_files(spark) - before if f.endswith(".data")}
+    left = {f for f in shuffle_files(spark) - before if f.endswith(".data")}
+    assert not left and table.count() == 7 and sum(r["count"] for r in table.collect()) == 1000
     assert spark.conf.get(DROPS_SHUFFLES) == setting
     spark.conf.set(DROPS_SHUFFLES, "true")
     try:
@@ -123,7 +123,7 @@ def test_what_is_said_of_a_text_is_taken_once(spark, monkeypatch):
     assert sorted(map(tuple, derive(number, {"said": display.review_explanation(number)}).select("review_id", "said").collect())) == expected
     for characters in (1 << 25, -1):
         monkeypatch.setattr(fraud, "TEXT_CHARACTERS", characters)
-        shown = fraud.with_texts(few.fillna(1.0, ["review_length"]), reviews)
+        shown = fraud.with_texts(derive(few, {"review_length": "30.0D"}), reviews)
         assert sorted(map(str, shown.select("review_id", "clean_review_text").collect())) == sorted(
             map(str, reviews.select("review_id", "clean_review_text").collect()))
         assert ("_join__text" in shown._jdf.queryExecution().optimizedPlan().toString()) == (characters < 0)
